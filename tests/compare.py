@@ -39,9 +39,12 @@ def canonical(value):
 
 def difference(frame, connection, statement: str) -> str | None:
     """None if the DataFrame and the SQL give the same columns and the same multiset of rows."""
+    started = time.time()
     result = connection.execute(statement)
     names = [d[0] for d in result.description]
     expected = result.fetchall()
+    if time.time() - started > 2:
+        print(f"    the SQL took {time.time() - started:.1f}s")
     if sorted(frame.columns) != sorted(names):
         return f"columns {sorted(frame.columns)} != {sorted(names)}"
     order = sorted(names)

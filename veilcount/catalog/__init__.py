@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_TOPICS = ("threshold",)
+_TOPICS = ("threshold", "intake", "epochs")
 
 
 def _topics():

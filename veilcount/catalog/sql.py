@@ -18,7 +18,7 @@ event_msgs AS (
          ['type|' || event_type, 'hour|' || CAST(CAST(hour(ts) // 6 AS INTEGER) AS VARCHAR),
           'uid|' || CAST(user_id % 8 AS VARCHAR), 'k|' || json_extract_string(props, '$.k')] AS layers,
          CASE WHEN event_id % 3 < 2 THEN 20 ELSE 50 END AS threshold,
-         CAST(event_id AS VARCHAR) AS msg_id, event_id, ts
+         CAST(event_id AS VARCHAR) AS msg_id, event_id, event_type, ts
   FROM events)"""
 
 ORDER_MSGS = """

@@ -14,14 +14,18 @@ def trimmed_utf8(body: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
+def base64_text(data: Column) -> Column:
+    """Standard base64 on one line, whatever the session's line-break setting is."""
+    return F.regexp_replace(F.base64(data), "[\r\n]", "")
+
+
 def strict_base64(text: Column) -> Column:
     """Standard base64 with full padding, no line breaks and zero trailing bits; NULL for anything else.
 
     ``try_to_binary`` accepts more than that, so its result must encode back to the same text.
     """
     decoded = F.try_to_binary(text, F.lit("base64"))
-    encoded = F.regexp_replace(F.base64(decoded), "[\r\n]", "")
-    return F.when(encoded == text, decoded)
+    return F.when(base64_text(decoded) == text, decoded)
 
 
 def unsigned_header(text: Column) -> Column:

@@ -36,6 +36,25 @@ def _node_attributes(prefix: F.Column) -> dict[str, F.Column]:
     return {"path": path, "chain": chain}
 
 
+def as_changes(nodes: DataFrame) -> DataFrame:
+    """Recovered prefixes (epoch, prefix, n, has_children) as rows of the recovered table."""
+    return (
+        nodes.withColumns(_node_attributes(F.col("prefix")))
+        .select(
+            "epoch",
+            F.element_at("path", -1).alias("tag"),
+            F.try_element_at("path", F.lit(-2)).alias("parent_tag"),
+            F.element_at("chain", -1)["name"].alias("name"),
+            F.element_at("chain", -1)["value"].alias("value"),
+            "path",
+            "chain",
+            F.lit(None).cast("binary").alias("key"),
+            F.col("n").alias("change"),
+            "has_children",
+        )
+    )
+
+
 def process_batch(
     messages: DataFrame, recovered: DataFrame, pending: DataFrame, folder: str, total: int
 ) -> tuple[DataFrame, DataFrame]:
@@ -73,22 +92,7 @@ def process_batch(
     )
     nodes.write.mode("overwrite").parquet(f"{folder}/nodes")
     nodes = messages.sparkSession.read.parquet(f"{folder}/nodes")
-    changes = (
-        nodes.filter("open")
-        .withColumns(_node_attributes(F.col("prefix")))
-        .select(
-            "epoch",
-            "tag",
-            F.try_element_at("path", F.lit(-2)).alias("parent_tag"),
-            F.element_at("chain", -1)["name"].alias("name"),
-            F.element_at("chain", -1)["value"].alias("value"),
-            "path",
-            "chain",
-            F.lit(None).cast("binary").alias("key"),
-            "change",
-            "has_children",
-        )
-    )
+    changes = as_changes(nodes.filter("open").select("epoch", "prefix", F.col("change").alias("n"), "has_children"))
     # A row is stuck at its first closed prefix. A closed prefix holds fewer messages than its thresholds allow, and the
     # rows of the large open ones are taken out before the shuffle, so this join has no large group.
     closed = nodes.filter("NOT open").select("epoch", "tag")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from veilcount.functions import shares as sh
 from veilcount.functions.tags import prefix_tag
-from veilcount.functions.text import split_measurement
+from veilcount.functions.text import base64_text, split_measurement
 from veilcount.operators import state
 from veilcount.operators.skew import heavy_rows, spread_join
 from veilcount.operators.threshold import eligible_classes
@@ -55,7 +55,7 @@ def seal(messages: DataFrame, secret: str, max_depth: int) -> DataFrame:
         goes_on = F.size(layers) > depth
         content = F.to_json(
             F.struct(
-                F.get(layers, F.lit(depth - 1)).alias("m"), F.when(goes_on, F.base64(next_key)).alias("k")
+                F.get(layers, F.lit(depth - 1)).alias("m"), F.when(goes_on, base64_text(next_key)).alias("k")
             )
         )
         key = sh.key_of_limbs(sh.key_limbs(epoch, prefix, secret))
@@ -69,11 +69,11 @@ def seal(messages: DataFrame, secret: str, max_depth: int) -> DataFrame:
         if depth > 1:
             text = F.to_json(
                 F.struct(
-                    F.base64(fields["tag"]).alias("tag"),
+                    base64_text(fields["tag"]).alias("tag"),
                     fields["x"].alias("x"),
                     fields["y"].alias("y"),
-                    F.base64(fields["ct"]).alias("ct"),
-                    F.base64(fields["inner"]).alias("inner"),
+                    base64_text(fields["ct"]).alias("ct"),
+                    base64_text(fields["inner"]).alias("inner"),
                 )
             )
             outer_key = F.unhex(F.sha2(F.concat_ws("/", F.lit(secret), msg_id, F.lit(str(depth - 1)), F.lit("next")), 256))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilcount.functions.epochs import EpochLength, epoch_of_time
+from veilcount.functions.text import base64_text
 
 LINEITEM_ORIGIN = datetime(1995, 1, 1)
 LINEITEM_EPOCH = EpochLength(days=728)
@@ -60,6 +61,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _two_classes(F.col("event_id")),
         F.col("event_id").cast("string").alias("msg_id"),
         "event_id",
+        "event_type",
         "ts",
     )
 
@@ -83,3 +85,117 @@ def order_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         _two_classes(F.col("o_custkey")),
         F.col("o_orderkey").cast("string").alias("msg_id"),
     )
+
+
+# -- intake and records ------------------------------------------------------------------------------------------------
+
+CHANNELS = {"click": 2, "view": None, "error": 5, "signup": 1, "purchase": 3}
+MAIN_CHANNEL = "view"
+
+
+def _envelope() -> Column:
+    """A clear message as JSON text."""
+    listed = F.concat(F.lit('["'), F.array_join("layers", '","'), F.lit('"]'))
+    return F.concat(F.lit('{"epoch":'), F.col("epoch").cast("string"), F.lit(',"layers":'), listed, F.lit("}"))
+
+
+def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Submissions of all events; some bodies, channels and headers are defective, depending on the event number."""
+    number = F.col("event_id")
+    text = (
+        F.when(number % 43 == 2, F.expr("substring(envelope, 1, length(envelope) - 3)"))
+        .when(number % 53 == 4, F.regexp_replace("envelope", '"epoch":[0-9]+', '"epoch":300'))
+        .when(number % 59 == 6, F.lit('{"epoch":1}'))
+        .otherwise(F.col("envelope"))
+    )
+    encoded = F.col("encoded")
+    body = (
+        F.when(number % 29 == 3, F.expr("substring(encoded, 1, length(encoded) - 1)").cast("binary"))
+        .when(number % 31 == 5, F.concat(F.substring(encoded, 1, 8), F.lit("\n"), F.expr("substring(encoded, 9)")).cast("binary"))
+        .when(number % 37 == 7, F.concat(F.unhex(F.lit("FF")), encoded.cast("binary")))
+        .when(number % 41 == 1, F.concat(F.lit("  \n"), encoded, F.lit(" \t\r\n")).cast("binary"))
+        .otherwise(encoded.cast("binary"))
+    )
+    channel = F.when(number % 47 == 0, F.lit("nosuch")).when(number % 5 != 0, F.col("event_type"))
+    revision = (
+        F.when(number % 7 == 1, F.lit("x"))
+        .when(number % 7 == 2, F.lit("+4"))
+        .when(number % 7 == 3, F.lit(" 12"))
+        .when(number % 7 != 0, (number % 7).cast("string"))
+    )
+    threshold = F.when(number % 11 > 0, F.lit(None)).cast("string")
+    for rest, value in ((1, "abc"), (2, "19"), (3, "51"), (4, "+20"), (5, "50"), (6, "30 ")):
+        threshold = F.when(number % 11 == rest, F.lit(value)).otherwise(threshold)
+    threshold = F.when(number % 11 > 6, (20 + number % 31).cast("string")).otherwise(threshold)
+    rows = event_messages(spark, sf_dir)
+    return (
+        rows.withColumn("envelope", _envelope())
+        .withColumn("encoded", base64_text(text.cast("binary")))
+        .select(
+            "event_id",
+            channel.alias("channel"),
+            body.alias("body"),
+            revision.alias("revision"),
+            threshold.alias("threshold"),
+            F.col("ts").alias("received_at"),
+        )
+    )
+
+
+def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of all events, shaped like Spark's Kafka source: four partitions, some headers odd or missing."""
+    number = F.col("event_id")
+    header = lambda key, digits: F.struct(F.lit(key).alias("key"), F.unhex(F.lit(digits)).alias("value"))
+    headers = (
+        F.when(number % 13 == 0, F.lit(None))
+        .when(number % 13 == 1, F.array(header("threshold", "320000")))
+        .when(number % 13 == 2, F.array(header("threshold", "14000000"), header("threshold", "32000000")))
+        .when(number % 13 == 3, F.array(header("trace", "01000000")))
+        .when(number % 13 == 4, F.array(header("threshold", "32010000"), header("trace", "00")))
+        .otherwise(F.array(header("threshold", "14000000")))
+    )
+    return event_messages(spark, sf_dir).select(
+        _envelope().cast("binary").alias("value"),
+        headers.alias("headers"),
+        (number % 4).cast("int").alias("partition"),
+        F.floor(number / 4).alias("offset"),
+        F.col("ts").alias("timestamp"),
+    )
+
+
+# -- logs --------------------------------------------------------------------------------------------------------------
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.col("event_id")
+    status = F.when(number % 19 == 0, 404).when(number % 23 == 0, 400).otherwise(204)
+    return table(spark, sf_dir, "events").select(
+        F.lit("POST").alias("method"),
+        F.concat(F.lit("/"), "event_type").alias("path"),
+        epoch_of_time(F.col("ts"), EVENT_ORIGIN, EVENT_EPOCH).alias("epoch"),
+        status.alias("status"),
+        (F.col("value") / 100).alias("seconds"),
+    )
+
+
+def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("stat"), F.round(F.col("value") * 100).cast("bigint").alias("ms")
+    )
+
+
+def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """High and committed offsets per channel and partition; partition 3 has nothing committed."""
+    highs = (
+        table(spark, sf_dir, "events")
+        .groupBy(F.col("event_type").alias("channel"), (F.col("user_id") % 4).cast("int").alias("partition"))
+        .agg((F.max("event_id") + 1).alias("high"))
+    )
+    committed = F.when(F.col("partition") < 3, F.col("high") - (F.col("partition") + 1) * 100)
+    return highs.withColumn("committed", committed)
+
+
+def lake_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("channel"), "ts", F.col("event_id").alias("record_id")
+    )

@@ -89,23 +89,22 @@ def classify(
     checked = decode_body(route(submissions, channels, main_channel)).withColumn(
         "message", parse_envelope(F.col("data"), schema)
     )
+    outcome = (
+        F.when(~F.col("known"), "unknown")
+        .when(F.col("message").isNull(), "malformed")
+        .when(old_client(F.col("revision"), F.col("min_revision")), "ignored")
+        .when(bad_threshold(F.col("threshold"), low, high), "bad_threshold")
+        .otherwise("accepted")
+    )
     status = (
-        F.when(~F.col("known"), NOT_FOUND)
-        .when(F.col("message").isNull(), BAD_REQUEST)
-        .when(old_client(F.col("revision"), F.col("min_revision")), NO_CONTENT)
-        .when(bad_threshold(F.col("threshold"), low, high), BAD_REQUEST)
+        F.when(F.col("outcome") == "unknown", NOT_FOUND)
+        .when(F.col("outcome").isin("malformed", "bad_threshold"), BAD_REQUEST)
         .otherwise(NO_CONTENT)
     )
-    accepted = (
-        F.col("known")
-        & F.col("message").isNotNull()
-        & ~old_client(F.col("revision"), F.col("min_revision"))
-        & ~bad_threshold(F.col("threshold"), low, high)
-    )
-    return checked.withColumns(
+    return checked.withColumn("outcome", outcome).withColumns(
         {
             "status": status,
-            "accepted": accepted,
+            "accepted": F.col("outcome") == "accepted",
             "request_threshold": unsigned_header(F.col("threshold")).cast("bigint"),
         }
     )
