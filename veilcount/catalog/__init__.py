@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_TOPICS = ("threshold", "intake", "epochs")
+_TOPICS = ("threshold", "intake", "epochs", "report", "state", "lake", "monitoring", "sealed")
 
 
 def _topics():

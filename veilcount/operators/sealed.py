@@ -218,7 +218,7 @@ def process_batch(
 
     fields = ["epoch", "tag", "threshold", "msg_id", "x", "y", "ct", "inner"]
     new = messages.select(*fields, F.lit(None).cast("binary").alias("parent_tag"))
-    lineage = recovered.select(*_KEYS, "path", "chain")
+    lineage = spark.createDataFrame([], state.RECOVERED_CHANGES).select(*_KEYS, "path", "chain")
     changes, waits, quarantine = [], [], []
     errors = 0
     for number in range(1, max_rounds + 1):
@@ -270,7 +270,8 @@ def process_batch(
         )
         change = written(rows, f"{where}/changes")
         changes.append(change)
-        lineage = lineage.unionByName(change.select(*_KEYS, "path", "chain"))
+        # The parents of the next round's tags are the tags of this one.
+        lineage = change.select(*_KEYS, "path", "chain")
         waits.append(written(state.still_pending(new.select(*fields), keys), f"{where}/pending"))
         lost = opened.join(outcomes.filter("failed").select(*_CLASS), _CLASS, "left_semi")
         quarantine.append(lost.select(*_CLASS, "msg_id"))
