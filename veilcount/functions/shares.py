@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from veilcount.functions.once import once
 from veilcount.functions.tags import prefix_text
 
 PRIME = 2**31 - 1
@@ -38,11 +39,6 @@ def key_of_limbs(limbs: Column) -> Column:
     return F.unhex(F.sha2(F.array_join(limbs.cast("array<string>"), ","), 256))
 
 
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with the value computed a single time; a lambda body would compute it again at every step."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def share_values(epoch: Column, prefix: Column, threshold: Column, x: Column, secret: str) -> Column:
     """One y per limb: a polynomial of degree threshold-1 whose constant term is the limb."""
     seed = F.xxhash64(prefix_text(epoch, prefix, secret), threshold)
@@ -58,7 +54,7 @@ def share_values(epoch: Column, prefix: Column, threshold: Column, x: Column, se
         return F.transform(given["limbs"], value)
 
     limbs = key_limbs(epoch, prefix, secret)
-    return _once(
+    return once(
         F.struct(seed.alias("seed"), x.alias("x"), degrees.alias("degrees"), limbs.alias("limbs")), values
     )
 
@@ -92,4 +88,4 @@ def secret_at_zero(shares: Column) -> Column:
 
         return F.transform(F.sequence(F.lit(0), F.lit(LIMBS - 1)), limb)
 
-    return _once(F.struct(weighted.alias("terms"), product.alias("product")), limbs)
+    return once(F.struct(weighted.alias("terms"), product.alias("product")), limbs)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from veilcount.functions.once import once
+
 _LARGEST_UNSIGNED = "18446744073709551615"
 
 
@@ -25,7 +27,7 @@ def strict_base64(text: Column) -> Column:
     ``try_to_binary`` accepts more than that, so its result must encode back to the same text.
     """
     decoded = F.try_to_binary(text, F.lit("base64"))
-    return F.when(base64_text(decoded) == text, decoded)
+    return once(F.struct(text.alias("t"), decoded.alias("d")), lambda c: F.when(base64_text(c["d"]) == c["t"], c["d"]))
 
 
 def unsigned_header(text: Column) -> Column:
@@ -35,17 +37,16 @@ def unsigned_header(text: Column) -> Column:
 
 
 def little_endian_u32(value: Column) -> Column:
-    """Four little-endian bytes as a number; any other length counts as 0."""
+    """Four little-endian bytes as a number; any other length, or none at all, counts as 0."""
     digits = F.hex(value)
     big_endian = F.concat(*[F.substring(digits, at, 2) for at in (7, 5, 3, 1)])
     number = F.conv(big_endian, 16, 10).cast("bigint")
     return F.when(F.length(value) == 4, number).otherwise(F.lit(0).cast("bigint"))
 
 
-def last_header(headers: Column, name: str) -> Column:
-    """Value of the last record header with this key, NULL when there is none."""
-    named = F.filter(headers, lambda h: h["key"] == F.lit(name))
-    return F.try_element_at(named, F.lit(-1))["value"]
+def headers_named(headers: Column, name: str) -> Column:
+    """The record headers with this key, in order."""
+    return F.filter(F.coalesce(headers, F.array()), lambda h: h["key"] == F.lit(name))
 
 
 def split_measurement(text: Column) -> Column:
@@ -53,6 +54,9 @@ def split_measurement(text: Column) -> Column:
 
     NUL characters around the value are padding and are removed.
     """
-    parts = F.split(text, "[|]", -1)
-    value = F.btrim(parts.getItem(1), F.char(F.lit(0)))
-    return F.when(F.size(parts) == 2, F.struct(parts.getItem(0).alias("name"), value.alias("value")))
+
+    def pair(parts: Column) -> Column:
+        value = F.btrim(F.get(parts, F.lit(1)), F.char(F.lit(0)))
+        return F.when(F.size(parts) == 2, F.struct(F.get(parts, F.lit(0)).alias("name"), value.alias("value")))
+
+    return once(F.split(text, "[|]", -1), pair)

@@ -68,7 +68,10 @@ def process_batch(
     touched = _by_prefix(new).select("epoch", "tag")
     waiting = state.lookup_pending(touched, recovered, pending)
     live = new.unionByName(waiting.select(*[c for c in new.columns if c != "is_new"], F.lit(False).alias("is_new")))
-    exploded = _by_prefix(live)
+    spark = messages.sparkSession
+    # Both passes below start from the collapsed rows, so the input is read and parsed once.
+    live.write.mode("overwrite").parquet(f"{folder}/live")
+    exploded = _by_prefix(spark.read.parquet(f"{folder}/live"))
 
     classes = exploded.groupBy("epoch", "tag", "threshold").agg(
         F.sum("n").alias("n"),
@@ -91,7 +94,7 @@ def process_batch(
         .withColumn("open", F.col("opened") | F.col("known").isNotNull())
     )
     nodes.write.mode("overwrite").parquet(f"{folder}/nodes")
-    nodes = messages.sparkSession.read.parquet(f"{folder}/nodes")
+    nodes = spark.read.parquet(f"{folder}/nodes")
     changes = as_changes(nodes.filter("open").select("epoch", "prefix", F.col("change").alias("n"), "has_children"))
     # A row is stuck at its first closed prefix. A closed prefix holds fewer messages than its thresholds allow, and the
     # rows of the large open ones are taken out before the shuffle, so this join has no large group.

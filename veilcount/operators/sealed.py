@@ -242,6 +242,9 @@ def process_batch(
         fresh = tag_keys(recover_keys(share_sample(shares)))
         sizes = counts.groupBy(*_KEYS).agg(F.sum("n").alias("n"))
         keys = written(known.unionByName(fresh).join(sizes, _KEYS), f"{where}/keys")
+        waits.append(written(state.still_pending(new.select(*fields), keys), f"{where}/pending"))
+        if keys.isEmpty():
+            break
         opened = written(open_layer(spread_join(both, keys, _KEYS, heavy, "msg_id")), f"{where}/opened")
         outcomes = written(stop_on_large_failures(class_outcomes(opened)), f"{where}/outcomes")
 
@@ -272,7 +275,6 @@ def process_batch(
         changes.append(change)
         # The parents of the next round's tags are the tags of this one.
         lineage = change.select(*_KEYS, "path", "chain")
-        waits.append(written(state.still_pending(new.select(*fields), keys), f"{where}/pending"))
         lost = opened.join(outcomes.filter("failed").select(*_CLASS), _CLASS, "left_semi")
         quarantine.append(lost.select(*_CLASS, "msg_id"))
         errors += outcomes.agg(F.sum("errors")).first()[0] or 0

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilcount.functions.once import once
 from veilcount.functions.text import strict_base64, trimmed_utf8, unsigned_header
 
 # Accepted request thresholds and the response codes.
@@ -56,13 +57,17 @@ def parse_envelope(data: Column, schema: str = CLEAR_ENVELOPE) -> Column:
     """The message struct in the bytes, NULL unless all of it is valid."""
     text = F.try_validate_utf8(data.cast("string"))
     parsed = F.from_json(text, f"{schema}, broken STRING", {"columnNameOfCorruptRecord": "broken"})
-    valid = parsed["broken"].isNull() & parsed["epoch"].between(0, 255)
-    if schema == CLEAR_ENVELOPE:
-        valid &= (F.size(parsed["layers"]) > 0) & ~F.exists(parsed["layers"], lambda c: c.isNull())
-    else:
-        for field in ("msg_id", "tag", "x", "y", "ct"):
-            valid &= parsed[field].isNotNull()
-    return F.when(F.coalesce(valid, F.lit(False)), parsed.dropFields("broken"))
+
+    def checked(message: Column) -> Column:
+        valid = message["broken"].isNull() & message["epoch"].between(0, 255)
+        if schema == CLEAR_ENVELOPE:
+            valid &= (F.size(message["layers"]) > 0) & ~F.exists(message["layers"], lambda c: c.isNull())
+        else:
+            for field in ("msg_id", "tag", "x", "y", "ct"):
+                valid &= message[field].isNotNull()
+        return F.when(F.coalesce(valid, F.lit(False)), message.dropFields("broken"))
+
+    return once(parsed, checked)
 
 
 def old_client(revision: Column, min_revision: Column) -> Column:

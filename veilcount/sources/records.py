@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilcount.functions.text import last_header, little_endian_u32
+from veilcount.functions.once import once
+from veilcount.functions.text import headers_named, little_endian_u32
 from veilcount.sources.intake import CLEAR_ENVELOPE, parse_envelope
 
 # The defaults of an aggregation run.
@@ -40,10 +41,11 @@ def read_topic(spark: SparkSession, servers: str, topic: str, starting: str, end
 
 def with_threshold(records: DataFrame, default: int = DEFAULT_THRESHOLD) -> DataFrame:
     """Threshold of each record: its last header, 0 if that is not four bytes, the default if there is none."""
-    value = last_header(F.coalesce("headers", F.array()), "threshold")
-    named = F.exists(F.coalesce("headers", F.array()), lambda h: h["key"] == F.lit("threshold"))
-    number = F.when(value.isNull(), F.lit(0).cast("bigint")).otherwise(little_endian_u32(value))
-    return records.withColumn("threshold", F.when(named, number).otherwise(F.lit(default)).cast("bigint"))
+    number = once(
+        headers_named(F.col("headers"), "threshold"),
+        lambda found: F.when(F.size(found) > 0, little_endian_u32(F.try_element_at(found, F.lit(-1))["value"])),
+    )
+    return records.withColumn("threshold", F.coalesce(number, F.lit(default).cast("bigint")))
 
 
 def to_messages(records: DataFrame, schema: str = CLEAR_ENVELOPE, mode: str = "failfast") -> DataFrame:
