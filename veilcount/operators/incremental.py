@@ -22,7 +22,8 @@ PENDING = "epoch SMALLINT, tag BINARY, threshold INT, layers ARRAY<STRING>, dept
 def _by_prefix(rows: DataFrame) -> DataFrame:
     """One row per collapsed row and depth from its first unopened one on."""
     return (
-        rows.withColumn("d", F.explode(F.sequence("depth", F.size("layers"))))
+        rows.filter(F.size("layers") >= F.col("depth"))
+        .withColumn("d", F.explode(F.sequence("depth", F.size("layers"))))
         .withColumn("prefix", F.expr("slice(layers, 1, d)"))
         .withColumn("tag", prefix_tag(F.col("epoch"), F.col("prefix")))
     )

@@ -19,16 +19,13 @@ from pyspark.sql import functions as F
 def collapse(messages: DataFrame) -> DataFrame:
     """One row per equal (epoch, layers, threshold) with its number of messages ``n``."""
     count = F.sum("n") if "n" in messages.columns else F.count(F.lit(1))
-    return (
-        messages.filter(F.size("layers") > 0)
-        .groupBy("epoch", "layers", "threshold")
-        .agg(count.alias("n"))
-    )
+    return messages.groupBy("epoch", "layers", "threshold").agg(count.alias("n"))
 
 
 def prefixes(rows: DataFrame) -> DataFrame:
     """One row per collapsed row and depth: the prefix and whether the message goes on below it."""
-    return rows.withColumn("depth", F.explode(F.sequence(F.lit(1), F.size("layers")))).select(
+    depths = F.when(F.size("layers") > 0, F.sequence(F.lit(1), F.size("layers"))).otherwise(F.array())
+    return rows.withColumn("depth", F.explode(depths)).select(
         "epoch",
         F.expr("slice(layers, 1, depth)").alias("prefix"),
         "threshold",
