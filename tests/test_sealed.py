@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rows import tag
 from veilcount.functions import shares as sh
+from veilcount.functions.tags import prefix_tag
 from veilcount.operators import sealed
 
 P = sh.PRIME
@@ -26,10 +27,10 @@ def interpolate(points):
 
 def test_shares_interpolate_to_the_limbs(spark):
     ids = spark.range(60).select(F.col("id").cast("string").alias("msg_id"))
-    prefix = F.array(F.lit("a|1"), F.lit("b|2"))
+    tag_of = prefix_tag(F.lit(3), F.array(F.lit("a|1"), F.lit("b|2")), "s")
     x = sh.share_point(F.col("msg_id"))
     rows = ids.select(
-        x.alias("x"), sh.share_values(F.lit(3), prefix, F.lit(50), x, "s").alias("y"), sh.key_limbs(F.lit(3), prefix, "s").alias("limbs")
+        x.alias("x"), sh.share_values(tag_of, F.lit(50), x, "s").alias("y"), sh.key_limbs(tag_of, "s").alias("limbs")
     ).collect()
     limbs = rows[0].limbs
     for j in range(sh.LIMBS):
@@ -87,7 +88,7 @@ def test_errors_count_only_above_a_next_layer(spark):
 def test_whole_class_failures(spark):
     lost = [(1, 20, b"p", False, False, False, None)] * 4
     top = [(2, 20, None, False, False, False, None)] * 4
-    text = [(3, 20, b"p", True, False, False, "no delimiter"), (3, 20, b"p", True, False, False, "a|1")]
+    text = [(3, 20, b"p", True, False, False, "no delimiter"), (3, 20, b"p", False, False, False, None)]
     got = outcomes(spark, lost + top + text, max_failed=3, max_failed_top=5)
     assert {t: (r.failed, r.too_many, r.errors) for t, r in got.items()} == {1: (True, True, 4), 2: (True, False, 4), 3: (True, False, 2)}
 
@@ -102,7 +103,7 @@ def test_large_failure_stops_the_run(spark):
 def test_wrong_key_opens_nothing(spark):
     clear = spark.createDataFrame([(1, "m", ["a|1", "b|2"], 2)], "epoch SMALLINT, msg_id STRING, layers ARRAY<STRING>, threshold INT")
     rows = sealed.seal(clear, "s", 2).withColumn("parent_tag", F.lit(None).cast("binary"))
-    right = sh.key_of_limbs(sh.key_limbs(F.lit(1), F.array(F.lit("a|1")), "s"))
+    right = sh.key_of_limbs(sh.key_limbs(prefix_tag(F.lit(1), F.array(F.lit("a|1")), "s"), "s"))
     good = sealed.open_layer(rows.withColumn("key", right)).first()
     assert (good.opened, good.has_next, good.next_opened, good.measurement) == (True, True, True, "a|1")
     bad = sealed.open_layer(rows.withColumn("key", F.unhex(F.lit("00" * 32)))).first()

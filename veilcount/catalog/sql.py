@@ -70,6 +70,5 @@ def joined(column: str) -> str:
 
 def tag_hex(epoch: str, prefix: str, secret: str = "") -> str:
     """Upper-case hex of the 20-byte tag of a prefix."""
-    text = f"""'{secret}/' || CAST({epoch} AS VARCHAR) || '/' ||
-      array_to_string(list_transform({prefix}, lambda p: CAST(length(p) AS VARCHAR) || ':' || p), '')"""
-    return f"upper(substr(sha256({text}), 1, 40))"
+    return f"""upper(list_reduce({prefix}, lambda a, p: substr(sha256(a || '/' || p), 1, 40),
+      '{secret}/' || CAST({epoch} AS VARCHAR)))"""

@@ -10,7 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from veilcount.functions.once import once
-from veilcount.functions.tags import prefix_text
 
 PRIME = 2**31 - 1
 LIMBS = 8
@@ -29,9 +28,9 @@ def share_point(msg_id: Column) -> Column:
     return F.pmod(F.xxhash64(msg_id), _big(PRIME - 1)) + _big(1)
 
 
-def key_limbs(epoch: Column, prefix: Column, secret: str) -> Column:
-    """The shared secret of a prefix. It does not depend on the threshold, so all classes of a tag have one key."""
-    digest = F.sha2(F.concat(prefix_text(epoch, prefix, secret), F.lit("/key")), 256)
+def key_limbs(tag: Column, secret: str) -> Column:
+    """The shared secret of a tag. It does not depend on the threshold, so all classes of a tag have one key."""
+    digest = F.sha2(F.concat(F.hex(tag), F.lit(f"/{secret}/key")), 256)
     return F.array(*[F.conv(F.substring(digest, 8 * j + 1, 8), 16, 10).cast("bigint") % _p() for j in range(LIMBS)])
 
 
@@ -39,9 +38,9 @@ def key_of_limbs(limbs: Column) -> Column:
     return F.unhex(F.sha2(F.array_join(limbs.cast("array<string>"), ","), 256))
 
 
-def share_values(epoch: Column, prefix: Column, threshold: Column, x: Column, secret: str) -> Column:
+def share_values(tag: Column, threshold: Column, x: Column, secret: str) -> Column:
     """One y per limb: a polynomial of degree threshold-1 whose constant term is the limb."""
-    seed = F.xxhash64(prefix_text(epoch, prefix, secret), threshold)
+    seed = F.xxhash64(tag, threshold, F.lit(secret))
     degrees = F.sequence(threshold.cast("int") - 1, F.lit(1), F.lit(-1))
 
     def values(given: Column) -> Column:
@@ -53,7 +52,7 @@ def share_values(epoch: Column, prefix: Column, threshold: Column, x: Column, se
 
         return F.transform(given["limbs"], value)
 
-    limbs = key_limbs(epoch, prefix, secret)
+    limbs = key_limbs(tag, secret)
     return once(
         F.struct(seed.alias("seed"), x.alias("x"), degrees.alias("degrees"), limbs.alias("limbs")), values
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilcount.functions.tags import prefix_tag
+from veilcount.functions.tags import prefix_tag, tag_path
 from veilcount.functions.text import split_measurement
 from veilcount.operators import state
 from veilcount.operators.skew import heavy_rows, without_heavy
@@ -23,24 +23,19 @@ def _by_prefix(rows: DataFrame) -> DataFrame:
     """One row per collapsed row and depth from its first unopened one on."""
     return (
         rows.filter(F.size("layers") >= F.col("depth"))
+        .withColumn("tags", tag_path(F.col("epoch"), F.col("layers")))
         .withColumn("d", F.explode(F.sequence("depth", F.size("layers"))))
         .withColumn("prefix", F.expr("slice(layers, 1, d)"))
-        .withColumn("tag", prefix_tag(F.col("epoch"), F.col("prefix")))
+        .withColumn("tag", F.expr("get(tags, d - 1)"))
+        .drop("tags")
     )
 
 
-def _node_attributes(prefix: F.Column) -> dict[str, F.Column]:
-    """Path and chain of a prefix, which clear messages give without looking at the parent row."""
-    steps = F.sequence(F.lit(1), F.size(prefix))
-    path = F.transform(steps, lambda d: prefix_tag(F.col("epoch"), F.slice(prefix, F.lit(1), d)))
-    chain = F.transform(prefix, split_measurement)
-    return {"path": path, "chain": chain}
-
-
 def as_changes(nodes: DataFrame) -> DataFrame:
     """Recovered prefixes (epoch, prefix, n, has_children) as rows of the recovered table."""
+    path = tag_path(F.col("epoch"), F.col("prefix"))
     return (
-        nodes.withColumns(_node_attributes(F.col("prefix")))
+        nodes.withColumns({"path": path, "chain": F.transform("prefix", split_measurement)})
         .select(
             "epoch",
             F.element_at("path", -1).alias("tag"),
@@ -74,21 +69,20 @@ def process_batch(
     live.write.mode("overwrite").parquet(f"{folder}/live")
     exploded = _by_prefix(spark.read.parquet(f"{folder}/live"))
 
-    classes = exploded.groupBy("epoch", "tag", "threshold").agg(
+    # The prefix goes with its tag; as a key, not as an aggregate, it keeps the sums in hash tables.
+    classes = exploded.groupBy("epoch", "tag", "prefix", "threshold").agg(
         F.sum("n").alias("n"),
         F.count(F.lit(1)).alias("rows"),
         F.max("is_new").alias("is_new"),
         F.max(F.col("d") < F.size("layers")).alias("has_children"),
-        F.min("prefix").alias("prefix"),
     )
     known = recovered.select("epoch", "tag", F.lit(True).alias("known"))
     nodes = (
-        classes.groupBy("epoch", "tag")
+        classes.groupBy("epoch", "tag", "prefix")
         .agg(
             F.sum("n").alias("change"),
             F.max("has_children").alias("has_children"),
             F.max(F.col("is_new") & (F.col("n") >= F.col("threshold"))).alias("opened"),
-            F.min("prefix").alias("prefix"),
             F.sum("rows").alias("n"),
         )
         .join(known, ["epoch", "tag"], "left")
@@ -104,10 +98,8 @@ def process_batch(
     stuck = (
         candidates.join(closed, ["epoch", "tag"], "left_semi")
         .groupBy("epoch", "layers", "threshold", "is_new", F.col("depth").alias("started"))
-        .agg(F.min(F.struct("d", "tag")).alias("at"), F.min("n").alias("n"))
-        .filter(F.col("is_new") | (F.col("at.d") > F.col("started")))
-    )
-    appended = stuck.select(
-        "epoch", F.col("at.tag").alias("tag"), "threshold", "layers", F.col("at.d").cast("int").alias("depth"), "n"
+        .agg(F.min("d").cast("int").alias("depth"), F.min("n").alias("n"))
+        .filter(F.col("is_new") | (F.col("depth") > F.col("started")))
     )
-    return changes, appended
+    tag = prefix_tag(F.col("epoch"), F.slice("layers", F.lit(1), F.col("depth")))
+    return changes, stuck.select("epoch", tag.alias("tag"), "threshold", "layers", "depth", "n")

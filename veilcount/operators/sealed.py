@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilcount.functions import shares as sh
-from veilcount.functions.tags import prefix_tag
+from veilcount.functions.tags import tag_path
 from veilcount.functions.text import base64_text, split_measurement
 from veilcount.operators import state
 from veilcount.operators.skew import heavy_rows, spread_join
@@ -44,25 +44,24 @@ def _encrypt(text: Column, key: Column, nonce: Column) -> Column:
 
 def seal(messages: DataFrame, secret: str, max_depth: int) -> DataFrame:
     """Seal clear messages (epoch, msg_id, layers, threshold); no message may have more than ``max_depth`` layers."""
-    epoch, layers, msg_id = F.col("epoch"), F.col("layers"), F.col("msg_id")
+    tagged = messages.withColumn("path", tag_path(F.col("epoch"), F.col("layers"), secret))
+    layers, msg_id = F.col("layers"), F.col("msg_id")
     x = sh.share_point(msg_id)
     inner = F.lit(None).cast("binary")
     fields: dict[str, Column] = {}
     for depth in range(max_depth, 0, -1):
-        prefix = F.slice(layers, 1, depth)
+        tag = F.get("path", F.lit(depth - 1))
         number = F.lit(str(depth))
         next_key = F.unhex(F.sha2(F.concat_ws("/", F.lit(secret), msg_id, number, F.lit("next")), 256))
         goes_on = F.size(layers) > depth
         content = F.to_json(
-            F.struct(
-                F.get(layers, F.lit(depth - 1)).alias("m"), F.when(goes_on, base64_text(next_key)).alias("k")
-            )
+            F.struct(F.get(layers, F.lit(depth - 1)).alias("m"), F.when(goes_on, base64_text(next_key)).alias("k"))
         )
-        key = sh.key_of_limbs(sh.key_limbs(epoch, prefix, secret))
+        key = sh.key_of_limbs(sh.key_limbs(tag, secret))
         fields = {
-            "tag": prefix_tag(epoch, prefix, secret),
+            "tag": tag,
             "x": x,
-            "y": sh.share_values(epoch, prefix, F.col("threshold"), x, secret),
+            "y": sh.share_values(tag, F.col("threshold"), x, secret),
             "ct": _encrypt(content, key, _nonce(msg_id, number, F.lit("content"))),
             "inner": F.when(goes_on, inner),
         }
@@ -78,7 +77,7 @@ def seal(messages: DataFrame, secret: str, max_depth: int) -> DataFrame:
             )
             outer_key = F.unhex(F.sha2(F.concat_ws("/", F.lit(secret), msg_id, F.lit(str(depth - 1)), F.lit("next")), 256))
             inner = _encrypt(text, outer_key, _nonce(msg_id, number, F.lit("layer")))
-    return messages.select(
+    return tagged.select(
         F.col("epoch").cast("smallint").alias("epoch"),
         F.col("threshold").cast("int").alias("threshold"),
         "msg_id",
@@ -151,16 +150,24 @@ def open_layer(keyed: DataFrame) -> DataFrame:
 def class_outcomes(flags: DataFrame, max_failed: int = MAX_FAILED, max_failed_top: int = MAX_FAILED_TOP) -> DataFrame:
     """What became of each class: messages, errors, the measurement of its first opened message, and whether it failed.
 
-    A class fails if no message opens or the first opened one is not a ``name|value`` text. Messages that do not open
+    The first message is the one whose number has the smallest hash. A class fails if no message opens or the first one is not a ``name|value`` text. Messages that do not open
     count as errors only if some message of the class goes on to a next layer.
     """
     broken = ~F.col("opened") | (F.col("has_next") & ~F.col("next_opened"))
-    summed = flags.groupBy(*_CLASS).agg(
+    # Messages of a class have the same text, so the first step leaves few rows, and it only sums numbers.
+    by_text = flags.groupBy(*_CLASS, "parent_tag", "measurement").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if("opened").alias("n_opened"),
-        F.coalesce(F.max(F.col("opened") & F.col("has_next")), F.lit(False)).alias("goes_on"),
+        F.max(F.col("opened") & F.col("has_next")).alias("goes_on"),
         F.count_if(broken).alias("broken"),
-        F.min(F.when(F.col("opened"), F.struct("msg_id", "measurement"))).alias("first"),
+        F.min(F.when(F.col("opened"), F.xxhash64("msg_id"))).alias("order"),
+    )
+    summed = by_text.groupBy(*_CLASS).agg(
+        F.sum("n").alias("n"),
+        F.sum("n_opened").alias("n_opened"),
+        F.max("goes_on").alias("goes_on"),
+        F.sum("broken").alias("broken"),
+        F.min(F.when(F.col("order").isNotNull(), F.struct("order", "measurement"))).alias("first"),
         F.min("parent_tag").alias("parent_tag"),
     )
     parts = split_measurement(F.col("first.measurement"))

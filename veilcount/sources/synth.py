@@ -37,9 +37,9 @@ def generated_messages(uniques: DataFrame, key: str, copies: int = COPIES, layer
         F.concat(F.lit(f"layer{i}|"), hashed_u32(F.col(key).cast("string"), F.lit(str(i))).cast("string"))
         for i in range(layer_count)
     ]
-    return uniques.select(
-        key, F.array(*layers).alias("layers"), F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy")
-    )
+    # The layers are hashed before the rows are repeated.
+    measurements = uniques.select(key, F.array(*layers).alias("layers"))
+    return measurements.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
 
 
 def message_lines(spark: SparkSession, path: str) -> DataFrame:
