@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from rows import messages
@@ -159,3 +160,27 @@ def test_epochs_with_only_pending_rows(spark):
         job.run_batch(messages(spark, few), 1)
     assert kept.expire() == [] and kept.tables.read("pending").count() == 1
     assert purged.expire() == [1] and purged.tables.read("pending").count() == 0
+
+
+def test_copies_of_one_share_do_not_hide_the_others(spark):
+    """A class that is mostly copies of one message still gives its key, from an unthinned look."""
+    clear = spark.range(5_000).select(
+        F.lit(1).cast("smallint").alias("epoch"),
+        F.array(F.lit("l0|1")).alias("layers"),
+        F.lit(3).alias("threshold"),
+        F.when(F.col("id") < 4, F.col("id")).otherwise(0).cast("string").alias("msg_id"),
+    )
+    folder = new_work_folder(spark, "sealed")
+    sealed.seal(clear, "secret", 1).write.parquet(folder)
+    job = aggregation(spark, sealed=True)
+    job.run_batch(spark.read.parquet(folder), 5_000)
+    assert reported(job) == {(1, ("l0|1",)): 5_000}
+
+
+def test_state_bounds_stop_the_run(spark):
+    job = aggregation(spark)
+    for rows in ([(1, ["n|" + "v" * 129], 2, 2)], [(1, ["n" * 65 + "|v"], 2, 2)], [(1, ["n|v"], 40_000, 2)]):
+        with pytest.raises(Exception, match="too l"):
+            job.run_batch(messages(spark, rows), 2)
+    job.run_batch(messages(spark, [(1, ["n" * 64 + "|" + "v" * 128], 2, 2)]), 2)
+    assert job.measurements().count() == 1

@@ -16,7 +16,7 @@ from veilcount.functions import shares as sh
 from veilcount.functions.tags import tag_path
 from veilcount.functions.text import base64_text, split_measurement
 from veilcount.operators import state
-from veilcount.operators.skew import heavy_rows, spread_join
+from veilcount.operators.skew import heavy_rows, spread_join, without_heavy
 from veilcount.operators.threshold import eligible_classes
 
 # How many messages of one class may fail to open as a whole before the run stops.
@@ -26,6 +26,8 @@ PENDING = "epoch SMALLINT, tag BINARY, threshold INT, msg_id STRING, x BIGINT, y
 QUARANTINE = "epoch SMALLINT, tag BINARY, threshold INT, msg_id STRING"
 _OUTER = "tag STRING, x BIGINT, y ARRAY<BIGINT>, ct STRING, inner STRING"
 _CONTENT = "m STRING, k STRING"
+# How many times the needed shares are looked at in a large class.
+THINNED_TO = 8
 _KEYS = ["epoch", "tag"]
 _CLASS = ["epoch", "tag", "threshold"]
 
@@ -100,6 +102,15 @@ def share_sample(shares: DataFrame) -> DataFrame:
     return ranked.filter(F.col("rank") <= F.col("threshold") + F.floor(F.col("threshold") / 3)).drop("rank")
 
 
+def thinned(shares: DataFrame) -> DataFrame:
+    """About ``THINNED_TO`` times the needed shares of each class, by a hash of x.
+
+    ``shares`` carries ``one_in``. Copies of a share stay or go together, so a class of many copies may come out too
+    small; such classes are sampled again without thinning.
+    """
+    return shares.filter(F.pmod(F.xxhash64("x", F.lit("thin")), F.col("one_in")) == 0)
+
+
 def recover_keys(sample: DataFrame) -> DataFrame:
     """(class, key) from sampled shares; the key is NULL when fewer than k different shares are left."""
     listed = sample.groupBy(*_CLASS).agg(F.sort_array(F.collect_list(F.struct("x", "y"))).alias("shares"))
@@ -142,11 +153,27 @@ def open_layer(keyed: DataFrame) -> DataFrame:
             F.col("content.k").isNotNull().alias("has_next"),
             F.col("next.tag").isNotNull().alias("next_opened"),
             F.col("content.m").alias("measurement"),
-            F.when(F.col("next.tag").isNotNull(), F.col("next")).alias("next"),
+            F.unbase64("next.tag").alias("next_tag"),
+            F.col("next.x").alias("next_x"),
+            F.col("next.y").alias("next_y"),
+            F.unbase64("next.ct").alias("next_ct"),
+            F.unbase64("next.inner").alias("next_inner"),
         )
     )
 
 
+def next_layer(opened: DataFrame, failed: DataFrame) -> DataFrame:
+    """The messages of the next round: what opened in classes that did not fail, with this tag as the parent."""
+    return opened.filter("next_opened").join(failed, _CLASS, "left_anti").select(
+        "epoch",
+        F.col("next_tag").alias("tag"),
+        "threshold",
+        "msg_id",
+        *[F.col(f"next_{c}").alias(c) for c in ("x", "y", "ct", "inner")],
+        F.col("tag").alias("parent_tag"),
+    )
+
+
 def class_outcomes(flags: DataFrame, max_failed: int = MAX_FAILED, max_failed_top: int = MAX_FAILED_TOP) -> DataFrame:
     """What became of each class: messages, errors, the measurement of its first opened message, and whether it failed.
 
@@ -224,7 +251,9 @@ def process_batch(
         return spark.read.parquet(f"{folder}/{name}")
 
     fields = ["epoch", "tag", "threshold", "msg_id", "x", "y", "ct", "inner"]
-    new = messages.select(*fields, F.lit(None).cast("binary").alias("parent_tag"))
+    no_parent = F.lit(None).cast("binary").alias("parent_tag")
+    # Each round reads its messages several times, mostly a few columns of them.
+    new = written(messages.select(*fields), "parsed").select(*fields, no_parent)
     lineage = spark.createDataFrame([], state.RECOVERED_CHANGES).select(*_KEYS, "path", "chain")
     changes, waits, quarantine = [], [], []
     errors = 0
@@ -234,22 +263,35 @@ def process_batch(
         where = f"round={number}"
         new_counts = new.groupBy(*_CLASS).agg(F.count(F.lit(1)).alias("n"))
         known = lookup_keys(new_counts, recovered)
-        waiting = state.lookup_pending(new_counts, recovered, pending).select(*fields, F.lit(None).cast("binary").alias("parent_tag"))
+        waiting = state.lookup_pending(new_counts, recovered, pending).select(*fields, no_parent)
         waiting_counts = waiting.groupBy(*_CLASS).agg(F.count(F.lit(1)).alias("n"))
         counts = written(
             new_counts.withColumn("is_new", F.lit(True)).unionByName(waiting_counts.withColumn("is_new", F.lit(False))),
             f"{where}/counts",
         )
         unknown = counts.join(known.select(*_KEYS), _KEYS, "left_anti")
-        eligible = eligible_classes(
-            unknown.filter("is_new").drop("is_new"), unknown.filter("NOT is_new").drop("is_new"), _KEYS
+        eligible = written(
+            eligible_classes(
+                unknown.filter("is_new").drop("is_new"), unknown.filter("NOT is_new").drop("is_new"), _KEYS
+            ).filter("threshold >= 2").withColumn(
+                "one_in", F.greatest(F.floor(F.col("n") / (F.col("threshold") * THINNED_TO)), F.lit(1))
+            ),
+            f"{where}/eligible",
         )
         both = new.unionByName(waiting)
-        shares = spread_join(both.select(*_CLASS, "msg_id", "x", "y"), eligible, _CLASS, heavy, "msg_id")
-        fresh = tag_keys(recover_keys(share_sample(shares)))
+
+        def keys_of(classes: DataFrame, choose) -> DataFrame:
+            shares = spread_join(both.select(*_CLASS, "msg_id", "x", "y"), classes, _CLASS, heavy, "msg_id")
+            return tag_keys(recover_keys(share_sample(choose(shares))))
+
+        fresh = written(keys_of(eligible, thinned), f"{where}/fresh")
+        short = eligible.filter("one_in > 1").join(fresh, _KEYS, "left_anti")
+        if not short.isEmpty():
+            fresh = fresh.unionByName(keys_of(short, lambda shares: shares))
         sizes = counts.groupBy(*_KEYS).agg(F.sum("n").alias("n"))
         keys = written(known.unionByName(fresh).join(sizes, _KEYS), f"{where}/keys")
-        waits.append(written(state.still_pending(new.select(*fields), keys), f"{where}/pending"))
+        unopened = state.still_pending(without_heavy(new.select(*fields), keys, _KEYS, heavy), keys)
+        waits.append(written(unopened, f"{where}/pending"))
         if keys.isEmpty():
             break
         opened = written(open_layer(spread_join(both, keys, _KEYS, heavy, "msg_id")), f"{where}/opened")
@@ -285,21 +327,7 @@ def process_batch(
         lost = opened.join(outcomes.filter("failed").select(*_CLASS), _CLASS, "left_semi")
         quarantine.append(lost.select(*_CLASS, "msg_id"))
         errors += outcomes.agg(F.sum("errors")).first()[0] or 0
-        survivors = opened.filter("next_opened").join(outcomes.filter("failed").select(*_CLASS), _CLASS, "left_anti")
-        new = written(
-            survivors.select(
-                "epoch",
-                F.unbase64("next.tag").alias("tag"),
-                "threshold",
-                "msg_id",
-                "next.x",
-                "next.y",
-                F.unbase64("next.ct").alias("ct"),
-                F.unbase64("next.inner").alias("inner"),
-                F.col("tag").alias("parent_tag"),
-            ),
-            f"{where}/next",
-        )
+        new = next_layer(opened, outcomes.filter("failed").select(*_CLASS))
     else:
         raise RuntimeError(f"messages are left after {max_rounds} layers")
 

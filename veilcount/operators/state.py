@@ -75,6 +75,20 @@ def within_bounds(name: F.Column, value: F.Column, threshold: F.Column) -> F.Col
     )
 
 
+def checked_changes(changes: DataFrame) -> DataFrame:
+    """Fail the job at a name or value that is too long for the recovered table."""
+    fits = within_bounds(F.col("name"), F.col("value"), F.lit(0))
+    problem = F.concat(F.lit("name or value too long: "), F.substring("name", 1, MAX_NAME))
+    return changes.withColumn("name", F.when(~fits, F.raise_error(problem)).otherwise(F.col("name")))
+
+
+def checked_pending(pending: DataFrame) -> DataFrame:
+    """Fail the job at a threshold that is too large for the pending table."""
+    problem = F.concat(F.lit("threshold too large: "), F.col("threshold"))
+    fits = F.col("threshold").between(0, MAX_THRESHOLD)
+    return pending.withColumn("threshold", F.when(~fits, F.raise_error(problem)).otherwise(F.col("threshold")))
+
+
 @dataclass
 class Progress:
     """Everything the commit rows say. Few and small: one row per batch, at most 256 epochs, one offset per partition."""

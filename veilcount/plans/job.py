@@ -95,7 +95,7 @@ class Aggregation:
         else:
             tags = known_changes.select("epoch", "tag").distinct()
             changes, waiting = incremental.process_batch(messages, tags, pending, work, count)
-        changes.write.mode("overwrite").parquet(f"{work}/changes")
+        state.checked_changes(changes).write.mode("overwrite").parquet(f"{work}/changes")
         changes = self.spark.read.parquet(f"{work}/changes")
 
         touched = changes.select("epoch", "tag")
@@ -108,7 +108,7 @@ class Aggregation:
         reported = self.write_measurements(batch, emitted, partial=False)
         taken = report.reported_changes(emitted)
         self.tables.write("recovered", batch, changes.unionByName(taken, allowMissingColumns=True))
-        self.tables.write("pending", batch, waiting)
+        self.tables.write("pending", batch, state.checked_pending(waiting))
         self.tables.commit(batch, next_offsets=next_offsets, reported=reported, errors=errors)
         return Outcome(batch, count, reported, errors)
 
