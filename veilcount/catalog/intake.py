@@ -10,6 +10,7 @@ from veilcount.operators import state, threshold as th
 from veilcount.plans import datasets as ds
 from veilcount.session import new_work_folder
 from veilcount.sources import intake, records as rec, synth
+from veilcount.streaming.intake import start_intake
 
 
 def _channels(spark):
@@ -58,7 +59,19 @@ def intake_status(spark, sf):
 def accepted_records(spark, sf):
     """Accepted submissions turned into records and read back as messages."""
     rows = intake.classify(ds.submissions(spark, sf), _channels(spark), ds.MAIN_CHANNEL)
-    made = intake.to_records(rows).withColumns({"partition": F.lit(0), "offset": F.lit(0)})
+    return _by_chain(intake.to_records(rows))
+
+
+def stream_intake(spark, sf):
+    """The same from a stream of submissions, through landed records."""
+    folder, checkpoint = new_work_folder(spark, "records"), new_work_folder(spark, "progress")
+    stream = ds.submissions_of_events(ds.table_stream(spark, sf, "events"))
+    start_intake(stream, _channels(spark), ds.MAIN_CHANNEL, folder, checkpoint, available_now=True).awaitTermination()
+    return _by_chain(spark.read.parquet(folder))
+
+
+def _by_chain(records):
+    made = records.withColumns({"partition": F.lit(0), "offset": F.lit(0)})
     return rec.to_messages(made).groupBy(
         "channel", F.col("message.epoch").alias("epoch"), F.array_join("message.layers", ",").alias("chain"), "threshold"
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -156,6 +169,7 @@ QUERIES = {
     "threshold_range": threshold_range,
     "intake_status": intake_status,
     "accepted_records": accepted_records,
+    "stream_intake": stream_intake,
     "read_records": read_records,
     "header_threshold": header_threshold,
     "bounded_batch": bounded_batch,
@@ -262,3 +276,5 @@ SELECT event_id, CASE WHEN len(string_split(txt, '|')) = 2 THEN string_split(txt
     "bounds_check": """SELECT doc_id, length(source || '/' || lang) <= 64 AND length(text) <= 128
        AND n_chars * 10 BETWEEN 0 AND 32767 AS fits FROM documents""",
 }
+
+ORACLES["stream_intake"] = ORACLES["accepted_records"]

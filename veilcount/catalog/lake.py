@@ -85,8 +85,7 @@ def lake_progress(spark, sf):
 def stream_lake(spark, sf):
     """The events table as a stream into the lake, read back."""
     folder, checkpoint = new_work_folder(spark, "lake"), new_work_folder(spark, "progress")
-    schema = spark.read.parquet(f"{sf}/events.parquet").schema
-    stream = spark.readStream.schema(schema).parquet(f"{sf}/events*.parquet")
+    stream = ds.table_stream(spark, sf, "events")
     lines = stream.select(
         F.col("event_type").alias("channel"), F.to_json(F.struct("event_id", "user_id")).alias("line")
     )

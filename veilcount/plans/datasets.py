@@ -20,7 +20,16 @@ ORDER_EPOCH = EpochLength(months=1)
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table with its zone-less timestamps read as UTC instants."""
-    frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return in_utc(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a stream of files."""
+    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
+    return in_utc(spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}*.parquet"))
+
+
+def in_utc(frame: DataFrame) -> DataFrame:
     zoneless = [f.name for f in frame.schema if f.dataType.typeName() == "timestamp_ntz"]
     return frame.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else frame
 
@@ -49,8 +58,12 @@ def lineitem_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """epoch, layers, threshold, msg_id, event_id, ts of the events table."""
-    return table(spark, sf_dir, "events").select(
+    return messages_of_events(table(spark, sf_dir, "events"))
+
+
+def messages_of_events(events: DataFrame) -> DataFrame:
+    """epoch, layers, threshold, msg_id, event_id, event_type, ts of the events table."""
+    return events.select(
         epoch_of_time(F.col("ts"), EVENT_ORIGIN, EVENT_EPOCH).alias("epoch"),
         F.array(
             layer("type", F.col("event_type")),
@@ -100,6 +113,10 @@ def _envelope() -> Column:
 
 
 def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return submissions_of_events(table(spark, sf_dir, "events"))
+
+
+def submissions_of_events(events: DataFrame) -> DataFrame:
     """Submissions of all events; some bodies, channels and headers are defective, depending on the event number."""
     number = F.col("event_id")
     text = (
@@ -127,7 +144,7 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     for rest, value in ((1, "abc"), (2, "19"), (3, "51"), (4, "+20"), (5, "50"), (6, "30 ")):
         threshold = F.when(number % 11 == rest, F.lit(value)).otherwise(threshold)
     threshold = F.when(number % 11 > 6, (20 + number % 31).cast("string")).otherwise(threshold)
-    rows = event_messages(spark, sf_dir)
+    rows = messages_of_events(events)
     return (
         rows.withColumn("envelope", _envelope())
         .withColumn("encoded", base64_text(text.cast("binary")))
