@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from veilcount.functions.tags import prefix_tag, tag_path
 from veilcount.functions.text import split_measurement
 from veilcount.operators import state
-from veilcount.operators.skew import heavy_rows, without_heavy
+from veilcount.operators.skew import heavy_rows, spread_join
 from veilcount.operators.threshold import collapse
 
 PENDING = "epoch SMALLINT, tag BINARY, threshold INT, layers ARRAY<STRING>, depth INT, n BIGINT"
@@ -23,14 +23,16 @@ def _by_prefix(rows: DataFrame) -> DataFrame:
     """One row per collapsed row and depth from its first unopened one on."""
     return (
         rows.filter(F.size("layers") >= F.col("depth"))
-        .withColumn("tags", tag_path(F.col("epoch"), F.col("layers")))
         .withColumn("d", F.explode(F.sequence("depth", F.size("layers"))))
         .withColumn("prefix", F.expr("slice(layers, 1, d)"))
-        .withColumn("tag", F.expr("get(tags, d - 1)"))
-        .drop("tags")
     )
 
 
+def _touched(rows: DataFrame) -> DataFrame:
+    """The tags of all prefixes of the rows."""
+    return rows.select("epoch", F.explode(tag_path(F.col("epoch"), F.col("layers"))).alias("tag"))
+
+
 def as_changes(nodes: DataFrame) -> DataFrame:
     """Recovered prefixes (epoch, prefix, n, has_children) as rows of the recovered table."""
     path = tag_path(F.col("epoch"), F.col("prefix"))
@@ -61,16 +63,15 @@ def process_batch(
     """
     heavy_from = heavy_rows(total)
     new = collapse(messages).withColumn("depth", F.lit(1)).withColumn("is_new", F.lit(True))
-    touched = _by_prefix(new).select("epoch", "tag")
-    waiting = state.lookup_pending(touched, recovered, pending)
+    waiting = state.lookup_pending(_touched(new), recovered, pending)
     live = new.unionByName(waiting.select(*[c for c in new.columns if c != "is_new"], F.lit(False).alias("is_new")))
     spark = messages.sparkSession
     # Both passes below start from the collapsed rows, so the input is read and parsed once.
     live.write.mode("overwrite").parquet(f"{folder}/live")
     exploded = _by_prefix(spark.read.parquet(f"{folder}/live"))
 
-    # The prefix goes with its tag; as a key, not as an aggregate, it keeps the sums in hash tables.
-    classes = exploded.groupBy("epoch", "tag", "prefix", "threshold").agg(
+    # Sums use the prefix itself as their key; only the much fewer prefixes that result are given tags.
+    classes = exploded.groupBy("epoch", "prefix", "threshold").agg(
         F.sum("n").alias("n"),
         F.count(F.lit(1)).alias("rows"),
         F.max("is_new").alias("is_new"),
@@ -78,27 +79,37 @@ def process_batch(
     )
     known = recovered.select("epoch", "tag", F.lit(True).alias("known"))
     nodes = (
-        classes.groupBy("epoch", "tag", "prefix")
+        classes.groupBy("epoch", "prefix")
         .agg(
-            F.sum("n").alias("change"),
+            F.sum("n").alias("messages"),
+            F.sum("rows").alias("n"),
             F.max("has_children").alias("has_children"),
             F.max(F.col("is_new") & (F.col("n") >= F.col("threshold"))).alias("opened"),
-            F.sum("rows").alias("n"),
         )
+        .withColumn("tag", prefix_tag(F.col("epoch"), F.col("prefix")))
         .join(known, ["epoch", "tag"], "left")
-        .withColumn("open", F.col("opened") | F.col("known").isNotNull())
+        .filter(F.col("opened") | F.col("known").isNotNull())
+    )
+    nodes.select("epoch", "prefix", "messages", "n", "has_children").write.mode("overwrite").parquet(f"{folder}/open")
+    opened = spark.read.parquet(f"{folder}/open")
+    changes = as_changes(opened.select("epoch", "prefix", F.col("messages").alias("n"), "has_children"))
+
+    # A row waits below its deepest open prefix. The rows of a large open prefix are spread; afterwards the few rows
+    # that come from one collapsed row meet again, most of them still on the same task.
+    marked = spread_join(
+        exploded.withColumn("spread", F.xxhash64("layers")),
+        opened.select("epoch", "prefix", F.col("n").alias("rows"), F.lit(True).alias("is_open")),
+        ["epoch", "prefix"],
+        heavy_from,
+        "spread",
+        how="left",
+        size="rows",
     )
-    nodes.write.mode("overwrite").parquet(f"{folder}/nodes")
-    nodes = spark.read.parquet(f"{folder}/nodes")
-    changes = as_changes(nodes.filter("open").select("epoch", "prefix", F.col("change").alias("n"), "has_children"))
-    # A row is stuck at its first closed prefix. A closed prefix holds fewer messages than its thresholds allow, and the
-    # rows of the large open ones are taken out before the shuffle, so this join has no large group.
-    closed = nodes.filter("NOT open").select("epoch", "tag")
-    candidates = without_heavy(exploded, nodes.filter("open").select("epoch", "tag", "n"), ["epoch", "tag"], heavy_from)
+    deepest = F.max(F.when(F.col("is_open"), F.col("d")))
     stuck = (
-        candidates.join(closed, ["epoch", "tag"], "left_semi")
-        .groupBy("epoch", "layers", "threshold", "is_new", F.col("depth").alias("started"))
-        .agg(F.min("d").cast("int").alias("depth"), F.min("n").alias("n"))
+        marked.groupBy("epoch", "layers", "threshold", "is_new", F.col("depth").alias("started"))
+        .agg((F.coalesce(deepest, F.min("d") - 1) + 1).cast("int").alias("depth"), F.min("n").alias("n"))
+        .filter(F.col("depth") <= F.size("layers"))
         .filter(F.col("is_new") | (F.col("depth") > F.col("started")))
     )
     tag = prefix_tag(F.col("epoch"), F.slice("layers", F.lit(1), F.col("depth")))

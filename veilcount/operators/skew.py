@@ -11,26 +11,34 @@ MOST_HEAVY_KEYS = 10_000
 
 
 def heavy_rows(total_rows: int) -> int:
-    """From how many rows on a key is heavy. At most ``MOST_HEAVY_KEYS`` keys can have that many."""
+    """From how many rows on a key is heavy. Per layer, at most ``MOST_HEAVY_KEYS`` keys can have that many."""
     return max(SMALLEST_HEAVY, -(-total_rows // MOST_HEAVY_KEYS))
 
 
 def spread_join(
-    rows: DataFrame, keyed: DataFrame, on: list[str], heavy_from: int, spread_by: str, salts: int = SALTS
+    rows: DataFrame,
+    keyed: DataFrame,
+    on: list[str],
+    heavy_from: int,
+    spread_by: str,
+    how: str = "inner",
+    size: str = "n",
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Inner join of ``rows`` with ``keyed``, which has one row per key and the key's number of rows ``n``.
+    """Join (inner or left) of ``rows`` with ``keyed``, which has one row per key and the key's number of rows in the
+    column ``size``.
 
     Rows of a heavy key are spread over ``salts`` tasks by ``spread_by``; the key's row is repeated once per salt. Only
     the heavy keys are broadcast, and ``heavy_rows`` bounds how many there can be.
     """
-    is_heavy = F.col("n") >= F.lit(heavy_from)
+    is_heavy = F.col(size) >= F.lit(heavy_from)
     heavy = keyed.filter(is_heavy).select(*on, F.lit(True).alias("is_heavy"))
     salted = rows.join(F.broadcast(heavy), on, "left").withColumn(
         "salt", F.when(F.col("is_heavy"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     )
     every_salt = F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = keyed.withColumn("salt", F.explode(every_salt)).drop("n")
-    return salted.drop("is_heavy").join(repeated, [*on, "salt"]).drop("salt")
+    repeated = keyed.withColumn("salt", F.explode(every_salt)).drop(size)
+    return salted.drop("is_heavy").join(repeated, [*on, "salt"], how).drop("salt")
 
 
 def without_heavy(rows: DataFrame, keyed: DataFrame, on: list[str], heavy_from: int) -> DataFrame:
