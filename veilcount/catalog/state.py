@@ -25,8 +25,8 @@ def _aggregation(spark, clock=LATER, now=LATER_NOW, **settings) -> Aggregation:
     return Aggregation(spark, Settings(clock, folder, **settings), F.lit(now).cast("timestamp"))
 
 
-def _batch(messages, number):
-    return messages.filter(F.col("batch") == number).drop("batch")
+def _batch(messages, *numbers):
+    return messages.filter(F.col("batch").isin(*numbers)).drop("batch")
 
 
 def _tagged(messages, depth=None):
@@ -88,28 +88,29 @@ def upsert_recovered(spark, sf):
     return tables.recovered().select("epoch", chain_text(), "count", "has_children")
 
 
-def _run(spark, sf, numbers, **settings):
+def _run(spark, sf, *batches):
+    """A job that has run batches of messages, each made of some of the three parts."""
     messages = ds.lineitem_messages(spark, sf)
-    job = _aggregation(spark, **settings)
-    for number in numbers:
-        part = _batch(messages, number)
+    job = _aggregation(spark)
+    for numbers in batches:
+        part = _batch(messages, *numbers)
         job.run_batch(part, part.count())
     return job
 
 
 def store_pending(spark, sf):
     """Pending rows after two batches: each message waits at its first prefix that is not recovered."""
-    tables = _run(spark, sf, (0, 1)).tables
+    tables = _run(spark, sf, (0,), (1, 2)).tables
     live = state.live_pending(tables.read("pending").drop("batch"), tables.recovered())
     stuck = F.array_join(F.expr("slice(layers, 1, depth)"), ",").alias("chain")
     return live.groupBy("epoch", stuck, "threshold").agg(F.sum("n").alias("n"))
 
 
 def purge_epoch(spark, sf):
-    """Rows of both tables when epochs 0 and 1 are purged after batch 0; batch 1 fills them again from nothing."""
+    """Rows of both tables when epochs 0 and 1 are purged after a first batch; a second fills them from nothing."""
     job = _run(spark, sf, (0,))
     job.tables.purge([0, 1])
-    part = _batch(ds.lineitem_messages(spark, sf), 1)
+    part = _batch(ds.lineitem_messages(spark, sf), 1, 2)
     job.run_batch(part, part.count())
     recovered, pending = job.tables.recovered(), job.tables.read("pending")
     held = state.live_pending(pending, recovered).groupBy("epoch").agg(F.sum("n").alias("pending"))
@@ -143,7 +144,7 @@ def replay_idempotent(spark, sf):
     """A batch that dies before its commit is run again; the result is that of running it once."""
     messages = ds.lineitem_messages(spark, sf)
     job = _run(spark, sf, (0,))
-    part = _batch(messages, 1)
+    part = _batch(messages, 1, 2)
     commit = job.tables.commit
 
     def die(*_, **__):
@@ -162,7 +163,7 @@ def replay_idempotent(spark, sf):
 
 def incremental_equals_batch(spark, sf):
     """Three batches and the expiry report add up to the threshold aggregation of all messages."""
-    job = _run(spark, sf, (0, 1, 2))
+    job = _run(spark, sf, (0,), (1,), (2,))
     job.expire()
     return _totals(job.measurements(), _LINE_NAMES)
 
@@ -231,16 +232,15 @@ WHERE batch < 2 AND NOT EXISTS (SELECT 1 FROM nodes WHERE nodes.epoch = m.epoch
 SELECT epoch, {sql.joined('prefix')} AS chain, CAST(sum(n) AS BIGINT) AS "count", bool_or(goes_on) AS has_children
 FROM classes GROUP BY epoch, prefix""",
     "store_pending": f"""WITH {sql.LINEITEM_MSGS},
-a AS (SELECT * FROM line_msgs WHERE batch < 2),{_stuck('a', 's')}
+{_stuck('line_msgs', 's').lstrip()}
 SELECT epoch, {sql.joined('prefix')} AS chain, threshold, n FROM s""",
     "purge_epoch": f"""WITH {sql.LINEITEM_MSGS},
-a AS (SELECT * FROM line_msgs WHERE batch = 1 OR (batch = 0 AND epoch > 1)),{_stuck('a', 's')},
+a AS (SELECT * FROM line_msgs WHERE batch > 0 OR epoch > 1),{_stuck('a', 's')},
 n AS (SELECT epoch, count(*) AS tags FROM s_n GROUP BY epoch),
 p AS (SELECT epoch, sum(n) AS pending FROM s GROUP BY epoch)
 SELECT coalesce(n.epoch, p.epoch) AS epoch, coalesce(tags, 0) AS tags, CAST(coalesce(pending, 0) AS BIGINT) AS pending
 FROM n FULL JOIN p ON n.epoch = p.epoch""",
-    "replay_idempotent": f"""WITH {sql.LINEITEM_MSGS},
-a AS (SELECT * FROM line_msgs WHERE batch < 2),{sql.revealed('a', 'revealed')} {_TOTALS}""",
+    "replay_idempotent": f"WITH {sql.LINEITEM_MSGS},{sql.revealed('line_msgs')} {_TOTALS}",
     "incremental_equals_batch": f"WITH {sql.LINEITEM_MSGS},{sql.revealed('line_msgs')} {_TOTALS}",
     "measurement_sink": f"""WITH {sql.EVENT_MSGS},
 typed AS (

@@ -65,7 +65,7 @@ def layer_rounds(spark, sf):
 
 
 def recovered_counts(spark, sf):
-    """Counts built up over three batches equal one count over all of them."""
+    """Messages of each recovered prefix, and the smallest threshold that recovered it."""
     nodes = th.recovered_nodes(ds.lineitem_messages(spark, sf))
     return nodes.select("epoch", _chain(), F.col("n").alias("count"), F.col("recovery_threshold").cast("int"))
 
