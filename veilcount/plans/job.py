@@ -95,16 +95,15 @@ class Aggregation:
         else:
             tags = known_changes.select("epoch", "tag").distinct()
             changes, waiting = incremental.process_batch(messages, tags, pending, work, count)
-        state.checked_changes(changes).write.mode("overwrite").parquet(f"{work}/changes")
-        changes = self.spark.read.parquet(f"{work}/changes")
+        changes = self._written(state.checked_changes(changes), f"{work}/changes")
 
         touched = changes.select("epoch", "tag")
         before = known_changes.join(touched.distinct(), ["epoch", "tag"], "left_semi")
         now_recovered = state.current_recovered(
             before.unionByName(changes.withColumn("batch", F.lit(batch).cast("bigint"))), self.settings.fixed_children
         )
-        report.full_report(now_recovered).write.mode("overwrite").parquet(f"{work}/emitted")
-        emitted = self.spark.read.parquet(f"{work}/emitted")
+        current = self._written(now_recovered, f"{work}/current")
+        emitted = self._written(report.full_report(current), f"{work}/emitted")
         reported = self.write_measurements(batch, emitted, partial=False)
         taken = report.reported_changes(emitted)
         self.tables.write("recovered", batch, changes.unionByName(taken, allowMissingColumns=True))
@@ -112,6 +111,11 @@ class Aggregation:
         self.tables.commit(batch, next_offsets=next_offsets, reported=reported, errors=errors)
         return Outcome(batch, count, reported, errors)
 
+    def _written(self, rows: DataFrame, path: str) -> DataFrame:
+        """The rows as a table, which later steps read instead of computing them again."""
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def write_measurements(self, batch: int, emitted: DataFrame, partial: bool) -> int:
         """Write the report of a batch; its readers see it once the batch is committed. Returns the sum of totals."""
         rows = report.measurements(emitted, self.settings.clock, self.now).withColumn("is_partial", F.lit(partial))
@@ -147,8 +151,8 @@ class Aggregation:
             return []
         batch = progress.last + 1
         work = new_work_folder(self.spark, f"batch-{batch}")
-        report.partial_report(report.nonzero(recovered, expired)).write.mode("overwrite").parquet(f"{work}/emitted")
-        emitted = self.spark.read.parquet(f"{work}/emitted")
+        left = self._written(report.nonzero(recovered, expired), f"{work}/left")
+        emitted = self._written(report.partial_report(left), f"{work}/emitted")
         self.write_measurements(batch, emitted, partial=True)
         self.tables.purge(expired, batch)
         return sorted(expired)

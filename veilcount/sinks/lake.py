@@ -63,14 +63,11 @@ def flush_batches(
     chunked = ordered_chunks(records, ["channel", "ts", "record_id"], chunks)
     order = ["ts", "record_id"]
     gaps = with_previous(chunked, ["channel"], order, "ts", "previous_ts")
-    starts = gaps.withColumn(
-        "starts",
-        (
-            F.col("previous_ts").isNotNull()
-            & (F.unix_micros("ts") - F.unix_micros("previous_ts") > F.lit(int(idle_seconds * 1_000_000)))
-        ).cast("bigint"),
-    )
-    numbered = running_sum(starts, ["channel"], order, F.col("starts"), "session")
+    silence = F.unix_micros("ts") - F.unix_micros("previous_ts")
+    starts = F.when(silence > F.lit(int(idle_seconds * 1_000_000)), 1).otherwise(0).cast("bigint")
+    # Every step is read twice, for the rows and for the sums of its chunks.
+    started = gaps.withColumn("starts", starts).checkpoint()
+    numbered = running_sum(started, ["channel"], order, F.col("starts"), "session").checkpoint()
     placed = running_sum(numbered, ["channel", "session"], order, F.lit(1).cast("bigint"), "place")
     return placed.withColumn("batch", F.floor((F.col("place") - 1) / batch_size)).drop("place", "starts", "previous_ts", "chunk")
 
