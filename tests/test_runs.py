@@ -184,3 +184,22 @@ def test_state_bounds_stop_the_run(spark):
             job.run_batch(messages(spark, rows), 2)
     job.run_batch(messages(spark, [(1, ["n" * 64 + "|" + "v" * 128], 2, 2)]), 2)
     assert job.measurements().count() == 1
+
+
+def test_bad_records_stop_the_run_or_are_kept_apart(spark):
+    good = spark.range(6).select(
+        F.lit(1).cast("smallint").alias("epoch"),
+        F.array(F.lit("l0|1")).alias("layers"),
+        F.lit(3).alias("threshold"),
+        F.lit(0).alias("partition"),
+        F.col("id").alias("offset"),
+    )
+    no_header = as_records(good).withColumn("headers", F.when(F.col("offset") > 0, F.col("headers")))
+    records = no_header.withColumn("value", F.when(F.col("offset") == 5, F.lit(b"junk")).otherwise(F.col("value")))
+    with pytest.raises(Exception, match="does not parse"):
+        aggregation(spark, min_messages=1, iterations=1).run(records, [0])
+    job = aggregation(spark, min_messages=1, iterations=1, on_bad_record="quarantine", default_threshold=3)
+    assert [o.reported for o in job.run(records, [0])] == [5]
+    kept = spark.read.parquet(f"{job.tables.folder}/bad_records")
+    assert [(r.offset, bytes(r.value)) for r in kept.collect()] == [(5, b"junk")]
+    assert {r.threshold for r in job.messages_of(records).collect()} == {3}

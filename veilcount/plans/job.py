@@ -33,6 +33,7 @@ class Settings:
     max_messages: int = rec.MAX_MESSAGES
     iterations: int = rec.MAX_ITERATIONS
     min_messages: int = rec.MIN_MESSAGES
+    on_bad_record: str = "failfast"
     fixed_children: bool = False
     purge_pending_only: bool = False
 
@@ -56,20 +57,24 @@ class Aggregation:
 
     # -- input ---------------------------------------------------------------------------------------------------------
 
+    def parsed(self, records: DataFrame) -> DataFrame:
+        """Records with their message and threshold, by the settings of the channel."""
+        schema = SEALED_ENVELOPE if self.settings.sealed else CLEAR_ENVELOPE
+        return rec.to_messages(records, schema, self.settings.on_bad_record, self.settings.default_threshold)
+
     def messages_of(self, records: DataFrame) -> DataFrame:
         """Messages of a batch of records, in the form the mode needs."""
+        parsed = self.parsed(records)
+        if self.settings.on_bad_record == "quarantine":
+            parsed = parsed.filter(F.col("message").isNotNull())
+        epoch = F.col("message.epoch").cast("smallint").alias("epoch")
+        threshold = F.col("threshold").cast("int").alias("threshold")
         if not self.settings.sealed:
-            parsed = rec.to_messages(rec.with_threshold(records, self.settings.default_threshold), CLEAR_ENVELOPE)
-            return parsed.select(
-                F.col("message.epoch").cast("smallint").alias("epoch"),
-                "message.layers",
-                F.col("threshold").cast("int").alias("threshold"),
-            )
-        parsed = rec.to_messages(rec.with_threshold(records, self.settings.default_threshold), SEALED_ENVELOPE)
+            return parsed.select(epoch, "message.layers", threshold)
         return parsed.select(
-            F.col("message.epoch").cast("smallint").alias("epoch"),
+            epoch,
             F.unbase64("message.tag").alias("tag"),
-            F.col("threshold").cast("int").alias("threshold"),
+            threshold,
             "message.msg_id",
             "message.x",
             "message.y",
@@ -77,6 +82,12 @@ class Aggregation:
             F.unbase64("message.inner").alias("inner"),
         )
 
+    def keep_bad_records(self, records: DataFrame) -> None:
+        """Write the records of the next batch that do not parse to a table of their own."""
+        batch = self.tables.progress().last + 1
+        bad = self.parsed(records).filter(F.col("message").isNull()).select("partition", "offset", "value")
+        bad.write.mode("overwrite").parquet(f"{self.tables.folder}/bad_records/batch={batch}")
+
     # -- one batch -----------------------------------------------------------------------------------------------------
 
     def run_batch(self, messages: DataFrame, count: int, next_offsets: dict[int, int] | None = None) -> Outcome:
@@ -135,6 +146,8 @@ class Aggregation:
             if count == 0 or count < self.settings.min_messages:
                 break
             reached = offsets | {row.partition: row.next_offset for row in extent}
+            if self.settings.on_bad_record == "quarantine":
+                self.keep_bad_records(part)
             done.append(self.run_batch(self.messages_of(part), count, reached))
         return done
 

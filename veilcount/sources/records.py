@@ -48,12 +48,14 @@ def with_threshold(records: DataFrame, default: int = DEFAULT_THRESHOLD) -> Data
     return records.withColumn("threshold", F.coalesce(number, F.lit(default).cast("bigint")))
 
 
-def to_messages(records: DataFrame, schema: str = CLEAR_ENVELOPE, mode: str = "failfast") -> DataFrame:
+def to_messages(
+    records: DataFrame, schema: str = CLEAR_ENVELOPE, mode: str = "failfast", default: int = DEFAULT_THRESHOLD
+) -> DataFrame:
     """Parsed messages with their thresholds.
 
     ``failfast`` stops the job at a record that does not parse; ``quarantine`` keeps such rows with a NULL message.
     """
-    parsed = with_threshold(records).withColumn("message", parse_envelope(F.col("value"), schema))
+    parsed = with_threshold(records, default).withColumn("message", parse_envelope(F.col("value"), schema))
     if mode == "quarantine":
         return parsed
     if mode != "failfast":
