@@ -35,9 +35,15 @@ def _tagged(messages, depth=None):
     return messages.withColumn("tag", prefix_tag(F.col("epoch"), prefix))
 
 
+def _collapsed(spark, sf):
+    """Equal messages of a part as one row, so that a chain is hashed once per part and not per message."""
+    messages = ds.lineitem_messages(spark, sf)
+    return messages.groupBy("epoch", "layers", "threshold", "batch").agg(F.count(F.lit(1)).alias("n"))
+
+
 def lookup_recovered(spark, sf):
     """Rows recovered from batches 0 and 1 for the outer two-layer tags of batch 2."""
-    messages = ds.lineitem_messages(spark, sf)
+    messages = _collapsed(spark, sf)
     recovered = recovered_rows(messages.filter("batch < 2"))
     found = state.lookup_recovered(_tagged(messages.filter("batch = 2"), 2), recovered)
     return found.select("epoch", chain_text(), "count")
@@ -45,11 +51,11 @@ def lookup_recovered(spark, sf):
 
 def lookup_pending(spark, sf):
     """Pending messages of batches 0 and 1 for those tags of batch 2 that are not recovered."""
-    messages = _tagged(ds.lineitem_messages(spark, sf))
+    messages = _tagged(_collapsed(spark, sf))
     earlier = messages.filter("batch < 2")
     found = state.lookup_pending(messages.filter("batch = 2"), recovered_rows(earlier), earlier)
     return found.groupBy("epoch", F.array_join("layers", ",").alias("chain"), "threshold").agg(
-        F.count(F.lit(1)).alias("n")
+        F.sum("n").alias("n")
     )
 
 
@@ -69,10 +75,10 @@ def children(spark, sf):
 
 def pending_delete(spark, sf):
     """What stays pending of batches 0 and 1 once the whole-chain tags recovered over all batches are opened."""
-    messages = _tagged(ds.lineitem_messages(spark, sf))
+    messages = _tagged(_collapsed(spark, sf))
     left = state.live_pending(messages.filter("batch < 2"), recovered_rows(messages.drop("tag")))
     return left.groupBy("epoch", F.array_join("layers", ",").alias("chain"), "threshold").agg(
-        F.count(F.lit(1)).alias("n")
+        F.sum("n").alias("n")
     )
 
 
