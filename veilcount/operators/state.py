@@ -53,9 +53,12 @@ def live_pending(pending: DataFrame, recovered: DataFrame) -> DataFrame:
 
 
 def lookup_pending(tags: DataFrame, recovered: DataFrame, pending: DataFrame) -> DataFrame:
-    """Live pending messages of the given tags, looked up only for tags that are not recovered."""
-    unknown = tags.select("epoch", "tag").distinct().join(recovered.select("epoch", "tag"), ["epoch", "tag"], "left_anti")
-    return pending.join(unknown, ["epoch", "tag"], "left_semi")
+    """Live pending messages of the given tags, looked up only for tags that are not recovered.
+
+    Both joins start from the pending rows, of which no tag holds many; the tags are distinct before they are joined.
+    """
+    asked = pending.join(tags.select("epoch", "tag").distinct(), ["epoch", "tag"], "left_semi")
+    return live_pending(asked, recovered)
 
 
 def still_pending(new: DataFrame, opened: DataFrame) -> DataFrame:
