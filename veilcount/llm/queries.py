@@ -4,13 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veilcount.llm import decontaminate, licenses, shards, toxicity
+from veilcount.llm import credentials, decontaminate, licenses, neighbours, pii, shards, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.report(_table(spark, sf_dir, "embeddings"))
+
+
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_table(spark, sf_dir, "documents"))
+
+
 def op3_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(_table(spark, sf_dir, "documents"))
 
@@ -19,6 +27,14 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.report(_table(spark, sf_dir, "pages"))
+
+
+def op8_credentials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.report(_table(spark, sf_dir, "documents"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -29,6 +45,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     query.__name__: query
-    for query in (op3_license_signatures, op4_feistel_shards, op9_decontaminate, op10_toxicity)
+    for query in (
+        op1_cross_polytope,
+        op2_personal_data,
+        op3_license_signatures,
+        op4_feistel_shards,
+        op7_url_cascade,
+        op8_credentials,
+        op9_decontaminate,
+        op10_toxicity,
+    )
 }
 ORACLES: dict[str, str] = {}
