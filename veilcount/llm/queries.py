@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veilcount.llm import credentials, decontaminate, licenses, neighbours, pii, shards, toxicity, url_filter
+from veilcount.llm import credentials, decontaminate, licenses, mixing, neighbours, ngram_join, pii, shards, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,14 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_report(_table(spark, sf_dir, "documents"))
 
 
+def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(_table(spark, sf_dir, "documents"))
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.report(_table(spark, sf_dir, "documents"))
+
+
 def op7_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.report(_table(spark, sf_dir, "pages"))
 
@@ -50,10 +58,12 @@ QUERIES = {
         op2_personal_data,
         op3_license_signatures,
         op4_feistel_shards,
+        op5_temperature_mix,
+        op6_ngram_join,
         op7_url_cascade,
         op8_credentials,
         op9_decontaminate,
         op10_toxicity,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_temperature_mix": mixing.ORACLE}
