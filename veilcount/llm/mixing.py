@@ -28,18 +28,21 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def measured(documents: DataFrame, seed: str) -> DataFrame:
-    """`documents` with `_source` (null: empty), `_tokens` (blank-separated words) and `_name`, which tells rows apart."""
+    """`row`, all columns of `documents` as one struct, with `source` (null: empty), `n_tokens` (blank-separated words)
+    and `name`, which tells rows apart."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    return (
-        documents.withColumn("_source", F.coalesce(F.col("source").cast("string"), F.lit("")))
-        .withColumn("_tokens", F.regexp_count(text, F.lit(WORD)).cast("bigint"))
-        .withColumn("_name", F.concat_ws("|", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text)))
+    doc_id = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return documents.select(
+        F.struct(*(documents[column] for column in documents.columns)).alias("row"),
+        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
+        F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("n_tokens"),
+        F.concat_ws("|", F.lit(seed), doc_id, F.md5(text)).alias("name"),
     )
 
 
 def _dealt(epoch: Column) -> Column:
     """Hash of a row in an epoch, as 12 hexadecimal digits."""
-    return F.substring(F.md5(F.concat_ws("|", "_name", epoch.cast("string"))), 1, 12)
+    return F.substring(F.md5(F.concat_ws("|", "name", epoch.cast("string"))), 1, 12)
 
 
 def _block(dealt: Column, blocks: Column) -> Column:
@@ -67,7 +70,7 @@ def _entropy(exponent: Column) -> Column:
 
 
 def plan(totals: DataFrame, limit: float | None = REPETITION_LIMIT, entropy: float | None = None, budget: int | None = None) -> DataFrame:
-    """_source, tokens, rows, weight, epochs, rest and blocks; totals: _source, tokens and rows of every source.
+    """source, tokens, rows, weight, epochs, rest and blocks; totals: source, tokens and rows of every source.
 
     One row holds all sources' shares while the exponent is bisected: a double for each source. Sources without tokens
     weigh nothing and are used once. Give either a repetition limit or an entropy (in nats).
@@ -103,13 +106,13 @@ def plan(totals: DataFrame, limit: float | None = REPETITION_LIMIT, entropy: flo
         .withColumn("epochs", F.floor("times"))
         .withColumn("rest", F.floor(F.round((F.col("times") - F.col("epochs")) * F.col("tokens"), 3)))
         .withColumn("blocks", F.least(F.ceil(F.col("rows") / BLOCK_ROWS), F.lit(MOST_BLOCKS)))
-        .select("_source", "tokens", "rows", F.round("weight", 9).alias("weight"), "epochs", "rest", "blocks")
+        .select("source", "tokens", "rows", F.round("weight", 9).alias("weight"), "epochs", "rest", "blocks")
     )
 
 
 def _with_sources(frame: DataFrame, sources: DataFrame) -> DataFrame:
     """Joins a written table of sources; it is sent around only when its rows are counted to be few."""
-    return frame.join(F.broadcast(sources) if sources.count() <= MOST_SENT else sources, "_source")
+    return frame.join(F.broadcast(sources) if sources.count() <= MOST_SENT else sources, "source")
 
 
 def mix(
@@ -119,40 +122,40 @@ def mix(
     budget: int | None = None,
     seed: str = "mix",
 ) -> DataFrame:
-    """The mix: every row of `documents` as often as its source's budget takes it, with _source, _tokens, _name, weight,
-    epoch (from 0) and block (place of its block in the epoch's permutation).
+    """The mix: `row`, all columns of a row of `documents` as one struct, as often as its source's budget takes it, with
+    source, n_tokens, name, weight, epoch (from 0) and block (place of its block in the epoch's permutation).
 
     A null source is a source of its own, called ''. Null and empty texts have no tokens: they are in every whole epoch,
     and in the rest where their block is. Repeated rows are mixed each; equal ones share their place, and may be cut from
-    the rest in any order. Without rows the mix is empty. Columns named weight, epoch or block are replaced.
+    the rest in any order. Without rows the mix is empty.
     """
-    rows = measured(documents.drop("weight", "epoch", "block"), seed)
-    totals = rows.groupBy("_source").agg(F.sum("_tokens").alias("tokens"), F.count("*").alias("rows"))
+    rows = measured(documents, seed)
+    totals = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("rows"))
     spark, folder = documents.sparkSession, new_work_folder(documents.sparkSession, "mixing")
     plan(totals, limit, entropy, budget).write.parquet(f"{folder}/sources")
     sources = spark.read.parquet(f"{folder}/sources")
     # Tokens of every block of the last, cut epoch, and the first block that does not fit whole.
-    last = _with_sources(rows.select("_source", "_tokens", "_name"), sources)
+    last = _with_sources(rows.select("source", "n_tokens", "name"), sources)
     last = last.withColumn("block", _block(_dealt(F.col("epochs")), F.col("blocks")))
-    sums = last.groupBy("_source", "block").agg(F.sum("_tokens").alias("held"), F.first("rest").alias("rest"))
-    before = Window.partitionBy("_source").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = last.groupBy("source", "block").agg(F.sum("n_tokens").alias("held"), F.first("rest").alias("rest"))
+    before = Window.partitionBy("source").orderBy("block").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = sums.withColumn("upto", F.sum("held").over(before))
-    cuts = running.where(F.col("upto") > F.col("rest")).groupBy("_source").agg(
+    cuts = running.where(F.col("upto") > F.col("rest")).groupBy("source").agg(
         F.min("block").alias("cut"), F.min_by(F.col("rest") - (F.col("upto") - F.col("held")), "block").alias("room")
     )
-    budgets = sources.join(cuts, "_source", "left").withColumn("cut", F.coalesce("cut", F.col("blocks")))
+    budgets = sources.join(cuts, "source", "left").withColumn("cut", F.coalesce("cut", F.col("blocks")))
     budgets.write.parquet(f"{folder}/budgets")
 
     dealt = _with_sources(rows, spark.read.parquet(f"{folder}/budgets"))
-    final = dealt.withColumn("_dealt", _dealt(F.col("epochs"))).withColumn("_last", _block(F.col("_dealt"), F.col("blocks")))
-    whole = F.col("epochs") + F.when((F.col("rest") > 0) & (F.col("_last") < F.col("cut")), 1).otherwise(0)
-    times = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_times") - 1))
-    full = final.withColumn("_times", whole.cast("bigint")).where(F.col("_times") > 0).withColumn("epoch", times).drop("_times")
-    edge = final.where((F.col("rest") > 0) & (F.col("_last") == F.col("cut")))
-    order = Window.partitionBy("_source").orderBy("_dealt", "_name").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    part = edge.withColumn("_upto", F.sum("_tokens").over(order)).where(F.col("_upto") <= F.col("room"))
-    together = full.unionByName(part.drop("_upto").withColumn("epoch", F.col("epochs")))
-    block = F.when(F.col("epoch") == F.col("epochs"), F.col("_last")).otherwise(_block(_dealt(F.col("epoch")), F.col("blocks")))
+    final = dealt.withColumn("dealt", _dealt(F.col("epochs"))).withColumn("last", _block(F.col("dealt"), F.col("blocks")))
+    whole = F.col("epochs") + F.when((F.col("rest") > 0) & (F.col("last") < F.col("cut")), 1).otherwise(0)
+    times = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("times") - 1))
+    full = final.withColumn("times", whole.cast("bigint")).where(F.col("times") > 0).withColumn("epoch", times).drop("times")
+    edge = final.where((F.col("rest") > 0) & (F.col("last") == F.col("cut")))
+    order = Window.partitionBy("source").orderBy("dealt", "name").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = edge.withColumn("upto", F.sum("n_tokens").over(order)).where(F.col("upto") <= F.col("room"))
+    together = full.unionByName(part.drop("upto").withColumn("epoch", F.col("epochs")))
+    block = F.when(F.col("epoch") == F.col("epochs"), F.col("last")).otherwise(_block(_dealt(F.col("epoch")), F.col("blocks")))
     return together.withColumn("block", block).select(
         *rows.columns, "weight", F.col("epoch").cast("bigint").alias("epoch"), F.col("block").cast("bigint").alias("block")
     )
@@ -160,20 +163,20 @@ def mix(
 
 def mixed(documents: DataFrame, **options) -> DataFrame:
     """The mix with the columns of `documents` only."""
-    return mix(documents, **options).select(*documents.columns)
+    return mix(documents, **options).select("row.*")
 
 
 def report(documents: DataFrame) -> DataFrame:
     """Every use of a document in the mix, with its source's weight and its place."""
     found = mix(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text"))
     return found.select(
-        "doc_id",
-        F.col("_source").alias("source"),
-        F.col("_tokens").alias("n_tokens"),
+        F.col("row.doc_id").alias("doc_id"),
+        "source",
+        "n_tokens",
         "weight",
         "epoch",
         "block",
-        F.substring(F.md5(F.concat_ws("|", "_name", F.col("epoch").cast("string"))), 1, 12).alias("place"),
+        F.substring(F.md5(F.concat_ws("|", "name", F.col("epoch").cast("string"))), 1, 12).alias("place"),
     )
 
 

@@ -407,24 +407,26 @@ def one_of_each_group(documents: DataFrame, words: int = WORDS, percent: int = P
     All columns stay as they are. Rows without shingles or without doc_id all stay; of repeated rows of one doc_id and set
     one stays.
     """
-    spark = documents.sparkSession
     rows, groups = similar_groups(documents, words, percent)
     decided = rows.where("doc_id is not null and size > 0").join(groups, "set_id")
     gone = decided.where("doc_id != component_id").select("doc_id", "set_id").distinct()
     repeated = decided.groupBy("doc_id", "set_id").count().where("count > 1")
-    tagged = T.StructType([*documents.schema.fields, T.StructField("_set_id", T.LongType())])
+    name = "_set_id"
+    while name in documents.columns:
+        name += "_"
+    tagged = T.StructType([*documents.schema.fields, T.StructField(name, T.LongType())])
 
     def tag(batches):
         hashes = _WordHashes()
         for batch in small_batches(batches):
             sets = [shingle_set(text, hashes, words) for text in utf8(batch, "text")]
             names = pa.array([set_id(found) if len(found) else None for found in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, names], [*batch.schema.names, "_set_id"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, names], [*batch.schema.names, name])
 
     frame = documents.mapInArrow(tag, tagged)
-    same = (frame["doc_id"] == gone["doc_id"]) & (frame["_set_id"] == gone["set_id"])
+    same = (frame["doc_id"] == gone["doc_id"]) & (frame[name] == gone["set_id"])
     kept = frame.join(gone, same, "left_anti")
     if not repeated.isEmpty():
-        nameable = F.col("doc_id").isNotNull() & F.col("_set_id").isNotNull()
-        kept = kept.where(nameable).dropDuplicates(["doc_id", "_set_id"]).union(kept.where(~nameable))
-    return kept.drop("_set_id")
+        nameable = F.col("doc_id").isNotNull() & F.col(name).isNotNull()
+        kept = kept.where(nameable).dropDuplicates(["doc_id", name]).union(kept.where(~nameable))
+    return kept.drop(name)

@@ -246,11 +246,14 @@ def find_personal_data(documents: DataFrame, model: Model) -> DataFrame:
     Null and empty texts have none; a null doc_id stays null; repeated rows are each scanned. Columns of those names are
     replaced, all others stay. Added spans share no place with a base span or with an added one of higher score.
     """
-    text = F.col("_prepared")
-    base = documents.drop("base", "added").withColumn("_prepared", spans.prepared(F.col("text"))).withColumn("base", base_spans(text))
+    name = "_prepared"
+    while name in documents.columns:
+        name += "_"
+    text = F.col(name)
+    base = documents.drop("base", "added").withColumn(name, spans.prepared(F.col("text"))).withColumn("base", base_spans(text))
     open_kinds = {kind: least for kind, least in model.thresholds.items() if least < math.inf}
     if not open_kinds:
-        return base.withColumn("added", F.slice("base", 1, 0)).drop("_prepared")
+        return base.withColumn("added", F.slice("base", 1, 0)).drop(name)
     free = F.filter(_proposed(text), lambda span: span["kind"].isin(*open_kinds) & ~F.exists("base", lambda other: _overlap(span, other)))
     wanted = F.filter(
         F.transform(
@@ -264,7 +267,7 @@ def find_personal_data(documents: DataFrame, model: Model) -> DataFrame:
         return F.when(F.exists(kept, lambda other: _overlap(span, other)), kept).otherwise(F.array_append(kept, plain)).cast(spans.TAGGED)
 
     added = F.aggregate(F.array_sort(wanted), F.array().cast(spans.TAGGED), keep)
-    return base.withColumn("added", added).drop("_prepared")
+    return base.withColumn("added", added).drop(name)
 
 
 def _overlap(one: Column, other: Column) -> Column:

@@ -67,27 +67,29 @@ def permute(numbers: np.ndarray, rows: int, seed: str, back: bool = False) -> np
     return found
 
 
-def number_rows(frame: DataFrame, order: list, column: str = "row_number") -> tuple[DataFrame, int]:
-    """`frame` with numbers from 0 in the order of `order`, and the number of rows.
+def number_rows(frame: DataFrame, order: list, columns: list[str]) -> tuple[DataFrame, int]:
+    """`row`, the columns of `frame` as one struct, and `row_number`, from 0 in the order of `order`; the number of rows.
 
     The rows are dealt by ranges of the key, sorted and written once with their place in the partition; the partitions'
     offsets are one small row each. Rows that agree in the whole key take their numbers in any order.
     """
     spark = frame.sparkSession
     folder = new_work_folder(spark, "numbered")
+    keys = [F.col(key) if isinstance(key, str) else key for key in order]
+    names = [f"key{at}" for at in range(len(keys))]
+    keyed = frame.select(F.struct(*(frame[name] for name in columns)).alias("row"), *(key.alias(name) for key, name in zip(keys, names)))
     place = F.monotonically_increasing_id()  # partition number above bit 33, place in the partition below
-    frame.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place).write.parquet(folder)
-    written = spark.read.parquet(folder).withColumn("_part", F.shiftright("_place", 33))
-    counts = sorted((row["_part"], row["count"]) for row in written.groupBy("_part").count().collect())
+    dealt = keyed.repartitionByRange(*names).sortWithinPartitions(*names)
+    dealt.select("row", place.alias("place")).write.parquet(folder)
+    written = spark.read.parquet(folder).withColumn("part", F.shiftright("place", 33))
+    counts = sorted((row["part"], row["count"]) for row in written.groupBy("part").count().collect())
     offsets, total = [], 0
     for part, count in counts:
         offsets.append((part, total))
         total += count
-    starts = spark.createDataFrame(offsets, "_part long, _start long")  # as many rows as range partitions
-    numbered = written.join(F.broadcast(starts), "_part").withColumn(
-        column, F.col("_start") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    )
-    return numbered.drop("_part", "_start", "_place"), total
+    starts = spark.createDataFrame(offsets, "part long, start long")  # as many rows as range partitions
+    number = F.col("start") + F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    return written.join(F.broadcast(starts), "part").select("row", number.alias("row_number")), total
 
 
 def assign_shards(frame: DataFrame, order: list, shards: int = 24, seed: str = "shards") -> DataFrame:
@@ -96,18 +98,15 @@ def assign_shards(frame: DataFrame, order: list, shards: int = 24, seed: str = "
     order: columns or expressions that name a row; null keys come first, rows with equal keys take neighbouring numbers
     in any order. Columns called shard or slot are replaced. An empty frame gives an empty result.
     """
-    kept = frame.drop("shard", "slot")
-    numbered, rows = number_rows(kept, order)
+    numbered, rows = number_rows(frame, order, [name for name in frame.columns if name not in ("shard", "slot")])
 
     @F.pandas_udf("long")
     def position(numbers: pd.Series) -> pd.Series:
         return pd.Series(permute(numbers.to_numpy(), rows, seed))
 
-    placed = numbered.withColumn("_position", position("row_number"))
+    placed = numbered.select("row", position("row_number").alias("position"))
     return placed.select(
-        *[placed[name] for name in kept.columns],
-        (F.col("_position") % shards).cast("int").alias("shard"),
-        F.expr(f"_position div {shards}").alias("slot"),
+        "row.*", (F.col("position") % shards).cast("int").alias("shard"), F.expr(f"position div {shards}").alias("slot")
     )
 
 

@@ -145,7 +145,8 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
     compressors = model.compressors()
     rows = np.array([_features(text, compressors) for texts in samples for text in texts])
     labels = np.array([1.0] * len(samples[0]) + [0.0] * len(samples[1]))
-    center, scale = rows.mean(0), rows.std(0) + 1e-9
+    center, scale = rows.mean(0), rows.std(0)
+    scale[scale < 1e-6] = 1  # the same in every sample: nothing to weigh
     model.center, model.scale = center.tolist(), scale.tolist()
     model.weights = _logistic((rows - center) / scale, labels).tolist()
     return model
