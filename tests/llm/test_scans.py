@@ -118,7 +118,7 @@ def test_toxicity_edge_rows(spark):
     toxic = [f"you utter idiot number {at} what a moron and a scum bag" for at in range(80)]
     plain = [f"a quiet walk number {at} along the river on a warm day in may {at % 7}" for at in range(80)]
     model = toxicity.fit(toxic, plain * 2)
-    rows = [(1, toxic[0]), (2, plain[0]), (3, None), (4, ""), (None, toxic[1]), (2, plain[0]), (5, "idiot " * 20_000)]
+    rows = [(1, toxic[0]), (2, plain[0]), (3, None), (4, ""), (None, toxic[1]), (2, plain[0]), (5, (toxic[0] + " ") * 5_000)]
     frame = spark.createDataFrame([(*row, 9) for row in rows], "doc_id long, text string, score int")
     found = toxicity.score_documents(frame, model).collect()
     assert len(found) == len(rows) and all(0 <= row.score <= 1 for row in found)
