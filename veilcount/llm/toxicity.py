@@ -132,6 +132,11 @@ def _logistic(rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return weights
 
 
+def _design(rows: np.ndarray, model: Model) -> np.ndarray:
+    """Standardised features; texts far longer than any of the sample count as long, not as off the scale."""
+    return np.clip((rows - model.center) / model.scale, -3, 3)
+
+
 def fit(toxic: list[str], ordinary: list[str]) -> Model:
     """A model from toxic and ordinary texts; without texts of both classes it scores every text 0."""
     samples = [[text.encode() for text in dict.fromkeys(texts) if text] for texts in (toxic, ordinary)]
@@ -148,7 +153,7 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
     center, scale = rows.mean(0), rows.std(0)
     scale[scale < 1e-6] = 1  # the same in every sample: nothing to weigh
     model.center, model.scale = center.tolist(), scale.tolist()
-    model.weights = _logistic((rows - center) / scale, labels).tolist()
+    model.weights = _logistic(_design(rows, model), labels).tolist()
     return model
 
 
@@ -173,8 +178,7 @@ def fit_on(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_P
 def _scores(model: Model):
     def score(texts: list[bytes | None], compressors) -> np.ndarray:
         rows = np.array([_features(text, compressors) for text in texts]).reshape(-1, FEATURES)
-        design = (rows - model.center) / model.scale
-        value = design @ np.array(model.weights[:-1]) + model.weights[-1]
+        value = _design(rows, model) @ np.array(model.weights[:-1]) + model.weights[-1]
         return 1 / (1 + np.exp(-np.clip(value, -30, 30)))
 
     def of(batches):
