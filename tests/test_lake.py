@@ -27,6 +27,12 @@ def test_date_field(spark):
     assert sorted(r.line for r in got if r.channel == "other") == ["  ", "not json"]
 
 
+def test_last_of_repeated_keys_counts(spark):
+    rows = lines(spark, [("dated", '{"a":1,"b":0,"a":2}')])
+    got = lake.with_date_field(rows, F.lit("2024-01-01"), ["dated"]).first().line
+    assert json.loads(got) == {"a": 2, "b": 0, "ymd": "2024-01-01"}
+
+
 def test_broken_json_fails(spark):
     with pytest.raises(Exception, match="not JSON"):
         lake.with_date_field(lines(spark, [("dated", "{")]), F.lit("2024-01-01"), ["dated"]).collect()
@@ -84,6 +90,30 @@ def test_stream_goes_on_after_a_restart(spark):
     assert sorted(got, key=str) == [{"x": 0, "ymd": "2024-01-01"}, {"x": 1, "ymd": "2024-01-01"}]
 
 
+def test_new_checkpoint_adds_lines(spark):
+    source, folder = new_work_folder(spark, "source"), new_work_folder(spark, "lake")
+    lines(spark, [("a", '{"x":1}')]).write.parquet(source)
+    for _ in range(2):
+        stream = spark.readStream.schema("channel STRING, line STRING").parquet(source)
+        progress = new_work_folder(spark, "progress")
+        start_lake_sink(stream, folder, progress, [], available_now=True, today=lambda: "2024-01-01").awaitTermination()
+    assert lake.read_jsonl(spark, folder).count() == 2
+
+
+def test_replay_keeps_the_first_date(spark):
+    folder = new_work_folder(spark, "lake")
+    rows = lines(spark, [("a", '{"x":1}')])
+    for day in ("2024-01-01", "2024-01-02"):
+        store_batch(rows, 0, folder, ["a"], lambda: day, query="q")
+    store_batch(rows, 1, folder, ["a"], lambda: "2024-01-02", query="q")
+    got = sorted((r.date, json.loads(r.line)["ymd"]) for r in lake.read_jsonl(spark, folder).collect())
+    assert got == [("2024-01-01", "2024-01-01"), ("2024-01-02", "2024-01-02")]
+
+
+def test_topic_writer_options():
+    assert lake.topic_writer_options("h:1", "out") == {"kafka.bootstrap.servers": "h:1", "topic": "out"}
+
+
 @pytest.mark.parametrize("n", [1, 2, 10, 100, 333])
 def test_percentiles(spark, n):
     values = [(i * 7919) % 100_000 for i in range(n)]

@@ -34,7 +34,7 @@ def walk(batches):
             for tag, new in tags.items():
                 both = new + waiting[tag]
                 classes = {m[2] for m in new}
-                if tag in known or any(sum(m[2] == k for m in both) >= k for k in classes):
+                if tag in known or any(k >= 2 and sum(m[2] == k for m in both) >= k for k in classes):
                     known.add(tag)
                     waiting[tag] = []
                     for e, layers, t, depth in both:
@@ -49,7 +49,7 @@ def walk(batches):
     return totals, sum(len(v) for v in waiting.values()), unrevealed
 
 
-def cases(seed, epochs, batches, depth, per_case=60):
+def cases(seed, epochs, batches, depth, per_case=60, thresholds=(2, 3, 5)):
     """Random batches; every epoch is a case of its own."""
     rng = random.Random(seed)
     made = []
@@ -59,7 +59,7 @@ def cases(seed, epochs, batches, depth, per_case=60):
             size = rng.randint(2, 3)
             for _ in range(rng.randint(1, per_case // 10)):
                 layers = [f"l{d}|{rng.randrange(size)}" for d in range(depth)]
-                rows.append((epoch, layers, rng.choice([2, 3, 5]), rng.randint(1, 3)))
+                rows.append((epoch, layers, rng.choice(thresholds), rng.randint(1, 3)))
         made.append(rows)
     return made
 
@@ -80,7 +80,7 @@ def aggregation(spark, **settings):
 
 def test_clear_runs_equal_the_walk(spark):
     epochs = range(1, 200)
-    batches = cases(1, epochs, 3, 3)
+    batches = cases(1, epochs, 3, 3, thresholds=(0, 1, 2, 3, 5))
     expected, hidden, unrevealed = walk(batches)
     assert expected
     everything = messages(spark, [row for batch in batches for row in batch])
@@ -133,11 +133,57 @@ def test_bounded_run_reads_on_and_leaves_small_rests(spark):
         F.floor(F.col("id") / 2).alias("offset"),
     )
     job = aggregation(spark, max_messages=40, iterations=5, min_messages=30)
-    done = job.run(as_records(frame), [0, 1])
+    done = job.run(as_records(frame))
     assert [o.messages for o in done] == [40, 40]
     assert job.tables.progress().next_offsets == {0: 40, 1: 40}
     assert [o.reported for o in done] == [40, 40]
-    assert job.run(as_records(frame), [0, 1]) == []
+    assert job.run(as_records(frame)) == []
+
+
+def test_partitions_are_found_and_rests_count_together(spark):
+    """All records in one of several partitions, which starts late and which no offset names yet."""
+    frame = spark.range(50).select(
+        F.lit(1).cast("smallint").alias("epoch"),
+        F.array(F.lit("l0|1")).alias("layers"),
+        F.lit(20).alias("threshold"),
+        F.lit(7).alias("partition"),
+        (F.col("id") + 2_000).alias("offset"),
+    )
+    job = aggregation(spark, max_messages=20, iterations=5, min_messages=10)
+    assert [o.messages for o in job.run(as_records(frame))] == [20, 20, 10]
+    assert job.tables.progress().next_offsets == {7: 2_050}
+    assert reported(job) == {(1, ("l0|1",)): 50}
+
+
+def test_malformed_layers_are_lost_or_stop_the_run(spark):
+    rows = [(1, ["l0|1", "nodelim"], 3, 4), (1, ["l0|1", "b|x|y", "c|1"], 3, 5), (1, ["l0|1", "l1|2"], 3, 3), (1, ["bad"], 3, 2)]
+    job = aggregation(spark)
+    outcome = job.run_batch(messages(spark, rows), 14)
+    assert (outcome.errors, outcome.reported) == (9, 3)
+    lost = {(r.layers[1], r.n) for r in job.quarantine().collect()}
+    assert lost == {("nodelim", 4), ("b|x|y", 5)}
+    job.run_batch(messages(spark, [(1, ["bad"], 3, 1)]), 1)
+    assert job.quarantine().agg(F.sum("n")).first()[0] == 10  # the one that opened the tag; two go on waiting
+    job.expire()
+    assert reported(job) == {(1, ("l0|1", "l1|2")): 3, (1, ("l0|1",)): 9}
+    few = aggregation(spark, max_failed=4)
+    with pytest.raises(Exception, match="no message opens"):
+        few.run_batch(messages(spark, rows), 14)
+    assert few.quarantine() is None and few.measurements().count() == 0
+    top = aggregation(spark, max_failed=0, max_failed_top=2)
+    assert top.run_batch(messages(spark, [(1, ["bad"], 2, 2)]), 2).errors == 2
+
+
+def test_batches_with_compactions_equal_the_walk(spark):
+    batches = cases(5, range(1, 6), 7, 2)
+    expected, _, _ = walk(batches)
+    job = aggregation(spark, compact_every=3)
+    for batch in batches:
+        frame = messages(spark, batch)
+        job.run_batch(frame, frame.count())
+        assert len(job.tables.progress().batches) <= 3
+    job.expire()
+    assert reported(job) == expected
 
 
 def test_late_messages_start_from_empty_state(spark):
@@ -163,7 +209,7 @@ def test_epochs_with_only_pending_rows(spark):
 
 
 def test_copies_of_one_share_do_not_hide_the_others(spark):
-    """A class that is mostly copies of one message still gives its key, from an unthinned look."""
+    """A class that is mostly copies of one message still gives its key."""
     clear = spark.range(5_000).select(
         F.lit(1).cast("smallint").alias("epoch"),
         F.array(F.lit("l0|1")).alias("layers"),
@@ -197,9 +243,9 @@ def test_bad_records_stop_the_run_or_are_kept_apart(spark):
     no_header = as_records(good).withColumn("headers", F.when(F.col("offset") > 0, F.col("headers")))
     records = no_header.withColumn("value", F.when(F.col("offset") == 5, F.lit(b"junk")).otherwise(F.col("value")))
     with pytest.raises(Exception, match="does not parse"):
-        aggregation(spark, min_messages=1, iterations=1).run(records, [0])
+        aggregation(spark, min_messages=1, iterations=1).run(records)
     job = aggregation(spark, min_messages=1, iterations=1, on_bad_record="quarantine", default_threshold=3)
-    assert [o.reported for o in job.run(records, [0])] == [5]
-    kept = spark.read.parquet(f"{job.tables.folder}/bad_records")
+    assert [o.reported for o in job.run(records)] == [5]
+    kept = job.bad_records()
     assert [(r.offset, bytes(r.value)) for r in kept.collect()] == [(5, b"junk")]
     assert {r.threshold for r in job.messages_of(records).collect()} == {3}

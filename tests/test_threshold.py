@@ -11,13 +11,10 @@ def revealed(frame):
 
 
 def test_distinct_tags_per_epoch(spark):
-    frame = messages(
-        spark,
-        [(4, ["test|5"], 50, 2), (5, ["test|1"], 50, 1), (5, ["test|3"], 50, 2), (6, ["test|2"], 50, 1), (6, ["test|1"], 50, 1)],
-    )
+    frame = messages(spark, [(0, ["os|a"], 9, 3), (0, ["os|b"], 9, 1), (0, ["os|c"], 9, 8), (7, ["os|a"], 9, 5)])
     counts = th.class_counts(frame)
-    assert {r.epoch: r.n for r in counts.groupBy("epoch").agg(F.count("*").alias("n")).collect()} == {4: 1, 5: 2, 6: 2}
-    assert counts.agg(F.sum("n")).first()[0] == 7
+    assert {r.epoch: r.n for r in counts.groupBy("epoch").agg(F.count("*").alias("n")).collect()} == {0: 3, 7: 1}
+    assert counts.agg(F.sum("n")).first()[0] == 17
     assert revealed(frame) == {}
 
 
@@ -42,13 +39,22 @@ def test_messages_that_end_above_others_are_partial(spark):
     assert revealed(frame) == {(0, ("a|1", "b|1")): (20, False), (0, ("a|1",)): (7, True)}
 
 
-def test_threshold_zero_is_always_reached(spark):
-    assert revealed(messages(spark, [(0, ["a|1"], 0, 1)])) == {(0, ("a|1",)): (1, False)}
+def test_thresholds_below_two_open_nothing(spark):
+    assert revealed(messages(spark, [(0, ["a|1"], 0, 1), (1, ["a|1"], 1, 9), (2, ["a|1"], 0, 500)])) == {}
+    beside = messages(spark, [(0, ["a|1"], 0, 4), (0, ["a|1"], 1, 3), (0, ["a|1"], 5, 5), (0, ["a|1", "b|1"], 1, 2)])
+    assert revealed(beside) == {(0, ("a|1",)): (14, True)}
+
+
+def test_malformed_layers_stay_with_the_layer_above(spark):
+    frame = messages(
+        spark, [(0, ["a|1", "nothing"], 2, 4), (0, ["a|1", "b|x|y", "c|1"], 2, 4), (0, ["broken"], 2, 9), (0, ["a|1", "b|1"], 2, 2)]
+    )
+    assert revealed(frame) == {(0, ("a|1",)): (8, True), (0, ("a|1", "b|1")): (2, False)}
 
 
 def test_class_must_be_new_to_be_recovered(spark):
     schema = "epoch INT, tag STRING, threshold INT, n BIGINT"
-    new = spark.createDataFrame([(0, "a", 20, 5), (0, "b", 50, 1), (0, "c", 20, 20), (0, "c", 50, 50)], schema)
+    new = spark.createDataFrame([(0, "a", 20, 5), (0, "b", 50, 1), (0, "c", 20, 20), (0, "c", 50, 50), (0, "e", 1, 9)], schema)
     pending = spark.createDataFrame([(0, "a", 20, 15), (0, "b", 20, 40), (0, "d", 20, 30)], schema)
     got = {(r.tag, r.threshold) for r in th.eligible_classes(new, pending, ["epoch", "tag"]).collect()}
     assert got == {("a", 20), ("c", 20), ("c", 50)}

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from veilcount.catalog import sql
 from veilcount.functions import epochs as ep
-from veilcount.operators import threshold as th
 from veilcount.plans import datasets as ds
+from veilcount.plans.job import Aggregation, Settings
+from veilcount.session import new_work_folder
 
 _MONTH = ep.EpochClock(250, datetime(1996, 1, 31), ep.EpochLength(months=1))
 _WEEK = ep.EpochClock(250, datetime(1996, 1, 31, 6), ep.EpochLength(days=7))
@@ -60,15 +61,20 @@ def epoch_assign(spark, sf):
 
 
 def late_epoch(spark, sf):
-    """Messages of epochs 0 and 1 that arrive in epoch 4, after the purge, start from empty state and still count."""
-    messages = ds.event_messages(spark, sf)
-    arrival = F.when(F.col("event_id") % 4 == 0, F.lit(4)).otherwise(F.col("epoch"))
-    late = ep.is_expired(F.col("epoch"), arrival, 3)
-    marked = messages.withColumn("late", late)
-    parts = [
-        th.reveal(marked.filter(F.col("late") == flag)).withColumn("late", F.lit(flag)) for flag in (False, True)
-    ]
-    return parts[0].unionByName(parts[1]).select("epoch", F.array_join("prefix", ",").alias("chain"), "total", "late")
+    """A quarter of epochs 0 and 1 arrives after their expiry and purge, starts from empty state and still counts."""
+    messages = ds.event_messages(spark, sf).select("epoch", "layers", "threshold", "event_id")
+    late = (F.col("event_id") % 4 == 0) & (F.col("epoch") <= 1)
+    clock = ep.EpochClock(4, datetime(2024, 2, 5), ds.EVENT_EPOCH, 3)
+    job = Aggregation(spark, Settings(clock, new_work_folder(spark, "aggregation")), F.lit("2024-01-30").cast("timestamp"))
+    for rows in (messages.filter(~late), messages.filter(late)):
+        job.run_batch(rows.drop("event_id"), rows.count())
+        job.expire()
+    names = ("type", "hour", "uid", "k")
+    cell = lambda n: F.concat(F.lit(f"{n}|"), F.get_json_object("json", f"$.{n}"))
+    shown = job.measurements().select(
+        "epoch", F.concat_ws(",", *[cell(n) for n in names]).alias("chain"), "total", (F.col("batch") > 1).alias("late")
+    )
+    return shown.groupBy("epoch", "chain", "late").agg(F.sum("total").alias("total"))
 
 
 QUERIES = {
@@ -104,6 +110,6 @@ FROM orders GROUP BY ALL""",
     "late_epoch": f"""WITH {sql.EVENT_MSGS},
 on_time AS (SELECT * FROM event_msgs WHERE NOT (event_id % 4 = 0 AND epoch <= 1)),
 too_late AS (SELECT * FROM event_msgs WHERE event_id % 4 = 0 AND epoch <= 1),{sql.revealed('on_time', 'a')},{sql.revealed('too_late', 'b')}
-SELECT epoch, {sql.joined('prefix')} AS chain, total, FALSE AS late FROM a
+SELECT epoch, {sql.joined('prefix')} AS chain, total, FALSE AS late FROM a WHERE NOT is_partial OR epoch <= 1
 UNION ALL SELECT epoch, {sql.joined('prefix')}, total, TRUE FROM b""",
 }

@@ -79,8 +79,8 @@ def _by_chain(records):
 
 def read_records(spark, sf):
     """Everything after the committed offsets, parsed."""
-    unread = rec.bounded_batch(ds.records(spark, sf), {p: 100 * p for p in range(4)}, limit=2**40)
-    return rec.to_messages(unread).select(
+    unread = rec.bounded_batch(rec.Landed(ds.records(spark, sf)), {p: 100 * p for p in range(1, 4)}, limit=2**40)
+    return rec.to_messages(unread.records).select(
         "partition",
         "offset",
         F.col("message.epoch").alias("epoch"),
@@ -94,8 +94,33 @@ def header_threshold(spark, sf):
 
 
 def bounded_batch(spark, sf):
-    batch = rec.bounded_batch(ds.records(spark, sf), {p: 100 * (p + 1) for p in range(4)}, limit=1_001)
-    return rec.batch_extent(batch)
+    """All records in batches of a tenth: every one in exactly one batch, over uneven partitions with gaps.
+
+    Partition 0 starts late, partition 1 lacks every other stretch of 64 offsets, partition 3 is only found by reading.
+    """
+    uneven = _uneven(ds.records(spark, sf)).select("partition", "offset")
+    total = uneven.count()
+    source, committed, parts = rec.Landed(uneven), {0: 0, 1: 0, 2: 0}, []
+    while True:
+        batch = rec.bounded_batch(source, committed, limit=-(-total // 10))
+        if not batch.waiting:
+            break
+        parts.append(batch.records.withColumn("batch", F.lit(len(parts))))
+        committed = batch.next_offsets
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
+    by_row = rows.groupBy("partition", "offset").agg(F.count(F.lit(1)).alias("times"))
+    return by_row.groupBy("partition").agg(
+        F.count(F.lit(1)).alias("records"), F.max("times").alias("times"), F.max("offset").alias("last_offset")
+    )
+
+
+def _uneven(records):
+    late = (F.col("partition") != 0) | (F.col("offset") >= 50)
+    holes = (F.col("partition") != 1) | (F.floor(F.col("offset") / 64) % 2 == 1)
+    few = (F.col("partition") != 2) | (F.col("offset") % 5 == 0)
+    return records.filter(late & holes & few)
 
 
 def arrival_rate(spark, sf):
@@ -253,8 +278,9 @@ SELECT partition, "offset", CAST(epoch AS INTEGER) AS epoch, {sql.joined('layers
 FROM recs WHERE "offset" >= 100 * partition""",
     "header_threshold": f'WITH {_RECORDS} SELECT partition, "offset", threshold FROM recs',
     "bounded_batch": f"""WITH {_RECORDS}
-SELECT partition, count(*) AS messages, max("offset") + 1 AS next_offset FROM recs
-WHERE "offset" >= 100 * (partition + 1) AND "offset" < 100 * (partition + 1) + 251 GROUP BY partition""",
+SELECT partition, count(*) AS records, CAST(1 AS BIGINT) AS times, max("offset") AS last_offset FROM recs
+WHERE (partition <> 0 OR "offset" >= 50) AND (partition <> 1 OR "offset" // 64 % 2 = 1)
+  AND (partition <> 2 OR "offset" % 5 = 0) GROUP BY partition""",
     "arrival_rate": f"""WITH c AS (SELECT epoch_us(ts) // 3000000000 AS f, count(*) AS n FROM events GROUP BY ALL),
 g AS (SELECT unnest(range((SELECT min(f) FROM c), (SELECT max(f) FROM c) + 1)) AS f)
 SELECT strftime(make_timestamp(g.f * 3000000000), '%Y-%m-%d %H:%M:%S') AS start, coalesce(n, 0) AS messages,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veilcount.catalog import sql
+from veilcount.catalog.state import event_job
 from veilcount.operators import monitoring
 from veilcount.plans import datasets as ds
 from veilcount.session import new_work_folder
@@ -73,15 +74,27 @@ def lake_ymd(spark, sf):
 
 
 def lake_batches(spark, sf):
-    rows = lake.flush_batches(ds.lake_records(spark, sf), IDLE, SIZE, chunks=16)
+    rows = lake.flush_batches(ds.lake_records(spark, sf), IDLE, SIZE)
     return rows.select("channel", "record_id", "session", "batch")
 
 
 def lake_progress(spark, sf):
-    rows = lake.flush_batches(ds.lake_records(spark, sf), IDLE, SIZE, chunks=16)
+    rows = lake.flush_batches(ds.lake_records(spark, sf), IDLE, SIZE)
     return monitoring.lake_progress(rows, F.lit("2024-01-30 23:59:00").cast("timestamp"), IDLE, SIZE)
 
 
+def records_to_lake(spark, sf):
+    """Records through a whole run of bounded batches, its measurements into the lake, and summed there."""
+    folder = new_work_folder(spark, "lake")
+    job = event_job(spark, ds.records(spark, sf))
+    for batch in sorted(row.batch for row in job.measurements().select("batch").distinct().collect()):
+        lake.write_jsonl(lake.measurement_lines(job.measurements().filter(F.col("batch") == batch), "events"), folder, F.lit(DATE))
+    schema = "type STRING, hour STRING, uid STRING, k STRING, wos STRING, total BIGINT"
+    rows = lake.read_jsonl(spark, folder).select("date", "channel", F.from_json("line", schema).alias("m"))
+    summed = lake.rollup(rows.select("date", "channel", "m.*"), ["date", "channel", "type", "hour", "uid", "k", "wos"])
+    return summed.drop("reports").filter("total > 0")
+
+
 def stream_lake(spark, sf):
     """The events table as a stream into the lake, read back."""
     folder, checkpoint = new_work_folder(spark, "lake"), new_work_folder(spark, "progress")
@@ -102,6 +115,7 @@ QUERIES = {
     "lake_ymd": lake_ymd,
     "lake_batches": lake_batches,
     "lake_progress": lake_progress,
+    "records_to_lake": records_to_lake,
     "stream_lake": stream_lake,
 }
 
@@ -134,6 +148,16 @@ q AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY session DESC, b
              AND NOT (TIMESTAMP '2024-01-30 23:59:00' - last > INTERVAL {IDLE} SECOND) AS is_open FROM z)
 SELECT channel, CAST(sum(CASE WHEN is_open THEN 0 ELSE n END) AS BIGINT) AS saved,
        CAST(sum(CASE WHEN is_open THEN n ELSE 0 END) AS BIGINT) AS waiting FROM q GROUP BY channel""",
+    "records_to_lake": f"""WITH {sql.EVENT_MSGS},
+typed AS (
+  SELECT epoch, layers, CASE event_id % 13 WHEN 0 THEN 50 WHEN 1 THEN 0 WHEN 2 THEN 50 WHEN 3 THEN 50 WHEN 4 THEN 306 ELSE 20 END AS threshold
+  FROM event_msgs),{sql.revealed('typed')}
+SELECT '{DATE}' AS date, 'events' AS channel, split_part(prefix[1], '|', 2) AS type,
+       CASE WHEN len(prefix) > 1 THEN split_part(prefix[2], '|', 2) END AS hour,
+       CASE WHEN len(prefix) > 2 THEN split_part(prefix[3], '|', 2) END AS uid,
+       CASE WHEN len(prefix) > 3 THEN split_part(prefix[4], '|', 2) END AS k,
+       strftime(DATE '2024-01-01' + CAST(epoch AS INTEGER) * 7, '%Y-%m-%d') AS wos, total
+FROM revealed WHERE NOT is_partial OR 4 - epoch >= 3""",
     "stream_lake": f"""SELECT '{DATE}' AS date, event_type AS channel, event_id, user_id,
        CASE WHEN {_DATED} THEN '{DATE}' END AS ymd FROM events""",
 }

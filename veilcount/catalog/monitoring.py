@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from veilcount.operators import monitoring
 from veilcount.plans import datasets as ds
-from veilcount.sources.intake import MAX_CHANNELS
 
 NOW = "2024-02-01 00:00:00"
 # channel, lag threshold, last success, lock-out in seconds
@@ -38,13 +37,12 @@ def consumer_lag(spark, sf):
 
 
 def channels_due(spark, sf):
-    assert len(_DUE) <= MAX_CHANNELS
     rows = [(c, t, datetime.fromisoformat(s) if s else None, m) for c, t, s, m in _DUE]
     channels = spark.createDataFrame(
         rows, "channel STRING, lag_threshold BIGINT, last_success TIMESTAMP_NTZ, min_seconds BIGINT"
     ).withColumn("last_success", F.col("last_success").cast("timestamp"))
     lag = monitoring.consumer_lag(ds.offsets(spark, sf))
-    return monitoring.channels_due(lag, F.broadcast(channels), F.lit(NOW).cast("timestamp"))
+    return monitoring.channels_due(lag, channels, F.lit(NOW).cast("timestamp"))
 
 
 QUERIES = {
@@ -61,9 +59,9 @@ _REQUESTS = """requests AS (
          CASE WHEN event_id % 19 = 0 THEN 404 WHEN event_id % 23 = 0 THEN 400 ELSE 204 END AS status,
          value / 100 AS seconds
   FROM events)"""
-_LAG = """highs AS (
-  SELECT event_type AS channel, user_id % 4 AS p, max(event_id) + 1 AS high FROM events GROUP BY ALL),
-lags AS (SELECT channel, CAST(sum(CASE WHEN p < 3 THEN (p + 1) * 100 ELSE 0 END) AS BIGINT) AS lag FROM highs GROUP BY channel)"""
+_LAG = f"""lags AS (
+  SELECT event_type AS channel,
+         count(*) FILTER (user_id % 4 < 3 AND ts >= TIMESTAMP '{ds.COMMITTED_AT}') AS lag FROM events GROUP BY event_type)"""
 _SETTINGS = ", ".join(
     f"('{c}', {t}, {'NULL' if s is None else f'TIMESTAMP {chr(39)}{s}{chr(39)}'}, {m})" for c, t, s, m in _DUE
 )

@@ -45,8 +45,8 @@ def nodes(source: str = "classes", name: str = "nodes") -> str:
     return f"""
 {name} AS (
   SELECT epoch, prefix, sum(n) AS n, bool_or(goes_on) AS has_children,
-         min(CASE WHEN n >= threshold THEN threshold END) AS recovery_threshold
-  FROM {source} GROUP BY epoch, prefix HAVING bool_or(n >= threshold))"""
+         min(CASE WHEN n >= threshold AND threshold >= 2 THEN threshold END) AS recovery_threshold
+  FROM {source} GROUP BY epoch, prefix HAVING bool_or(n >= threshold AND threshold >= 2))"""
 
 
 def revealed(source: str, name: str = "revealed", where: str = "TRUE") -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from veilcount.catalog import sql
 from veilcount.catalog.report import chain_text, recovered_rows
 from veilcount.functions.epochs import EpochClock
-from veilcount.functions.tags import prefix_tag
+from veilcount.functions.tags import prefix_tag, tag_path
 from veilcount.operators import incremental, skew, state, threshold as th
 from veilcount.plans import datasets as ds
 from veilcount.plans.job import Aggregation, Settings
@@ -60,11 +60,14 @@ def lookup_pending(spark, sf):
 
 
 def join_keys(spark, sf):
-    """Messages of every class of a recovered tag, joined to the tag's row."""
-    messages = _tagged(ds.event_messages(spark, sf), 2)
-    recovered = recovered_rows(ds.event_messages(spark, sf))
-    keyed = recovered.select("epoch", "tag", F.col("count").alias("n"), "chain")
-    opened = skew.spread_join(messages, keyed, ["epoch", "tag"], skew.heavy_rows(0), "msg_id")
+    """Messages of every class of a recovered tag of any depth, joined to the tag's row."""
+    messages = ds.event_messages(spark, sf)
+    folder = new_work_folder(spark, "keys")
+    keyed = recovered_rows(messages).select("epoch", "tag", F.col("count").alias("n"), "chain")
+    keyed.write.parquet(folder)
+    tags = F.explode(tag_path(F.col("epoch"), F.col("layers"))).alias("tag")
+    rows = messages.select("epoch", tags, "threshold", "msg_id")
+    opened = skew.spread_join(rows, spark.read.parquet(folder), ["epoch", "tag"], skew.heavy_rows(rows.count()), "msg_id")
     return opened.groupBy("epoch", chain_text(), "threshold").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -174,13 +177,58 @@ def incremental_equals_batch(spark, sf):
     return _totals(job.measurements(), _LINE_NAMES)
 
 
+_EVENT_CLOCK = EpochClock(4, datetime(2024, 2, 5), ds.EVENT_EPOCH, 3), "2024-01-30 12:00:00"
+
+
+def event_job(spark, records, batches=3, **settings):
+    """A whole run over records in so many bounded batches or one more, then expiry."""
+    clock, now = _EVENT_CLOCK
+    limit = -(-records.count() // batches)
+    job = _aggregation(spark, clock, now, max_messages=limit, iterations=100, min_messages=1, **settings)
+    job.run_all(records)
+    return job
+
+
 def measurement_sink(spark, sf):
     """Records through a whole run of bounded batches; only measurements of committed batches are read."""
-    job = _aggregation(
-        spark, EpochClock(4, datetime(2024, 2, 5), ds.EVENT_EPOCH, 3), "2024-01-30 12:00:00",
-        max_messages=2**40, iterations=3, min_messages=1,
-    )
-    job.run(ds.records(spark, sf), [0, 1, 2, 3])
+    job = event_job(spark, ds.records(spark, sf), compact_every=2)
+    return _totals(job.measurements(), _EVENT_NAMES).drop("is_partial")
+
+
+def malformed_layers(spark, sf):
+    """Records with defective layers through a whole run: what is revealed by epoch and chain, what is lost by epoch."""
+    records = ds.with_defects(ds.records(spark, sf))
+    job = event_job(spark, records, batches=1, max_failed=2**31, max_failed_top=2**31)
+    shown = _totals(job.measurements(), _EVENT_NAMES).select("epoch", "chain", "total", F.lit(False).alias("lost"))
+    lost = job.quarantine().groupBy("epoch").agg(F.sum("n").alias("total"))
+    return shown.unionByName(lost.select("epoch", F.lit("").alias("chain"), "total", F.lit(True).alias("lost")))
+
+
+def malformed_at_once(spark, sf):
+    """Defective layers in one aggregation over all messages: they and all below them stay with the layer above."""
+    revealed = th.reveal(ds.with_defective_layers(ds.event_messages(spark, sf), F.col("event_id")))
+    return revealed.select("epoch", F.array_join("prefix", ",").alias("chain"), "total", "is_partial")
+
+
+def mixed_classes(spark, sf):
+    """Classes with thresholds 0 and 1 beside others: they open nothing, and count once another class opens the tag."""
+    number = F.col("event_id")
+    threshold = F.when(number % 4 == 0, 0).when(number % 4 == 1, 1).otherwise(F.col("threshold"))
+    revealed = th.reveal(ds.event_messages(spark, sf).withColumn("threshold", threshold))
+    return revealed.select("epoch", F.array_join("prefix", ",").alias("chain"), "total", "is_partial")
+
+
+def many_batches(spark, sf):
+    """Six batches with compactions in between add up to the threshold aggregation of all messages."""
+    messages = ds.event_messages(spark, sf).withColumn("part", (F.col("event_id") % 6).cast("int"))
+    folder = new_work_folder(spark, "parts")
+    messages.select("epoch", "layers", "threshold", "part").write.partitionBy("part").parquet(folder)
+    clock, now = _EVENT_CLOCK
+    job = _aggregation(spark, clock, now, compact_every=3)
+    stored = spark.read.parquet(folder)
+    for number in range(6):
+        part = stored.filter(F.col("part") == number).drop("part")
+        job.run_batch(part, part.count())
     job.expire()
     return _totals(job.measurements(), _EVENT_NAMES).drop("is_partial")
 
@@ -197,6 +245,10 @@ QUERIES = {
     "replay_idempotent": replay_idempotent,
     "incremental_equals_batch": incremental_equals_batch,
     "measurement_sink": measurement_sink,
+    "malformed_layers": malformed_layers,
+    "malformed_at_once": malformed_at_once,
+    "mixed_classes": mixed_classes,
+    "many_batches": many_batches,
 }
 
 
@@ -213,6 +265,22 @@ def _stuck(source: str, name: str) -> str:
   FROM {name}_m JOIN {name}_d USING (id) WHERE depth < len(layers) GROUP BY ALL)"""
 
 
+# Defective layers as in ``plans.datasets``; everything from the first one on is out of reach, and marked by one layer
+# more that no threshold opens.
+_DEFECTS = """CASE WHEN event_id % 17 = 0 THEN [layers[1], replace(layers[2], '|', ' '), layers[3], layers[4]]
+     WHEN event_id % 19 = 0 THEN [layers[1] || '|x', layers[2], layers[3], layers[4]]
+     WHEN event_id % 23 = 0 THEN [layers[1], layers[2], layers[3], 'k'] ELSE layers END"""
+
+
+def _cut(source: str) -> str:
+    return f"""
+marked AS (
+  SELECT *, list_position(list_transform(layers, lambda l: len(l) - len(replace(l, '|', '')) <> 1), TRUE) AS bad FROM {source}),
+cut AS (
+  SELECT * REPLACE (CASE WHEN bad > 0 THEN list_concat(layers[1:bad - 1], [uuid()::VARCHAR]) ELSE layers END AS layers)
+  FROM marked)"""
+
+
 _TOTALS = f"""SELECT epoch, {sql.joined('prefix')} AS chain, is_partial, total FROM revealed"""
 
 ORACLES = {
@@ -227,7 +295,7 @@ WHERE EXISTS (SELECT 1 FROM line_msgs m WHERE batch = 2 AND m.epoch = a.epoch AN
   AND NOT EXISTS (SELECT 1 FROM nodes WHERE nodes.epoch = a.epoch AND nodes.prefix = a.layers) GROUP BY ALL""",
     "join_keys": f"""WITH {sql.EVENT_MSGS},{sql.classes('event_msgs')},{sql.nodes()}
 SELECT c.epoch, {sql.joined('c.prefix')} AS chain, c.threshold, c.n FROM classes c JOIN nodes
-ON c.epoch = nodes.epoch AND c.prefix = nodes.prefix WHERE len(c.prefix) = 2""",
+ON c.epoch = nodes.epoch AND c.prefix = nodes.prefix""",
     "children": f"""WITH {sql.EVENT_MSGS},{sql.classes('event_msgs')},{sql.nodes()}
 SELECT epoch, CASE WHEN len(prefix) > 1 THEN {sql.tag_hex('epoch', 'prefix[1:len(prefix) - 1]')} END AS parent_tag,
        {sql.tag_hex('epoch', 'prefix')} AS tag FROM nodes""",
@@ -253,4 +321,24 @@ typed AS (
   SELECT epoch, layers, CASE event_id % 13 WHEN 0 THEN 50 WHEN 1 THEN 0 WHEN 2 THEN 50 WHEN 3 THEN 50 WHEN 4 THEN 306 ELSE 20 END AS threshold
   FROM event_msgs),{sql.revealed('typed')}
 SELECT epoch, {sql.joined('prefix')} AS chain, total FROM revealed WHERE NOT is_partial OR 4 - epoch >= 3""",
+    "many_batches": f"""WITH {sql.EVENT_MSGS},{sql.revealed('event_msgs')}
+SELECT epoch, {sql.joined('prefix')} AS chain, total FROM revealed WHERE NOT is_partial OR 4 - epoch >= 3""",
+    "mixed_classes": f"""WITH {sql.EVENT_MSGS},
+typed AS (
+  SELECT epoch, layers, CASE event_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE threshold END AS threshold FROM event_msgs),{sql.revealed('typed')}
+SELECT epoch, {sql.joined('prefix')} AS chain, total, is_partial FROM revealed""",
+    "malformed_at_once": f"""WITH {sql.EVENT_MSGS},
+typed AS (SELECT epoch, {_DEFECTS} AS layers, threshold FROM event_msgs),{_cut('typed')},{sql.revealed('cut')}
+SELECT epoch, {sql.joined('prefix')} AS chain, total, is_partial FROM revealed""",
+    "malformed_layers": f"""WITH {sql.EVENT_MSGS},
+typed AS (
+  SELECT epoch, {_DEFECTS} AS layers,
+         CASE event_id % 13 WHEN 0 THEN 50 WHEN 1 THEN 0 WHEN 2 THEN 50 WHEN 3 THEN 50 WHEN 4 THEN 306 ELSE 20 END AS threshold,
+         event_id % 4 AS partition, event_id // 4 AS "offset"
+  FROM event_msgs),{_cut('typed')},{sql.revealed('cut')}
+SELECT epoch, {sql.joined('prefix')} AS chain, total, FALSE AS lost FROM revealed WHERE NOT is_partial OR 4 - epoch >= 3
+UNION ALL
+SELECT epoch, '', CAST(sum(n) AS BIGINT), TRUE FROM (
+  SELECT epoch, sum(n) AS n FROM (SELECT epoch, layers[1:bad] AS p, threshold, count(*) AS n FROM marked WHERE bad > 0 GROUP BY ALL)
+  GROUP BY epoch, p HAVING bool_or(n >= threshold AND threshold >= 2)) GROUP BY epoch""",
 }

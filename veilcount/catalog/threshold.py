@@ -134,7 +134,7 @@ SELECT epoch, layers[1] AS chain, threshold, count(*) AS n FROM line_msgs GROUP
     "eligible_tags": f"""WITH {sql.LINEITEM_MSGS},
 c AS (SELECT epoch, {sql.joined('layers')} AS tag, threshold, count(*) AS n, count(*) FILTER (batch = 2) AS n_new
       FROM line_msgs GROUP BY ALL)
-SELECT epoch, tag, min(threshold) AS recovery_threshold FROM c WHERE n_new > 0 AND n >= threshold GROUP BY ALL""",
+SELECT epoch, tag, min(threshold) AS recovery_threshold FROM c WHERE n_new > 0 AND n >= threshold AND threshold >= 2 GROUP BY ALL""",
     "prefix_explode": f"""WITH {sql.EVENT_MSGS},{sql.classes('event_msgs')}
 SELECT epoch, {sql.joined('prefix')} AS chain, threshold, n FROM classes""",
     "layer_rounds": f"""WITH {sql.LINEITEM_MSGS},{sql.classes('line_msgs')},{sql.nodes()},

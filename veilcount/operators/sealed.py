@@ -8,6 +8,7 @@ opened round by round; what a round opens is written to a table, from which the
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,17 +18,13 @@ from veilcount.functions.tags import tag_path
 from veilcount.functions.text import base64_text, split_measurement
 from veilcount.operators import state
 from veilcount.operators.skew import heavy_rows, spread_join, without_heavy
+from veilcount.operators.state import MAX_FAILED, MAX_FAILED_TOP
 from veilcount.operators.threshold import eligible_classes
 
-# How many messages of one class may fail to open as a whole before the run stops.
-MAX_FAILED, MAX_FAILED_TOP = 75, 500
-
 PENDING = "epoch SMALLINT, tag BINARY, threshold INT, msg_id STRING, x BIGINT, y ARRAY<BIGINT>, ct BINARY, inner BINARY"
 QUARANTINE = "epoch SMALLINT, tag BINARY, threshold INT, msg_id STRING"
 _OUTER = "tag STRING, x BIGINT, y ARRAY<BIGINT>, ct STRING, inner STRING"
 _CONTENT = "m STRING, k STRING"
-# How many times the needed shares are looked at in a large class.
-THINNED_TO = 8
 _KEYS = ["epoch", "tag"]
 _CLASS = ["epoch", "tag", "threshold"]
 
@@ -102,15 +99,6 @@ def share_sample(shares: DataFrame) -> DataFrame:
     return ranked.filter(F.col("rank") <= F.col("threshold") + F.floor(F.col("threshold") / 3)).drop("rank")
 
 
-def thinned(shares: DataFrame) -> DataFrame:
-    """About ``THINNED_TO`` times the needed shares of each class, by a hash of x.
-
-    ``shares`` carries ``one_in``. Copies of a share stay or go together, so a class of many copies may come out too
-    small; such classes are sampled again without thinning.
-    """
-    return shares.filter(F.pmod(F.xxhash64("x", F.lit("thin")), F.col("one_in")) == 0)
-
-
 def recover_keys(sample: DataFrame) -> DataFrame:
     """(class, key) from sampled shares; the key is NULL when fewer than k different shares are left."""
     listed = sample.groupBy(*_CLASS).agg(F.sort_array(F.collect_list(F.struct("x", "y"))).alias("shares"))
@@ -199,8 +187,10 @@ def class_outcomes(flags: DataFrame, max_failed: int = MAX_FAILED, max_failed_to
     )
     parts = split_measurement(F.col("first.measurement"))
     failed = (F.col("n_opened") == 0) | parts.isNull()
+    # The parent belongs to the tag: a class of waiting messages only does not carry it. A tag has few classes.
+    parent = F.min("parent_tag").over(Window.partitionBy(*_KEYS))
     limit = F.when(F.col("parent_tag").isNull(), max_failed_top).otherwise(max_failed)
-    return summed.select(
+    return summed.withColumn("parent_tag", parent).select(
         *_CLASS,
         "parent_tag",
         "n",
@@ -236,9 +226,15 @@ class SealedBatch:
 
 
 def process_batch(
-    messages: DataFrame, recovered: DataFrame, pending: DataFrame, folder: str, total: int, max_rounds: int = 64
+    messages: DataFrame,
+    recovered: DataFrame,
+    pending: DataFrame,
+    folder: str,
+    total: int,
+    max_failed: int = MAX_FAILED,
+    max_failed_top: int = MAX_FAILED_TOP,
 ) -> SealedBatch:
-    """Open a batch of sealed messages round by round.
+    """Open a batch of sealed messages round by round, until a round opens nothing.
 
     ``recovered`` are the current state rows, ``pending`` all pending rows ever appended, ``total`` the number of new
     messages, ``folder`` a work folder that all executors share.
@@ -257,13 +253,13 @@ def process_batch(
     lineage = spark.createDataFrame([], state.RECOVERED_CHANGES).select(*_KEYS, "path", "chain")
     changes, waits, quarantine = [], [], []
     errors = 0
-    for number in range(1, max_rounds + 1):
+    for number in count(1):
         if new.isEmpty():
             break
         where = f"round={number}"
         new_counts = new.groupBy(*_CLASS).agg(F.count(F.lit(1)).alias("n"))
         known = lookup_keys(new_counts, recovered)
-        waiting = state.lookup_pending(new_counts, recovered, pending).select(*fields, no_parent)
+        waiting = written(state.lookup_pending(new_counts, recovered, pending).select(*fields, no_parent), f"{where}/waiting")
         waiting_counts = waiting.groupBy(*_CLASS).agg(F.count(F.lit(1)).alias("n"))
         counts = written(
             new_counts.withColumn("is_new", F.lit(True)).unionByName(waiting_counts.withColumn("is_new", F.lit(False))),
@@ -273,21 +269,14 @@ def process_batch(
         eligible = written(
             eligible_classes(
                 unknown.filter("is_new").drop("is_new"), unknown.filter("NOT is_new").drop("is_new"), _KEYS
-            ).filter("threshold >= 2").withColumn(
-                "one_in", F.greatest(F.floor(F.col("n") / (F.col("threshold") * THINNED_TO)), F.lit(1))
             ),
             f"{where}/eligible",
         )
         both = new.unionByName(waiting)
 
-        def keys_of(classes: DataFrame, choose) -> DataFrame:
-            shares = spread_join(both.select(*_CLASS, "msg_id", "x", "y"), classes, _CLASS, heavy, "msg_id")
-            return tag_keys(recover_keys(share_sample(choose(shares))))
-
-        fresh = written(keys_of(eligible, thinned), f"{where}/fresh")
-        short = eligible.filter("one_in > 1").join(fresh, _KEYS, "left_anti")
-        if not short.isEmpty():
-            fresh = fresh.unionByName(keys_of(short, lambda shares: shares))
+        # The rank limit of the sample is applied before its shuffle, so a class of any size sends a few rows per task.
+        shares = spread_join(both.select(*_CLASS, "msg_id", "x", "y"), eligible, _CLASS, heavy, "msg_id")
+        fresh = tag_keys(recover_keys(share_sample(shares)))
         sizes = counts.groupBy(*_KEYS).agg(F.sum("n").alias("n"))
         keys = written(known.unionByName(fresh).join(sizes, _KEYS), f"{where}/keys")
         unopened = state.still_pending(without_heavy(new.select(*fields), keys, _KEYS, heavy), keys)
@@ -327,9 +316,8 @@ def process_batch(
         lost = opened.join(outcomes.filter("failed").select(*_CLASS), _CLASS, "left_semi")
         quarantine.append(lost.select(*_CLASS, "msg_id"))
         errors += outcomes.agg(F.sum("errors")).first()[0] or 0
-        new = next_layer(opened, outcomes.filter("failed").select(*_CLASS))
-    else:
-        raise RuntimeError(f"messages are left after {max_rounds} layers")
+        # The next round reads its messages several times.
+        new = written(next_layer(opened, outcomes.filter("failed").select(*_CLASS)), f"{where}/next")
 
     def together(parts: list[DataFrame], schema: str) -> DataFrame:
         result = spark.createDataFrame([], schema)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
 SMALLEST_HEAVY = 100_000
 MOST_HEAVY_KEYS = 10_000
 
@@ -23,25 +22,27 @@ def spread_join(
     spread_by: str,
     how: str = "inner",
     size: str = "n",
-    salts: int = SALTS,
 ) -> DataFrame:
     """Join (inner or left) of ``rows`` with ``keyed``, which has one row per key and the key's number of rows in the
     column ``size``.
 
-    Rows of a heavy key are spread over ``salts`` tasks by ``spread_by``; the key's row is repeated once per salt. Only
-    the heavy keys are broadcast, and ``heavy_rows`` bounds how many there can be.
+    Rows of a heavy key are spread by ``spread_by`` over as many tasks as its size holds ``heavy_from``; the key's row is
+    repeated once per salt. ``keyed`` is read more than once, so it should be a written table.
     """
-    is_heavy = F.col(size) >= F.lit(heavy_from)
-    heavy = keyed.filter(is_heavy).select(*on, F.lit(True).alias("is_heavy"))
-    salted = rows.join(F.broadcast(heavy), on, "left").withColumn(
-        "salt", F.when(F.col("is_heavy"), F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")).otherwise(F.lit(0))
-    )
-    every_salt = F.when(is_heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    salts = F.greatest(F.floor(F.col(size) / F.lit(heavy_from)), F.lit(1)).cast("int")
+    heavy = few(keyed.filter(F.col(size) >= F.lit(heavy_from)).select(*on, salts.alias("salts")))
+    place = F.pmod(F.xxhash64(spread_by), F.coalesce("salts", F.lit(1))).cast("int")
+    salted = rows.join(heavy, on, "left").withColumn("salt", place)
+    every_salt = F.sequence(F.lit(0), salts - 1)
     repeated = keyed.withColumn("salt", F.explode(every_salt)).drop(size)
-    return salted.drop("is_heavy").join(repeated, [*on, "salt"], how).drop("salt")
+    return salted.drop("salts").join(repeated, [*on, "salt"], how).drop("salt")
+
+
+def few(heavy: DataFrame) -> DataFrame:
+    """Keys to be joined with many rows: broadcast once they are counted to be few, else joined as Spark sees fit."""
+    return F.broadcast(heavy) if heavy.count() <= MOST_HEAVY_KEYS else heavy
 
 
 def without_heavy(rows: DataFrame, keyed: DataFrame, on: list[str], heavy_from: int) -> DataFrame:
     """``rows`` without those of heavy keys in ``keyed`` (one row per key, with its number of rows ``n``)."""
-    heavy = keyed.filter(F.col("n") >= F.lit(heavy_from)).select(*on)
-    return rows.join(F.broadcast(heavy), on, "left_anti")
+    return rows.join(few(keyed.filter(F.col("n") >= F.lit(heavy_from)).select(*on)), on, "left_anti")

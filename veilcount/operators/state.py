@@ -14,7 +14,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# What a row of the state may hold.
 MAX_NAME, MAX_VALUE, MAX_THRESHOLD = 64, 128, 32_767
+# How many messages of one class may fail to open as a whole before the run stops.
+MAX_FAILED, MAX_FAILED_TOP = 75, 500
+# Committed batches between two base batches.
+COMPACT_EVERY = 32
 
 RECOVERED_CHANGES = (
     "epoch SMALLINT, tag BINARY, parent_tag BINARY, name STRING, value STRING, path ARRAY<BINARY>, "
@@ -30,7 +35,9 @@ def current_recovered(changes: DataFrame, fixed_children: bool = False) -> DataF
     for which ``changes`` needs its ``batch`` column.
     """
     attributes = F.struct("parent_tag", "name", "value", "path", "chain", "key")
-    children = F.min_by("has_children", "batch") if fixed_children else F.max("has_children")
+    # Rows that only take reported counts away say nothing about children.
+    first = F.min(F.when(F.col("has_children").isNotNull(), F.struct("batch", "has_children")))
+    children = first["has_children"] if fixed_children else F.max("has_children")
     return (
         changes.groupBy("epoch", "tag")
         .agg(
@@ -73,15 +80,14 @@ def children(recovered: DataFrame) -> DataFrame:
 
 def within_bounds(name: F.Column, value: F.Column, threshold: F.Column) -> F.Column:
     """Whether a row fits the state columns."""
-    return (
-        (F.char_length(name) <= MAX_NAME) & (F.char_length(value) <= MAX_VALUE) & threshold.between(0, MAX_THRESHOLD)
-    )
+    fits = (F.char_length(name) <= MAX_NAME) & (F.char_length(value) <= MAX_VALUE) & threshold.between(0, MAX_THRESHOLD)
+    return F.coalesce(fits, F.lit(False))
 
 
 def checked_changes(changes: DataFrame) -> DataFrame:
     """Fail the job at a name or value that is too long for the recovered table."""
     fits = within_bounds(F.col("name"), F.col("value"), F.lit(0))
-    problem = F.concat(F.lit("name or value too long: "), F.substring("name", 1, MAX_NAME))
+    problem = F.concat(F.lit("name or value missing or too long: "), F.coalesce(F.substring("name", 1, MAX_NAME), F.lit("")))
     return changes.withColumn("name", F.when(~fits, F.raise_error(problem)).otherwise(F.col("name")))
 
 
@@ -108,8 +114,6 @@ class Progress:
 class StateTables:
     """Append-only tables under one folder, read through the committed batches only."""
 
-    MAX_COMMITS = 10_000
-
     def __init__(self, spark: SparkSession, folder: str, pending_schema: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
@@ -125,18 +129,17 @@ class StateTables:
             raise
         base = commits.agg(F.max(F.when(F.col("base"), F.col("batch")))).first()[0]
         wanted = commits if base is None else commits.filter(F.col("batch") >= base)
-        rows = wanted.orderBy("batch").limit(self.MAX_COMMITS + 1).collect()
-        if len(rows) > self.MAX_COMMITS:
-            raise RuntimeError("too many batches since the last compaction; run compact()")
         found = Progress()
-        for row in rows:
+        for row in wanted.orderBy("batch").collect():
             found.batches.append(row.batch)
             found.purged_at.update({epoch: row.batch for epoch in row.purged or []})
             found.next_offsets.update(row.next_offsets or {})
         return found
 
     def write(self, table: str, batch: int, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").partitionBy("epoch").parquet(f"{self.folder}/{table}/batch={batch}")
+        # Rebalancing by epoch gives few files per epoch, and splits an epoch that holds most rows.
+        sized = rows.hint("rebalance", "epoch")
+        sized.write.mode("overwrite").partitionBy("epoch").parquet(f"{self.folder}/{table}/batch={batch}")
 
     def read(self, table: str, progress: Progress | None = None) -> DataFrame:
         """Rows of all committed batches, without the epochs that were purged after they were written."""
@@ -179,11 +182,22 @@ class StateTables:
         self.commit(batch, purged=epochs)
         return batch
 
-    def compact(self) -> int:
+    def side_table(self, name: str) -> DataFrame | None:
+        """Rows of ``quarantine`` or ``bad_records``, of all committed batches that wrote any; None if there are none."""
+        try:
+            rows = self.spark.read.parquet(f"{self.folder}/{name}")
+            commits = self.spark.read.schema(COMMITS).parquet(f"{self.folder}/commits").select("batch")
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
+                return None
+            raise
+        return rows.join(commits.distinct(), "batch", "left_semi")
+
+    def compact(self, fixed_children: bool = False) -> int:
         """Write the current state as one base batch, after which older folders are no longer read."""
         progress = self.progress()
         batch = progress.last + 1
-        recovered = self.recovered(progress)
+        recovered = self.recovered(progress, fixed_children)
         self.write("recovered", batch, recovered.withColumnRenamed("count", "change"))
         self.write("pending", batch, live_pending(self.read("pending", progress).drop("batch"), recovered))
         self.commit(batch, next_offsets=progress.next_offsets, base=True)

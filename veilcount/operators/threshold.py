@@ -2,7 +2,9 @@
 
 A message has an epoch, an ordered array of layers (``name|value`` texts) and a threshold. A *prefix* is the first d
 layers of a message. Each prefix counts its messages per threshold class, and it is *recovered* once one class reaches
-its own threshold; classes are never added together. All messages of a recovered prefix count towards it.
+its own threshold; classes are never added together. A threshold below 2 asks for no key, so its class never opens a
+prefix. All messages of a recovered prefix count towards it. A layer that is no ``name|value`` text is never revealed,
+and nothing below it is.
 
 A class of a longer prefix is never larger than the same class of its parent, so recovered prefixes form a tree that
 starts at the root. That makes the whole computation a chain of sums over prefixes: no join and no per-message
@@ -12,10 +14,25 @@ one partial sum per task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Fixed value: the smallest threshold whose class can open a prefix.
+LEAST_THRESHOLD = 2
+
+
+def reached(n: Column, threshold: Column) -> Column:
+    """Whether a class of n messages opens its prefix."""
+    return (threshold >= LEAST_THRESHOLD) & (n >= threshold)
+
+
+def well_formed(layers: Column) -> Column:
+    """How many layers there are before the first that is no ``name|value`` text."""
+    bad = F.array_position(F.transform(layers, lambda text: F.coalesce(F.regexp_count(text, F.lit("[|]")) != 1, F.lit(True))), True)
+    return F.when(bad > 0, (bad - 1).cast("int")).otherwise(F.size(layers))
+
+
 def collapse(messages: DataFrame) -> DataFrame:
     """One row per equal (epoch, layers, threshold) with its number of messages ``n``."""
     count = F.sum("n") if "n" in messages.columns else F.count(F.lit(1))
@@ -23,9 +40,10 @@ def collapse(messages: DataFrame) -> DataFrame:
 
 
 def prefixes(rows: DataFrame) -> DataFrame:
-    """One row per collapsed row and depth: the prefix and whether the message goes on below it."""
-    depths = F.when(F.size("layers") > 0, F.sequence(F.lit(1), F.size("layers"))).otherwise(F.array())
-    return rows.withColumn("depth", F.explode(depths)).select(
+    """One row per collapsed row and depth of well-formed layers: the prefix, whether the message goes on below it."""
+    good = well_formed(F.col("layers"))
+    depths = F.when(F.col("good") > 0, F.sequence(F.lit(1), F.col("good"))).otherwise(F.array())
+    return rows.withColumn("good", good).withColumn("depth", F.explode(depths)).select(
         "epoch",
         F.expr("slice(layers, 1, depth)").alias("prefix"),
         "threshold",
@@ -47,9 +65,9 @@ def prefix_nodes(classes: DataFrame) -> DataFrame:
     """One row per (epoch, prefix): all its messages, whether it is recovered, whether it has children."""
     return classes.groupBy("epoch", "prefix").agg(
         F.sum("n").alias("n"),
-        F.max(F.col("n") >= F.col("threshold")).alias("recovered"),
+        F.max(reached(F.col("n"), F.col("threshold"))).alias("recovered"),
         F.max("goes_on").alias("has_children"),
-        F.min(F.when(F.col("n") >= F.col("threshold"), F.col("threshold"))).alias("recovery_threshold"),
+        F.min(F.when(reached(F.col("n"), F.col("threshold")), F.col("threshold"))).alias("recovery_threshold"),
     )
 
 
@@ -101,7 +119,7 @@ def rounds(messages: DataFrame) -> DataFrame:
     nodes = classes.groupBy("epoch", "round", "prefix").agg(
         F.sum("n").alias("n"),
         F.sum("next_n").alias("next_n"),
-        F.max(F.col("n") >= F.col("threshold")).alias("recovered"),
+        F.max(reached(F.col("n"), F.col("threshold"))).alias("recovered"),
     )
     return (
         nodes.filter("recovered")
@@ -125,7 +143,7 @@ def eligible_classes(new_counts: DataFrame, pending_counts: DataFrame, keys: lis
     return (
         both.groupBy(*keys, "threshold")
         .agg(F.sum("n").alias("n"), F.max("is_new").alias("is_new"))
-        .filter(F.col("is_new") & (F.col("n") >= F.col("threshold")))
+        .filter(F.col("is_new") & reached(F.col("n"), F.col("threshold")))
         .select(*keys, "threshold", "n")
     )
 

@@ -180,6 +180,26 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_defective_layers(rows: DataFrame, number: Column) -> DataFrame:
+    """Some messages with a second layer without a bar, a first with two, a last without a value."""
+    at = lambda place: F.get("layers", F.lit(place))
+    layers = (
+        F.when(number % 17 == 0, F.array(at(0), F.replace(at(1), F.lit("|"), F.lit(" ")), at(2), at(3)))
+        .when(number % 19 == 0, F.array(F.concat(at(0), F.lit("|x")), at(1), at(2), at(3)))
+        .when(number % 23 == 0, F.array(at(0), at(1), at(2), F.lit("k")))
+        .otherwise(F.col("layers"))
+    )
+    return rows.withColumn("layers", layers)
+
+
+def with_defects(records: DataFrame) -> DataFrame:
+    """Records whose messages have some defective layers, by event number."""
+    parsed = records.withColumn("m", F.from_json(F.col("value").cast("string"), "epoch INT, layers ARRAY<STRING>"))
+    spread = parsed.withColumns({"epoch": F.col("m.epoch"), "layers": F.col("m.layers")})
+    defective = with_defective_layers(spread, F.col("offset") * 4 + F.col("partition"))
+    return defective.withColumn("value", _envelope().cast("binary")).drop("m", "epoch", "layers")
+
+
 # -- logs --------------------------------------------------------------------------------------------------------------
 
 
@@ -201,15 +221,21 @@ def timings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+COMMITTED_AT = "2024-01-28 06:00:00"
+
+
 def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """High and committed offsets per channel and partition; partition 3 has nothing committed."""
-    highs = (
+    """High and committed offsets per channel and partition: events so far, and those before a cut-off time.
+
+    Partition 3 has nothing committed.
+    """
+    read = F.col("ts") < F.lit(COMMITTED_AT).cast("timestamp")
+    counted = (
         table(spark, sf_dir, "events")
         .groupBy(F.col("event_type").alias("channel"), (F.col("user_id") % 4).cast("int").alias("partition"))
-        .agg((F.max("event_id") + 1).alias("high"))
+        .agg(F.count(F.lit(1)).alias("high"), F.count_if(read).alias("read"))
     )
-    committed = F.when(F.col("partition") < 3, F.col("high") - (F.col("partition") + 1) * 100)
-    return highs.withColumn("committed", committed)
+    return counted.withColumn("committed", F.when(F.col("partition") < 3, F.col("read"))).drop("read")
 
 
 def lake_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -36,6 +36,9 @@ class Settings:
     on_bad_record: str = "failfast"
     fixed_children: bool = False
     purge_pending_only: bool = False
+    max_failed: int = state.MAX_FAILED
+    max_failed_top: int = state.MAX_FAILED_TOP
+    compact_every: int = state.COMPACT_EVERY
 
 
 @dataclass(frozen=True)
@@ -82,11 +85,20 @@ class Aggregation:
             F.unbase64("message.inner").alias("inner"),
         )
 
-    def keep_bad_records(self, records: DataFrame) -> None:
-        """Write the records of the next batch that do not parse to a table of their own."""
-        batch = self.tables.progress().last + 1
+    def keep_bad_records(self, records: DataFrame) -> int:
+        """Write the records of the next batch that do not parse to a table of their own. Returns their number."""
+        folder = f"{self.tables.folder}/bad_records/batch={self.tables.progress().last + 1}"
         bad = self.parsed(records).filter(F.col("message").isNull()).select("partition", "offset", "value")
-        bad.write.mode("overwrite").parquet(f"{self.tables.folder}/bad_records/batch={batch}")
+        bad.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(bad.schema).parquet(folder).count()
+
+    def quarantine(self) -> DataFrame | None:
+        """Messages that committed batches lost because their layers did not open; None if there are none."""
+        return self.tables.side_table("quarantine")
+
+    def bad_records(self) -> DataFrame | None:
+        """Records that committed batches could not parse; None if there are none."""
+        return self.tables.side_table("bad_records")
 
     # -- one batch -----------------------------------------------------------------------------------------------------
 
@@ -97,16 +109,17 @@ class Aggregation:
         work = new_work_folder(self.spark, f"batch-{batch}")
         known_changes = self.tables.read("recovered", progress)
         pending = self.tables.read("pending", progress).drop("batch")
-        errors = 0
+        limits = self.settings.max_failed, self.settings.max_failed_top
         if self.settings.sealed:
             recovered = state.current_recovered(known_changes, self.settings.fixed_children)
-            done = sealed.process_batch(messages, recovered, pending, work, count)
-            changes, waiting, errors = done.changes, done.pending, done.errors
-            done.quarantine.write.mode("overwrite").parquet(f"{self.tables.folder}/quarantine/batch={batch}")
+            done = sealed.process_batch(messages, recovered, pending, work, count, *limits)
         else:
             tags = known_changes.select("epoch", "tag").distinct()
-            changes, waiting = incremental.process_batch(messages, tags, pending, work, count)
-        changes = self._written(state.checked_changes(changes), f"{work}/changes")
+            done = incremental.process_batch(messages, tags, pending, work, count, *limits)
+            known_changes = known_changes.filter(F.col("epoch").isin(done.epochs))
+        done.quarantine.write.mode("overwrite").parquet(f"{self.tables.folder}/quarantine/batch={batch}")
+        errors = done.errors
+        changes = self._written(state.checked_changes(done.changes), f"{work}/changes")
 
         touched = changes.select("epoch", "tag")
         before = known_changes.join(touched.distinct(), ["epoch", "tag"], "left_semi")
@@ -118,8 +131,11 @@ class Aggregation:
         reported = self.write_measurements(batch, emitted, partial=False)
         taken = report.reported_changes(emitted)
         self.tables.write("recovered", batch, changes.unionByName(taken, allowMissingColumns=True))
-        self.tables.write("pending", batch, state.checked_pending(waiting))
+        self.tables.write("pending", batch, state.checked_pending(done.pending))
         self.tables.commit(batch, next_offsets=next_offsets, reported=reported, errors=errors)
+        # Batches since the last base are bounded, so the files and commit rows that a batch reads are too.
+        if len(progress.batches) + 1 >= self.settings.compact_every:
+            self.tables.compact(self.settings.fixed_children)
         return Outcome(batch, count, reported, errors)
 
     def _written(self, rows: DataFrame, path: str) -> DataFrame:
@@ -135,22 +151,24 @@ class Aggregation:
 
     # -- whole run -----------------------------------------------------------------------------------------------------
 
-    def run(self, records: DataFrame, partitions: list[int]) -> list[Outcome]:
-        """Up to ``iterations`` bounded batches. A batch with too few messages is left unread and ends the run."""
+    def run(self, records: DataFrame | rec.Topic | rec.Landed) -> list[Outcome]:
+        """Up to ``iterations`` bounded batches. With too few messages waiting, they are left unread and the run ends."""
+        source = rec.Landed(records) if isinstance(records, DataFrame) else records
         done = []
         for _ in range(self.settings.iterations):
-            offsets = {p: 0 for p in partitions} | self.tables.progress().next_offsets
-            part = rec.bounded_batch(records, offsets, self.settings.max_messages)
-            extent = rec.batch_extent(part).collect()
-            count = sum(row.messages for row in extent)
-            if count == 0 or count < self.settings.min_messages:
+            part = rec.bounded_batch(source, self.tables.progress().next_offsets, self.settings.max_messages)
+            if part.waiting == 0 or part.waiting < self.settings.min_messages:
                 break
-            reached = offsets | {row.partition: row.next_offset for row in extent}
-            if self.settings.on_bad_record == "quarantine":
-                self.keep_bad_records(part)
-            done.append(self.run_batch(self.messages_of(part), count, reached))
+            # A gap can leave a batch smaller than its range; what is counted is what is read.
+            count = part.records.count()
+            bad = self.keep_bad_records(part.records) if self.settings.on_bad_record == "quarantine" else 0
+            done.append(self.run_batch(self.messages_of(part.records), count - bad, part.next_offsets))
         return done
 
+    def run_all(self, records: DataFrame | rec.Topic | rec.Landed) -> tuple[list[Outcome], list[int]]:
+        """A whole run: its batches, then the partial reports of the epochs that have expired."""
+        return self.run(records), self.expire()
+
     def expire(self) -> list[int]:
         """Report what is left of expired epochs as partial measurements and purge them."""
         progress = self.tables.progress()

@@ -18,6 +18,7 @@ def build_session(app_name: str = "veilcount", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.variant.allowDuplicateKeys": "true",
         "spark.ui.enabled": "false",
     }
     for key, value in {**defaults, **conf}.items():

@@ -16,7 +16,8 @@ DATE_FIELD = "ymd"
 def with_date_field(lines: DataFrame, date: Column, channels: list[str]) -> DataFrame:
     """For the listed channels: set the date field in JSON objects, drop blank lines, fail on broken JSON.
 
-    Other JSON values pass unchanged, and so do all lines of other channels.
+    Other JSON values pass unchanged, and so do all lines of other channels. Where a key is repeated, the last value
+    counts; that takes ``spark.sql.variant.allowDuplicateKeys``, which ``build_session`` sets.
     """
     listed = F.col("channel").isin(channels)
     parsed = F.try_parse_json("line")
@@ -32,6 +33,22 @@ def with_date_field(lines: DataFrame, date: Column, channels: list[str]) -> Data
     return kept.withColumn("line", F.when(listed, rewritten).otherwise(F.col("line")))
 
 
+def measurement_lines(measurements: DataFrame, channel: str) -> DataFrame:
+    """(channel, line) of a run's measurements, as the lake takes them."""
+    return measurements.select(F.lit(channel).alias("channel"), F.col("json").alias("line"))
+
+
+def topic_writer_options(servers: str, topic: str) -> dict[str, str]:
+    """Options of Spark's Kafka writer for measurement lines."""
+    return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
+def write_topic(measurements: DataFrame, servers: str, topic: str) -> None:
+    """Measurements as records of a topic, one JSON text each. Delivery is at least once, as Spark's writer has it."""
+    rows = measurements.select(F.col("json").cast("binary").alias("value"))
+    rows.write.format("kafka").options(**topic_writer_options(servers, topic)).save()
+
+
 def write_jsonl(lines: DataFrame, folder: str, date: Column, max_records: int = BATCH_SIZE, mode: str = "append") -> None:
     """Lines as text files below date=.../channel=...; one file holds at most ``max_records`` lines."""
     (

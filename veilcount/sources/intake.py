@@ -18,7 +18,7 @@ MIN_REQUEST_THRESHOLD = 20
 MAX_REQUEST_THRESHOLD = 50
 NOT_FOUND, BAD_REQUEST, NO_CONTENT = 404, 400, 204
 
-MAX_CHANNELS = 10_000
+MAX_BROADCAST = 10_000
 
 CLEAR_ENVELOPE = "epoch INT, layers ARRAY<STRING>"
 SEALED_ENVELOPE = "epoch INT, msg_id STRING, tag STRING, x BIGINT, y ARRAY<BIGINT>, ct STRING, inner STRING"
@@ -31,11 +31,9 @@ class Channel:
 
 
 def channel_table(spark: SparkSession, channels: list[Channel]) -> DataFrame:
-    """The channel settings as a table. They come from the caller, so their number is known before broadcasting."""
-    if len(channels) > MAX_CHANNELS:
-        raise ValueError(f"more than {MAX_CHANNELS} channels")
-    rows = [(c.name, c.min_revision) for c in channels]
-    return F.broadcast(spark.createDataFrame(rows, "channel STRING, min_revision BIGINT"))
+    """The channel settings as a table. Their number is known here: few are broadcast, many are left to Spark's choice."""
+    table = spark.createDataFrame([(c.name, c.min_revision) for c in channels], "channel STRING, min_revision BIGINT")
+    return F.broadcast(table) if len(channels) <= MAX_BROADCAST else table
 
 
 def route(submissions: DataFrame, channels: DataFrame, main_channel: str) -> DataFrame:
@@ -116,9 +114,15 @@ def classify(
 
 
 def to_records(classified: DataFrame) -> DataFrame:
-    """Accepted submissions as records: the original bytes, and the threshold as a little-endian header."""
+    """Accepted submissions as records: the original bytes, and the threshold as a little-endian header.
+
+    Only an accepted submission makes a record, as the one element of an array; a plain filter on the outcome would be
+    pushed below it, and every body be decoded and parsed twice.
+    """
+    accepted = F.when(F.col("accepted"), F.array(F.struct("channel", "data", "request_threshold")))
+    kept = classified.select(F.inline(accepted))
     digits = F.lpad(F.hex("request_threshold"), 8, "0")
     little = F.unhex(F.concat(*[F.substring(digits, at, 2) for at in (7, 5, 3, 1)]))
     header = F.struct(F.lit("threshold").alias("key"), little.alias("value"))
     headers = F.when(F.col("request_threshold").isNotNull(), F.array(header))
-    return classified.filter("accepted").select("channel", F.col("data").alias("value"), headers.alias("headers"))
+    return kept.select("channel", F.col("data").alias("value"), headers.alias("headers"))

@@ -6,7 +6,10 @@ functions work on a landed table of that shape.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from veilcount.functions.once import once
@@ -21,24 +24,145 @@ MIN_MESSAGES = 1_000
 FRAME_SECONDS = 5
 MIN_RATE = 100
 
-MAX_PARTITIONS = 100_000
-
-
-def read_topic(spark: SparkSession, servers: str, topic: str, starting: str, ending: str = "latest") -> DataFrame:
-    """Records of a topic between explicit offsets; progress is kept by the job, not by a consumer group."""
-    return (
-        spark.read.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", topic)
-        .option("startingOffsets", starting)
-        .option("endingOffsets", ending)
-        .option("kafka.isolation.level", "read_committed")
-        .option("includeHeaders", True)
-        .load()
-        .select("value", "headers", "partition", "offset", "timestamp")
+
+
+def topic_options(servers: str, topic: str, starts: dict[int, int] | None, ends: dict[int, int] | None) -> dict[str, str]:
+    """Options of Spark's Kafka reader for a range of offsets; None reads from the earliest or to the latest record.
+
+    A partition that ``starts`` does not name is read from its earliest record on.
+    """
+
+    def listed(offsets: dict[int, int] | None, other: str) -> str:
+        if offsets is None:
+            return other
+        return json.dumps({topic: {str(partition): offset for partition, offset in sorted(offsets.items())}})
+
+    return {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": listed(starts, "earliest"),
+        "endingOffsets": listed(ends, "latest"),
+        "kafka.isolation.level": "read_committed",
+        "includeHeaders": "true",
+    }
+
+
+@dataclass(frozen=True)
+class Topic:
+    """A topic as the source of a run; progress is kept by the job, not by a consumer group."""
+
+    spark: SparkSession
+    servers: str
+    name: str
+
+    def _read(self, starts: dict[int, int] | None, ends: dict[int, int] | None) -> DataFrame:
+        options = topic_options(self.servers, self.name, starts, ends)
+        return self.spark.read.format("kafka").options(**options).load()
+
+    def waiting(self, committed: dict[int, int]) -> DataFrame:
+        """Extent of what is not read yet. The reader wants all partitions named, so new ones are found first."""
+        named = {row.partition for row in self._read(None, None).select("partition").distinct().collect()}
+        starts = {partition: committed.get(partition, EARLIEST) for partition in named | set(committed)}
+        return extent(after(self._read(starts or None, None), committed))
+
+    def between(self, starts: dict[int, int], ends: dict[int, int]) -> DataFrame:
+        return self._read(starts, ends).select("value", "headers", "partition", "offset", "timestamp")
+
+
+@dataclass(frozen=True)
+class Landed:
+    """A landed table of records as the source of a run."""
+
+    records: DataFrame
+
+    def waiting(self, committed: dict[int, int]) -> DataFrame:
+        return extent(after(self.records, committed))
+
+    def between(self, starts: dict[int, int], ends: dict[int, int]) -> DataFrame:
+        return self.records.filter(in_ranges({p: (starts[p], ends[p]) for p in starts}))
+
+
+# Fixed value: the offset that Spark's Kafka reader takes for the earliest record.
+EARLIEST = -2
+
+
+def in_ranges(ranges: dict[int, tuple[int, int]]) -> Column:
+    """Offsets from first to before last, by partition, as plain comparisons that reach the scan."""
+    alike: dict[tuple[int, int], list[int]] = {}
+    for partition, bounds in sorted(ranges.items()):
+        alike.setdefault(bounds, []).append(partition)
+    tests = [
+        F.col("partition").isin(partitions) & (F.col("offset") >= first) & (F.col("offset") < last)
+        for (first, last), partitions in alike.items()
+        if first < last
+    ]
+    return _any(tests)
+
+
+def _any(tests: list[Column]) -> Column:
+    """A balanced disjunction, so that many partitions make no deep expression."""
+    if len(tests) < 2:
+        return tests[0] if tests else F.lit(False)
+    return _any(tests[: len(tests) // 2]) | _any(tests[len(tests) // 2 :])
+
+
+def after(records: DataFrame, committed: dict[int, int]) -> DataFrame:
+    """Records that are not committed yet; a partition without a committed offset starts at its earliest record."""
+    if not committed:
+        return records
+    known: dict[int, list[int]] = {}
+    for partition, offset in sorted(committed.items()):
+        known.setdefault(offset, []).append(partition)
+    tests = [F.col("partition").isin(partitions) & (F.col("offset") >= offset) for offset, partitions in known.items()]
+    return records.filter(_any([~F.col("partition").isin(list(committed)), *tests]))
+
+
+def extent(records: DataFrame) -> DataFrame:
+    """Per partition: messages, the first offset there is, and the offset after the last."""
+    return records.groupBy(F.col("partition").cast("int").alias("partition")).agg(
+        F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first"), (F.max("offset") + 1).alias("next_offset")
     )
 
 
+def shares(sizes: dict[int, int], limit: int) -> dict[int, int]:
+    """``limit`` dealt to the partitions evenly; what a small one leaves goes to those with more.
+
+    The sum is the limit, or everything if that is less.
+    """
+    dealt, left = {}, limit
+    for at, (partition, size) in enumerate(sorted(sizes.items(), key=lambda item: (item[1], item[0]))):
+        dealt[partition] = min(size, left // (len(sizes) - at))
+        left -= dealt[partition]
+    return dealt
+
+
+def batch_ends(waiting: list[Row], limit: int) -> tuple[dict[int, int], dict[int, int]]:
+    """First and end offsets of the next batch from the rows of ``extent``, one per partition with waiting records.
+
+    A share counts offsets from the first record there is, so a gap before it costs nothing, and a gap behind it makes
+    the batch smaller but never empty.
+    """
+    dealt = shares({row.partition: row.next_offset - row["first"] for row in waiting}, max(limit, len(waiting)))
+    starts = {row.partition: row["first"] for row in waiting}
+    return starts, {partition: first + dealt[partition] for partition, first in starts.items()}
+
+
+def bounded_batch(source: Topic | Landed, committed: dict[int, int], limit: int = MAX_MESSAGES) -> Batch:
+    """The next at most ``limit`` records. Its end is fixed here, before anything is read."""
+    waiting = source.waiting(committed).collect()  # one row per partition
+    starts, ends = batch_ends(waiting, limit)
+    return Batch(source.between(starts, ends), sum(row.messages for row in waiting), committed | ends)
+
+
+@dataclass(frozen=True)
+class Batch:
+    """Records of a batch, how many were waiting when it was cut, and the offsets to read after it."""
+
+    records: DataFrame
+    waiting: int
+    next_offsets: dict[int, int]
+
+
 def with_threshold(records: DataFrame, default: int = DEFAULT_THRESHOLD) -> DataFrame:
     """Threshold of each record: its last header, 0 if that is not four bytes, the default if there is none."""
     number = once(
@@ -65,26 +189,6 @@ def to_messages(
     return parsed.withColumn("message", checked)
 
 
-def bounded_batch(records: DataFrame, next_offsets: dict[int, int], limit: int = MAX_MESSAGES) -> DataFrame:
-    """At most about ``limit`` unread records: an equal share of offsets from every partition.
-
-    ``next_offsets`` maps each partition to the first offset that is not committed yet.
-    """
-    if not 0 < len(next_offsets) <= MAX_PARTITIONS:
-        raise ValueError("next_offsets must name every partition of the topic")
-    share = -(-limit // len(next_offsets))
-    starts = F.create_map(*[F.lit(v).cast(t) for p, o in next_offsets.items() for v, t in ((p, "int"), (o, "bigint"))])
-    first = F.try_element_at(starts, F.col("partition").cast("int"))
-    return records.filter((F.col("offset") >= first) & (F.col("offset") < first + F.lit(share)))
-
-
-def batch_extent(batch: DataFrame) -> DataFrame:
-    """Messages and the next offset to read, per partition of a batch."""
-    return batch.groupBy("partition").agg(
-        F.count(F.lit(1)).alias("messages"), (F.max("offset") + 1).alias("next_offset")
-    )
-
-
 def arrival_rate(
     records: DataFrame, frame_seconds: int = FRAME_SECONDS, ticks: int = FRAME_SECONDS, min_rate: int = MIN_RATE
 ) -> DataFrame:
@@ -94,9 +198,8 @@ def arrival_rate(
     """
     number = F.floor(F.unix_micros("timestamp") / F.lit(frame_seconds * 1_000_000))
     counts = records.groupBy(number.alias("frame")).agg(F.count(F.lit(1)).alias("messages"))
-    frames = counts.agg(F.min("frame").alias("a"), F.max("frame").alias("b")).select(
-        F.explode(F.sequence("a", "b")).alias("frame")
-    )
+    first, last = counts.agg(F.min("frame"), F.max("frame")).first()
+    frames = records.sparkSession.range(first or 0, 0 if last is None else last + 1).select(F.col("id").alias("frame"))
     filled = frames.join(counts, "frame", "left").withColumn("messages", F.coalesce("messages", F.lit(0).cast("bigint")))
     return filled.select(
         F.timestamp_seconds(F.col("frame") * frame_seconds).alias("start"),
