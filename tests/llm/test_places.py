@@ -120,9 +120,10 @@ def near_copies():
     return [(int(doc_id), text) for doc_id, text in zip(rng.permutation(len(rows)), rows)]
 
 
-@pytest.mark.parametrize("share", [256, 2])
-def test_join_equals_all_pairs(spark, monkeypatch, share):
-    monkeypatch.setattr(ngram_join, "PIVOT_SHARE", share)
+@pytest.mark.parametrize("pivots, rounds", [(8, 8), (1, 2)])
+def test_join_equals_all_pairs(spark, monkeypatch, pivots, rounds):
+    monkeypatch.setattr(ngram_join, "PIVOTS", pivots)
+    monkeypatch.setattr(ngram_join, "ROUNDS", rounds)
     rows = near_copies()
     rows += rows[:3]  # repeated rows
     frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("set_id", F.lit(0)).repartition(4)

@@ -11,16 +11,19 @@ meet at a shingle, candidate pairs must pass
 
 and are then verified, each pair once, on the whole sets.
 
-Pairs are not listed within large meetings. In the first round each meeting names pivots, and its other sets are only
-paired with them. Sets that end up in one component need no further link between them. In the second round every pair of
-one meeting whose sets are in different components, and which passes the filters, is verified. So every pair of similar
-sets is verified or already connected: components are exact.
+Pairs are not listed within large meetings. In a round a meeting whose unconnected pairs are few, for its size, lists
+them and is done; a larger one names a few pivots by a hash, and its sets are paired with these only. Sets that end up in
+one component need no further link between them, so the next round looks at meetings of sets from different components,
+with other pivots. After the last round all pairs that are left are listed. So every pair of similar sets is verified or
+already connected: components are exact, and a group of copies costs a few pairs for each of its members.
 
 Shingles and sets are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+from collections import OrderedDict
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -35,12 +38,14 @@ from veilcount.session import new_work_folder
 
 WORDS = 5
 PERCENT = 80
-#: Counters of the table of shingle counts, and their size when they are sent around as levels.
-SLOT_BITS = 22
-#: Sets at a shingle that share a pivot.
-PIVOT_SHARE = 256
+#: Counters of the table of shingle counts: two million, one byte each when they are sent around as levels.
+SLOT_BITS = 21
+#: Pivots of a meeting in one round; pairs for each of its sets up to which it lists them all.
+PIVOTS = 8
+#: Rounds with pivots, after which what is left is listed.
+ROUNDS = 2
 #: Bits of the map of candidate sets, which only spares work: what passes it by chance finds no pair.
-CANDIDATE_BITS = 26
+CANDIDATE_BITS = 25
 #: Word hashes that a worker remembers.
 _REMEMBERED = 200_000
 
@@ -173,9 +178,9 @@ def _prefixes(levels: np.ndarray, words: int, percent: int):
     return run
 
 
-# -- meetings: pivots and the rows that a second round may need ------------------------------------------------------
+# -- meetings: pairs, and the rows of meetings that are not done -----------------------------------------------------
 
-_MET = "pair boolean, shingle long, a long, b long, size_a int, size_b int, place int"
+_MET = "pair boolean, shingle long, a long, b long, size int, place int"
 
 
 def _passes(size_a, place_a, size_b, place_b, percent: int):
@@ -185,48 +190,47 @@ def _passes(size_a, place_a, size_b, place_b, percent: int):
     return (100 * shorter >= percent * longer) & (left >= needed(size_a, size_b, percent))
 
 
-def _meet(percent: int):
-    def meetings(shingle, name, size, place):
-        """Rows sorted by shingle and set, of whole shingles or of a part of a very frequent one."""
+def _pairs_of(names, sizes, places, groups, turn: int, percent: int):
+    """Pairs (i, j) of one meeting, and whether it is done with them. groups: the sets' components."""
+    count = len(names)
+    _, of_group = np.unique(groups, return_counts=True)
+    done = (count * count - int((of_group * of_group).sum())) // 2 <= PIVOTS * count
+    if done:
+        i, j = np.triu_indices(count, 1)
+    else:
+        salt = np.full(1, turn + 1, np.uint64) * _ODD2
+        mixed = (names.view(np.uint64) ^ salt) * _ODD
+        pivots = np.argsort(mixed ^ (mixed >> np.uint64(29)))[:PIVOTS]
+        i, j = (found.ravel() for found in np.meshgrid(np.arange(count), pivots))
+    good = (groups[i] != groups[j]) & _passes(sizes[i], places[i], sizes[j], places[j], percent)
+    return i[good], j[good], done
+
+
+def _meet(percent: int, turn: int):
+    """From rows shingle, set_id, size, place and component, sorted by shingle and set."""
+
+    def meetings(shingle, name, size, place, group):
         new = np.ones(len(shingle), bool)
         new[1:] = (shingle[1:] != shingle[:-1]) | (name[1:] != name[:-1])  # copies from several partitions
-        shingle, name, size, place = shingle[new], name[new], size[new], place[new]
-        starts = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
-        counts = np.diff(np.r_[starts, len(shingle)])
-        met = np.repeat(counts >= 2, counts)
-        if not met.any():
-            return None
-        shingle, name, size, place = shingle[met], name[met], size[met], place[met]
-        counts = counts[counts >= 2]
-        # Sets of one meeting are dealt to pivots by their name, so that a group has the same pivots at most shingles.
-        shares = np.repeat(-(-counts // PIVOT_SHARE), counts)
-        deal = (name.view(np.uint64) % shares.astype(np.uint64)).astype(np.int64)
-        order = np.lexsort((name, deal, shingle))
-        s, n, z, p, d = shingle[order], name[order], size[order], place[order], deal[order]
-        head = np.r_[True, (s[1:] != s[:-1]) | (d[1:] != d[:-1])]
-        pivot = np.flatnonzero(head)[np.cumsum(head) - 1]
-        first = np.r_[True, s[1:] != s[:-1]]
-        main = np.flatnonzero(first)[np.cumsum(first) - 1]
-        partner = np.where(head, main, pivot)  # pivots are paired with the meeting's first
-        mine = np.arange(len(s))
-        good = (partner != mine) & _passes(z, p, z[partner], p[partner], percent)
-        i, j = mine[good], partner[good]
-        low = np.where(n[i] < n[j], i, j)
-        high = np.where(n[i] < n[j], j, i)
-        many = np.repeat(counts >= 3, counts)[order]
-        return (
-            np.r_[np.ones(len(low), bool), np.zeros(many.sum(), bool)],
-            np.r_[s[low], s[many]],
-            np.r_[n[low], n[many]],
-            np.r_[n[high], n[many]],
-            np.r_[z[low], z[many]].astype(np.int32),
-            np.r_[z[high], z[many]].astype(np.int32),
-            np.r_[p[low], p[many]].astype(np.int32),
-        )
+        shingle, name, size, place, group = (column[new] for column in (shingle, name, size, place, group))
+        edges = np.r_[np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]]), len(shingle)]
+        found = []
+        for start, end in zip(edges[:-1], edges[1:]):
+            if end - start < 2:
+                continue
+            names, sizes, places = name[start:end], size[start:end], place[start:end]
+            i, j, done = _pairs_of(names, sizes, places, group[start:end], turn, percent)
+            if len(i):
+                nothing = np.zeros(len(i), np.int32)
+                low, high = np.minimum(names[i], names[j]), np.maximum(names[i], names[j])
+                found.append((np.ones(len(i), bool), nothing.astype(np.int64), low, high, nothing, nothing))
+            if not done:
+                found.append((np.zeros(end - start, bool), shingle[start:end], names, names, sizes, places))
+        return [np.concatenate(column) for column in zip(*found)] if found else None
 
     def run(batches):
         kept = None
-        names = ["pair", "shingle", "a", "b", "size_a", "size_b", "place"]
+        names = ["pair", "shingle", "a", "b", "size", "place"]
 
         def out(rows):
             found = meetings(*rows)
@@ -234,7 +238,7 @@ def _meet(percent: int):
                 yield pa.RecordBatch.from_arrays([pa.array(column) for column in found], names)
 
         for batch in batches:
-            rows = [batch.column(at).to_numpy() for at in range(4)]
+            rows = [batch.column(at).to_numpy() for at in range(5)]
             if kept is not None:
                 rows = [np.concatenate(pair) for pair in zip(kept, rows)]
             last = np.searchsorted(rows[0], rows[0][-1]) if len(rows[0]) else 0  # the last shingle may go on
@@ -247,6 +251,11 @@ def _meet(percent: int):
     return run
 
 
+def _met(rows: DataFrame, percent: int, turn: int) -> DataFrame:
+    wanted = rows.select("shingle", "set_id", "size", "place", "component")
+    return wanted.repartition("shingle").sortWithinPartitions("shingle", "set_id").mapInArrow(_meet(percent, turn), _MET)
+
+
 # -- candidate sets and verification ---------------------------------------------------------------------------------
 
 
@@ -259,12 +268,12 @@ def _marks(batches):
         yield pa.RecordBatch.from_arrays([pa.array([zstandard.ZstdCompressor(level=1).compress(bits.tobytes())])], ["bits"])
 
 
-_SETS = "set_id long, shingles binary"
+_SETS = "set_id long, packed binary"
 
 
 def _candidate_sets(bits: np.ndarray, words: int):
     def run(batches):
-        hashes, seen = _WordHashes(), set()
+        hashes, seen, pack = _WordHashes(), set(), zstandard.ZstdCompressor(level=3).compress
         for batch in small_batches(batches):
             names, sets = [], []
             for text in utf8(batch, "text"):
@@ -275,9 +284,9 @@ def _candidate_sets(bits: np.ndarray, words: int):
                 if int(bits[place >> 5]) >> (place & 31) & 1:
                     seen.add(name)
                     names.append(name)
-                    sets.append(shingles.tobytes())
+                    sets.append(pack(b" ".join(blank_words(text))))  # a third of the size of the hashes
             if names:
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], ["set_id", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(sets, pa.binary())], ["set_id", "packed"])
 
     return run
 
@@ -296,11 +305,27 @@ def similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
     return int((other[at] == one).sum()) >= least
 
 
-def _verify(percent: int):
+class _Unpacked(OrderedDict):
+    """Sets of packed words; the latest few are kept, as pairs of one set come one after another."""
+
+    def __init__(self, words: int):
+        super().__init__()
+        self.words, self.hashes, self.unpack = words, _WordHashes(), zstandard.ZstdDecompressor().decompress
+
+    def of(self, name: int, packed: bytes) -> np.ndarray:
+        if name not in self:
+            self[name] = shingle_set(self.unpack(packed), self.hashes, self.words)
+            if len(self) > 64:
+                self.popitem(last=False)
+        return self[name]
+
+
+def _verify(words: int, percent: int):
     def run(batches):
+        sets = _Unpacked(words)
         for batch in small_batches(batches, 256):
-            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            good = [similar(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64), percent) for a, b in zip(left, right)]
+            rows = zip(*(batch.column(at).to_pylist() for at in range(4)))
+            good = [similar(sets.of(a, of_a), sets.of(b, of_b), percent) for a, b, of_a, of_b in rows]
             yield pa.RecordBatch.from_arrays(
                 [column.filter(pa.array(good, pa.bool_())) for column in (batch.column(0), batch.column(1))], ["a", "b"]
             )
@@ -308,12 +333,12 @@ def _verify(percent: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar."""
-    left = sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("of_a"))
-    right = sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("of_b"))
+    left = sets.select(F.col("set_id").alias("a"), F.col("packed").alias("of_a"))
+    right = sets.select(F.col("set_id").alias("b"), F.col("packed").alias("of_b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "of_a", "of_b")
-    return both.mapInArrow(_verify(percent), "a long, b long")
+    return both.mapInArrow(_verify(words, percent), "a long, b long")
 
 
 # -- the operator ----------------------------------------------------------------------------------------------------
@@ -339,48 +364,41 @@ def similar_groups(documents: DataFrame, words: int = WORDS, percent: int = PERC
     counts = _merged(measured, "counts", lambda left, right: np.add(left, right, out=left))
     if counts is None:
         return rows, smallest.select("set_id", F.col("doc_id").alias("component_id"))
-    levels = np.round(8 * np.log2(counts.astype(np.float64) + 1)).astype(np.uint8)  # rare-first: an eighth of an octave
+    levels = np.round(8 * np.log2(counts.astype(np.float32) + 1)).astype(np.uint8)  # rare-first: an eighth of an octave
 
     known = texts.where(F.col("doc_id").isNotNull())
-    prefixes = known.mapInArrow(_prefixes(levels, words, percent), _PREFIX)
-    met = written(
-        prefixes.repartition("shingle").sortWithinPartitions("shingle", "set_id").mapInArrow(_meet(percent), _MET), "met"
-    )
-    first = written(met.where("pair").select("a", "b").distinct(), "pairs1")
-    waiting = met.where(~F.col("pair")).select("shingle", F.col("a").alias("set_id"), F.col("size_a").alias("size"), "place")
-    candidates = first.select("a").union(first.select("b")).union(waiting.select("set_id")).distinct()
+    prefixes = known.mapInArrow(_prefixes(levels, words, percent), _PREFIX).withColumn("component", F.col("set_id"))
+    met = written(_met(prefixes, percent, 0), "met0")
+    pairs = written(met.where("pair").select("a", "b").distinct(), "pairs0")
+    waiting = met.where(~F.col("pair")).select("shingle", F.col("a").alias("set_id"), "size", "place")
+    candidates = pairs.select("a").union(pairs.select("b")).union(waiting.select("set_id")).distinct()
     bits = _merged(candidates.mapInArrow(_marks, "bits binary"), "bits", lambda left, right: np.bitwise_or(left, right, out=left))
     if bits is None:
         return rows, smallest.select("set_id", F.col("doc_id").alias("component_id"))
-    found = known.mapInArrow(_candidate_sets(bits, words), _SETS)
-    sets = written(found.dropDuplicates(["set_id"]), "sets")
-
-    links = written(_verified(first, sets, percent), "links1")
-    joined = components(links)
-    # Second round: meetings of sets that are not connected yet.
-    labelled = waiting.join(joined, waiting.set_id == joined.node, "left").select(
-        "shingle", "set_id", "size", "place", F.coalesce("component", "set_id").alias("component")
-    )
-    labelled = written(labelled, "labelled")
-    apart = labelled.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    open_rows = labelled.join(apart.select("shingle"), "shingle", "left_semi")
-    one, other = open_rows.alias("x"), open_rows.alias("y")
-    column = F.col
-    left = F.least(column("x.size") - column("x.place"), column("y.size") - column("y.place"))
-    both = column("x.size") + column("y.size")
-    on = (
-        (column("x.shingle") == column("y.shingle"))
-        & (column("x.set_id") < column("y.set_id"))
-        & (column("x.component") != column("y.component"))
-        & (100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size"))
-        & ((100 + percent) * left >= percent * both)
-    )
-    second = one.join(other, on).select(column("x.set_id").alias("a"), column("y.set_id").alias("b")).distinct()
-    second = written(second.join(first, ["a", "b"], "left_anti"), "pairs2")
-    if not second.isEmpty():
-        more = written(_verified(second, sets, percent), "links2")
+    sets = written(known.mapInArrow(_candidate_sets(bits, words), _SETS).dropDuplicates(["set_id"]), "sets")
+    links = written(_verified(pairs, sets, words, percent), "links0")
+    joined, seen = components(links), pairs
+    for turn in range(1, ROUNDS + 2):
+        labelled = waiting.join(joined, waiting.set_id == joined.node, "left").select(
+            "shingle", "set_id", "size", "place", F.coalesce("component", "set_id").alias("component")
+        )
+        labelled = written(labelled, f"labelled{turn}")
+        apart = labelled.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+        left = labelled.join(apart.select("shingle"), "shingle", "left_semi")
+        if turn <= ROUNDS:
+            met = written(_met(left, percent, turn), f"met{turn}")
+            found = met.where("pair").select("a", "b")
+            waiting = met.where(~F.col("pair")).select("shingle", F.col("a").alias("set_id"), "size", "place")
+        else:
+            found = _all_pairs(left, percent)
+        pairs = written(found.distinct().join(seen, ["a", "b"], "left_anti"), f"pairs{turn}")
+        more = written(_verified(pairs, sets, words, percent), f"links{turn}")
         if not more.isEmpty():
-            joined = components(links.union(more))
+            links = links.union(more)
+            joined = components(links)
+        seen = seen.union(pairs)
+        if turn <= ROUNDS and waiting.isEmpty():
+            break
     group = smallest.join(joined, smallest.set_id == joined.node, "left").select(
         "set_id", "doc_id", F.coalesce("component", "set_id").alias("component")
     )
@@ -389,6 +407,20 @@ def similar_groups(documents: DataFrame, words: int = WORDS, percent: int = PERC
     return rows, group.join(least, "component").select("set_id", "component_id")
 
 
+def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Every pair of different components at a shingle that passes the length and the positional filter."""
+    one, other = rows.alias("x"), rows.alias("y")
+    left = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    on = (
+        (F.col("x.shingle") == F.col("y.shingle"))
+        & (F.col("x.set_id") < F.col("y.set_id"))
+        & (F.col("x.component") != F.col("y.component"))
+        & (100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size"))
+        & ((100 + percent) * left >= percent * (F.col("x.size") + F.col("y.size")))
+    )
+    return one.join(other, on).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
+
+
 def report(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of `documents` (doc_id, text; other columns are ignored).
 
