@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veilcount.llm import credentials, decontaminate, licenses, mixing, neighbours, ngram_join, pii, shards, toxicity, url_filter
+from veilcount.llm import credentials, decontaminate, licenses, mixing, neighbours, ngram_join, oracles, pii, shards, toxicity, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,4 +66,4 @@ QUERIES = {
         op10_toxicity,
     )
 }
-ORACLES: dict[str, str] = {"op5_temperature_mix": mixing.ORACLE}
+ORACLES = oracles.ORACLES
