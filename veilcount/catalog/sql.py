@@ -72,3 +72,19 @@ def tag_hex(epoch: str, prefix: str, secret: str = "") -> str:
     """Upper-case hex of the 20-byte tag of a prefix."""
     return f"""upper(list_reduce({prefix}, lambda a, p: substr(sha256(a || '/' || p), 1, 40),
       '{secret}/' || CAST({epoch} AS VARCHAR)))"""
+
+
+# Defective layers as in ``plans.datasets``; everything from the first one on is out of reach, and marked by one layer
+# more that no threshold opens.
+DEFECTS = """CASE WHEN event_id % 17 = 0 THEN [layers[1], replace(layers[2], '|', ' '), layers[3], layers[4]]
+     WHEN event_id % 19 = 0 THEN [layers[1] || '|x', layers[2], layers[3], layers[4]]
+     WHEN event_id % 23 = 0 THEN [layers[1], layers[2], layers[3], 'k'] ELSE layers END"""
+
+
+def cut(source: str) -> str:
+    return f"""
+marked AS (
+  SELECT *, list_position(list_transform(layers, lambda l: len(l) - len(replace(l, '|', '')) <> 1), TRUE) AS bad FROM {source}),
+cut AS (
+  SELECT * REPLACE (CASE WHEN bad > 0 THEN list_concat(layers[1:bad - 1], [uuid()::VARCHAR]) ELSE layers END AS layers)
+  FROM marked)"""

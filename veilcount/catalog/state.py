@@ -265,22 +265,6 @@ def _stuck(source: str, name: str) -> str:
   FROM {name}_m JOIN {name}_d USING (id) WHERE depth < len(layers) GROUP BY ALL)"""
 
 
-# Defective layers as in ``plans.datasets``; everything from the first one on is out of reach, and marked by one layer
-# more that no threshold opens.
-_DEFECTS = """CASE WHEN event_id % 17 = 0 THEN [layers[1], replace(layers[2], '|', ' '), layers[3], layers[4]]
-     WHEN event_id % 19 = 0 THEN [layers[1] || '|x', layers[2], layers[3], layers[4]]
-     WHEN event_id % 23 = 0 THEN [layers[1], layers[2], layers[3], 'k'] ELSE layers END"""
-
-
-def _cut(source: str) -> str:
-    return f"""
-marked AS (
-  SELECT *, list_position(list_transform(layers, lambda l: len(l) - len(replace(l, '|', '')) <> 1), TRUE) AS bad FROM {source}),
-cut AS (
-  SELECT * REPLACE (CASE WHEN bad > 0 THEN list_concat(layers[1:bad - 1], [uuid()::VARCHAR]) ELSE layers END AS layers)
-  FROM marked)"""
-
-
 _TOTALS = f"""SELECT epoch, {sql.joined('prefix')} AS chain, is_partial, total FROM revealed"""
 
 ORACLES = {
@@ -328,14 +312,14 @@ typed AS (
   SELECT epoch, layers, CASE event_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE threshold END AS threshold FROM event_msgs),{sql.revealed('typed')}
 SELECT epoch, {sql.joined('prefix')} AS chain, total, is_partial FROM revealed""",
     "malformed_at_once": f"""WITH {sql.EVENT_MSGS},
-typed AS (SELECT epoch, {_DEFECTS} AS layers, threshold FROM event_msgs),{_cut('typed')},{sql.revealed('cut')}
+typed AS (SELECT epoch, {sql.DEFECTS} AS layers, threshold FROM event_msgs),{sql.cut('typed')},{sql.revealed('cut')}
 SELECT epoch, {sql.joined('prefix')} AS chain, total, is_partial FROM revealed""",
     "malformed_layers": f"""WITH {sql.EVENT_MSGS},
 typed AS (
-  SELECT epoch, {_DEFECTS} AS layers,
+  SELECT epoch, {sql.DEFECTS} AS layers,
          CASE event_id % 13 WHEN 0 THEN 50 WHEN 1 THEN 0 WHEN 2 THEN 50 WHEN 3 THEN 50 WHEN 4 THEN 306 ELSE 20 END AS threshold,
          event_id % 4 AS partition, event_id // 4 AS "offset"
-  FROM event_msgs),{_cut('typed')},{sql.revealed('cut')}
+  FROM event_msgs),{sql.cut('typed')},{sql.revealed('cut')}
 SELECT epoch, {sql.joined('prefix')} AS chain, total, FALSE AS lost FROM revealed WHERE NOT is_partial OR 4 - epoch >= 3
 UNION ALL
 SELECT epoch, '', CAST(sum(n) AS BIGINT), TRUE FROM (

@@ -76,15 +76,28 @@ def has_children(spark, sf):
 
 
 def run_totals(spark, sf):
-    """Sum of the reported totals and of the messages that stay hidden, by epoch."""
-    messages = ds.lineitem_messages(spark, sf)
-    reported = th.reveal(messages).groupBy("epoch").agg(
-        F.sum(F.when(~F.col("is_partial"), F.col("total")).otherwise(0)).alias("full_total"),
-        F.sum(F.when(F.col("is_partial"), F.col("total")).otherwise(0)).alias("partial_total"),
+    """Sums of the reported totals, of the messages that stay hidden and of those with malformed layers, by epoch.
+
+    The malformed ones are part of what is reported or hidden: they count down to their last good layer.
+    """
+    messages = ds.with_defective_layers(ds.event_messages(spark, sf), F.col("event_id"))
+    rows = th.collapse(messages)
+    reported = th.reveal(rows).select(
+        "epoch",
+        F.when(~F.col("is_partial"), F.col("total")).alias("full"),
+        F.when(F.col("is_partial"), F.col("total")).alias("partial"),
     )
-    received = messages.groupBy("epoch").agg(F.count(F.lit(1)).alias("received"))
-    shown = received.join(reported, "epoch", "left").fillna(0, ["full_total", "partial_total"])
-    return shown.withColumn("unrevealed", F.col("received") - F.col("full_total") - F.col("partial_total"))
+    errors = F.when(th.well_formed(F.col("layers")) < F.size("layers"), F.col("n"))
+    received = rows.select("epoch", F.col("n").alias("received"), errors.alias("malformed"))
+    both = received.unionByName(reported, allowMissingColumns=True)
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0).cast("bigint"))
+    summed = both.groupBy("epoch").agg(
+        total("received").alias("received"),
+        total("malformed").alias("malformed"),
+        total("full").alias("full_total"),
+        total("partial").alias("partial_total"),
+    )
+    return summed.withColumn("unrevealed", F.col("received") - F.col("full_total") - F.col("partial_total"))
 
 
 def distinct_epochs(spark, sf):
@@ -146,10 +159,11 @@ FROM m JOIN nodes ON m.epoch = nodes.epoch AND m.layers[1:round] = nodes.prefix
 SELECT epoch, {sql.joined('prefix')} AS chain, CAST(n AS BIGINT) AS "count", recovery_threshold FROM nodes""",
     "has_children": f"""WITH {sql.ORDER_MSGS},{sql.classes('order_msgs')},{sql.nodes()}
 SELECT epoch, {sql.joined('prefix')} AS chain, has_children FROM nodes""",
-    "run_totals": f"""WITH {sql.LINEITEM_MSGS},{sql.revealed('line_msgs')},
+    "run_totals": f"""WITH {sql.EVENT_MSGS},
+typed AS (SELECT epoch, {sql.DEFECTS} AS layers, threshold FROM event_msgs),{sql.cut('typed')},{sql.revealed('cut')},
 r AS (SELECT epoch, sum(total) FILTER (NOT is_partial) AS f, sum(total) FILTER (is_partial) AS p FROM revealed GROUP BY epoch),
-a AS (SELECT epoch, count(*) AS received FROM line_msgs GROUP BY epoch)
-SELECT a.epoch, received, CAST(coalesce(f, 0) AS BIGINT) AS full_total, CAST(coalesce(p, 0) AS BIGINT) AS partial_total,
+a AS (SELECT epoch, count(*) AS received, count(*) FILTER (bad > 0) AS malformed FROM marked GROUP BY epoch)
+SELECT a.epoch, received, malformed, CAST(coalesce(f, 0) AS BIGINT) AS full_total, CAST(coalesce(p, 0) AS BIGINT) AS partial_total,
        CAST(received - coalesce(f, 0) - coalesce(p, 0) AS BIGINT) AS unrevealed
 FROM a LEFT JOIN r ON a.epoch = r.epoch""",
     "distinct_epochs": f"""WITH {sql.EVENT_MSGS},{sql.classes('event_msgs')},{sql.nodes()}

@@ -19,13 +19,20 @@ def nonzero(recovered: DataFrame, epochs: list[int] | None = None) -> DataFrame:
 
 
 def visible(recovered: DataFrame) -> DataFrame:
-    """Rows that a walk from the root reaches: no row above is missing, has a count of 0 or is marked as a leaf."""
-    above = F.explode(F.expr("slice(path, 1, size(path) - 1)")).alias("above")
-    needed = recovered.select("epoch", above).distinct()
+    """Rows that a walk from the root reaches: no row above is missing, has a count of 0 or is marked as a leaf.
+
+    Of the rows that block a walk, the lowest is the parent of a row that exists, so parents alone are looked up. They
+    are few as a rule, and only below them are paths compared. ``recovered`` is read several times: pass a written table.
+    """
+    parents = recovered.filter(F.col("parent_tag").isNotNull()).select("epoch", F.col("parent_tag").alias("above")).distinct()
     passable = recovered.filter((F.col("count") != 0) & F.col("has_children")).select("epoch", F.col("tag").alias("above"))
-    blocked = needed.join(passable, ["epoch", "above"], "left_anti")
+    blocked = parents.join(passable, ["epoch", "above"], "left_anti")
+    held = recovered.filter(F.col("count") != 0)
+    if blocked.isEmpty():
+        return held
+    above = F.explode(F.expr("slice(path, 1, size(path) - 1)")).alias("above")
     hidden = recovered.select("epoch", "tag", above).join(blocked, ["epoch", "above"], "left_semi")
-    return recovered.filter(F.col("count") != 0).join(hidden.select("epoch", "tag"), ["epoch", "tag"], "left_anti")
+    return held.join(hidden.select("epoch", "tag"), ["epoch", "tag"], "left_anti")
 
 
 def full_report(recovered: DataFrame) -> DataFrame:
