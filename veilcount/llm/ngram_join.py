@@ -213,11 +213,18 @@ def _meet(percent: int, turn: int):
         new = np.ones(len(shingle), bool)
         new[1:] = (shingle[1:] != shingle[:-1]) | (name[1:] != name[:-1])  # copies from several partitions
         shingle, name, size, place, group = (column[new] for column in (shingle, name, size, place, group))
-        edges = np.r_[np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]]), len(shingle)]
-        found = []
-        for start, end in zip(edges[:-1], edges[1:]):
-            if end - start < 2:
-                continue
+        starts = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
+        ends = np.r_[starts[1:], len(shingle)]
+        # Most meetings are of two sets: one pair each, all at once.
+        i = starts[ends - starts == 2]
+        j = i + 1
+        i = i[(group[i] != group[j]) & _passes(size[i], place[i], size[j], place[j], percent)]
+        j = i + 1
+        nothing = np.zeros(len(i), np.int32)
+        low, high = np.minimum(name[i], name[j]), np.maximum(name[i], name[j])
+        found = [(np.ones(len(i), bool), nothing.astype(np.int64), low, high, nothing, nothing)] if len(i) else []
+        larger = ends - starts > 2
+        for start, end in zip(starts[larger], ends[larger]):
             names, sizes, places = name[start:end], size[start:end], place[start:end]
             i, j, done = _pairs_of(names, sizes, places, group[start:end], turn, percent)
             if len(i):
@@ -408,8 +415,14 @@ def similar_groups(documents: DataFrame, words: int = WORDS, percent: int = PERC
 
 
 def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Every pair of different components at a shingle that passes the length and the positional filter."""
-    one, other = rows.alias("x"), rows.alias("y")
+    """Every pair of different components at its first shingle here that passes the length and the positional filter.
+
+    A pair that also shares a shingle whose meeting is done was listed there, so the first one left is enough.
+    """
+    in_order = F.array_sort(F.collect_list(F.struct("place", "shingle")))
+    lists = rows.groupBy("set_id").agg(F.transform(in_order, lambda item: item["shingle"]).alias("open"))
+    listed = rows.join(lists, "set_id")
+    one, other = listed.alias("x"), listed.alias("y")
     left = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
     on = (
         (F.col("x.shingle") == F.col("y.shingle"))
@@ -417,6 +430,7 @@ def _all_pairs(rows: DataFrame, percent: int) -> DataFrame:
         & (F.col("x.component") != F.col("y.component"))
         & (100 * F.least("x.size", "y.size") >= percent * F.greatest("x.size", "y.size"))
         & ((100 + percent) * left >= percent * (F.col("x.size") + F.col("y.size")))
+        & (F.get(F.array_intersect("x.open", "y.open"), F.lit(0)) == F.col("x.shingle"))
     )
     return one.join(other, on).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"))
 
