@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from veilcount.llm.texts import blank_words, small_batches, utf8
 
 WINDOW_WORDS = 12
-ROWS_PER_CLASS = 3000
+ROWS_PER_CLASS = 2500
 LONGEST_SAMPLE = 20_000
 TRAINED_BYTES = 12_288
 LEVEL = 9
@@ -90,15 +90,17 @@ def _stems(words: set[bytes]) -> set[str]:
 def _standing_out(toxic: list[bytes], ordinary: list[bytes]) -> list[str]:
     """Stems whose share of toxic rows is higher beyond chance, weakest first."""
     in_toxic: Counter = Counter()
+    for text in toxic:
+        in_toxic.update(_stems(set(blank_words(text))))
+    in_toxic = Counter({stem: count for stem, count in in_toxic.items() if count >= LEAST_ROWS})
     in_ordinary: Counter = Counter()
-    for texts, counts in ((toxic, in_toxic), (ordinary, in_ordinary)):
-        for text in texts:
-            counts.update(_stems(set(blank_words(text))))
+    for text in ordinary:
+        in_ordinary.update(stem for stem in _stems(set(blank_words(text))) if stem in in_toxic)
     rows = len(toxic), len(ordinary)
     ratio = {}
     for stem, count in in_toxic.items():
         counts = count, in_ordinary[stem]
-        if count < LEAST_ROWS or count / rows[0] <= LEAST_SHARE * counts[1] / rows[1]:
+        if count / rows[0] <= LEAST_SHARE * counts[1] / rows[1]:
             continue
         shared, total = sum(counts) / sum(rows), 0.0
         for seen, of in zip(counts, rows):
