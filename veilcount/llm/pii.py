@@ -41,14 +41,19 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Further generators, by the kind they propose.
+#: Further generators, by the kind they propose, with their gates.
 PROPOSALS = (
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?[A-Za-z0-9-]{1,63}\x20?(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z]{2,24}"),
-    ("email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}"),
-    ("ip", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}"),
-    ("card", r"(?<![0-9])[0-9]{4}[\x20.-]?[0-9]{4,6}[\x20.-]?[0-9]{4,5}(?:[\x20.-]?[0-9]{1,4})?"),
-    ("phone", r"(?<![0-9+])(?:\(?0[0-9]{1,5}\)?[\x20./-]?)[0-9]{2,5}(?:[\x20./-]?[0-9]{2,5}){1,3}"),
-    ("phone", r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"),
+    (
+        "email",
+        "spelt",
+        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?"
+        r"[A-Za-z0-9-]{1,63}\x20?(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z]{2,24}",
+    ),
+    ("email", "at", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}"),
+    ("ip", "colons", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}"),
+    ("card", "digits", r"(?<![0-9])[0-9]{4}[\x20.-]?[0-9]{4,6}[\x20.-]?[0-9]{4,5}(?:[\x20.-]?[0-9]{1,4})?"),
+    ("phone", "digits", r"(?<![0-9+])(?:\(?0[0-9]{1,5}\)?[\x20./-]?)[0-9]{2,5}(?:[\x20./-]?[0-9]{2,5}){1,3}"),
+    ("phone", "digits", r"(?<![0-9+])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}(?![0-9])"),
 )
 #: Words around a candidate that speak for a kind.
 HINTS = (
@@ -88,34 +93,54 @@ def _accepted(kind: str, hit: Column) -> Column:
 
 
 def _when(gate: Column, found: Column) -> Column:
-    """Runs a pattern only over texts that hold a sign it needs."""
+    """Runs a pattern only over texts that hold what every match of it needs."""
     return F.when(gate, found).otherwise(F.array().cast(spans.SPANS))
 
 
-def _matches(text: Column) -> list[tuple[str, Column]]:
+#: What a text must hold for any match of some patterns: cheap tests, one pass each.
+GATES = {
+    "at": lambda text: F.contains(text, F.lit("@")),
+    "spelt": lambda text: F.contains(text, F.lit("@"))
+    | F.contains(text, F.lit("(at)"))
+    | F.contains(text, F.lit("[at]"))
+    | (F.contains(text, F.lit(" at ")) & F.contains(text, F.lit(" dot "))),
+    "digits": lambda text: text.rlike(r"[0-9][\x20()./0-9-]{5}[\x20()./0-9-]*+"),
+    "colons": lambda text: text.rlike(r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"),
+    "plus": lambda text: F.contains(text, F.lit("+")),
+}
+
+
+def gated(documents: DataFrame, text: str) -> DataFrame:
+    """`documents` with a column `gates` of the outcomes, computed once for all patterns."""
+    return documents.withColumn("gates", F.struct(*(test(F.col(text)).alias(name) for name, test in GATES.items())))
+
+
+def _matches(text: Column, gates: Column) -> list[tuple[str, Column]]:
     return [
-        ("email", _when(F.contains(text, F.lit("@")), spans.find(text, EMAIL))),
-        ("ip", _when(F.contains(text, F.lit(".")), spans.find(text, IP))),
-        ("card", spans.find(text, CARD)),
-        ("phone", _when(F.contains(text, F.lit("+")), spans.find(text, PHONE))),
+        ("email", _when(gates["at"], spans.find(text, EMAIL))),
+        ("ip", _when(gates["digits"], spans.find(text, IP))),
+        ("card", _when(gates["digits"], spans.find(text, CARD))),
+        ("phone", _when(gates["plus"], spans.find(text, PHONE))),
     ]
 
 
-def base_spans(text: Column) -> Column:
+def base_spans(text: Column, gates: Column) -> Column:
     """The accepted spans of the base kinds of a prepared text, by kind and then start."""
 
     def accepted(found: Column, kind: str) -> Column:
         return F.filter(found, lambda span: _accepted(kind, span["hit"]))
 
     return F.concat(
-        *(spans.tagged(accepted(found, kind), kind, rank) for rank, (kind, found) in enumerate(_matches(text)))
+        *(spans.tagged(accepted(found, kind), kind, rank) for rank, (kind, found) in enumerate(_matches(text, gates)))
     )
 
 
-def _proposed(text: Column) -> Column:
+def _proposed(text: Column, gates: Column) -> Column:
     """Candidates of all generators; what several of them propose stays once for each kind."""
-    base = [spans.tagged(found, kind, KINDS.index(kind)) for kind, found in _matches(text)]
-    more = [spans.tagged(spans.find(text, pattern), kind, KINDS.index(kind)) for kind, pattern in PROPOSALS]
+    base = [spans.tagged(found, kind, KINDS.index(kind)) for kind, found in _matches(text, gates)]
+    more = [
+        spans.tagged(_when(gates[gate], spans.find(text, pattern)), kind, KINDS.index(kind)) for kind, gate, pattern in PROPOSALS
+    ]
     several_digits = lambda span: (span["kind"] == "email") | (F.char_length(_digits(span["hit"])) >= 7)
     return F.filter(F.array_distinct(F.concat(*base, *more)), several_digits)
 
@@ -193,7 +218,8 @@ def fit_on(documents: DataFrame) -> Model:
     share = min(1.0, SAMPLE_DOCUMENTS / max(1, documents.count()))
     dealt = F.crc32(F.concat(F.lit("sample|"), F.col("doc_id").cast("string"))) < int(share * 2**32)
     text = documents.where(dealt).select("doc_id", spans.prepared(F.col("text")).alias("text"))
-    wide = text.select("doc_id", _described(F.col("text"), _proposed(F.col("text"))).alias("found"))
+    proposed = gated(text, "text").select("doc_id", "text", _proposed(F.col("text"), F.col("gates")).alias("found"))
+    wide = proposed.select("doc_id", _described(F.col("text"), F.col("found")).alias("found"))
     rows = wide.select("doc_id", F.explode("found").alias("span"))
     accepted = F.coalesce(*(F.when(F.col("span.kind") == kind, _accepted(kind, F.col("span.hit")) & _whole(kind, F.col("span.hit"))) for kind in KINDS))
     labelled = rows.select(
@@ -246,28 +272,29 @@ def find_personal_data(documents: DataFrame, model: Model) -> DataFrame:
     Null and empty texts have none; a null doc_id stays null; repeated rows are each scanned. Columns of those names are
     replaced, all others stay. Added spans share no place with a base span or with an added one of higher score.
     """
-    name = "_prepared"
-    while name in documents.columns:
-        name += "_"
-    text = F.col(name)
-    base = documents.drop("base", "added").withColumn(name, spans.prepared(F.col("text"))).withColumn("base", base_spans(text))
+    plain = documents.select(F.struct(*(documents[name] for name in documents.columns)).alias("row"), spans.prepared(F.col("text")).alias("text"))
+    text, gates = F.col("text"), F.col("gates")
+    based = gated(plain, "text").withColumn("base", base_spans(text, gates))
+    back = [F.col("row")[name].alias(name) for name in documents.columns if name not in ("base", "added")]
     open_kinds = {kind: least for kind, least in model.thresholds.items() if least < math.inf}
     if not open_kinds:
-        return base.withColumn("added", F.slice("base", 1, 0)).drop(name)
-    free = F.filter(_proposed(text), lambda span: span["kind"].isin(*open_kinds) & ~F.exists("base", lambda other: _overlap(span, other)))
+        return based.select(*back, "base", F.slice("base", 1, 0).alias("added"))
+    free = F.filter(_proposed(text, gates), lambda span: span["kind"].isin(*open_kinds) & ~F.exists("base", lambda other: _overlap(span, other)))
+    least = lambda kind: F.coalesce(*(F.when(kind == name, F.lit(value)) for name, value in open_kinds.items()))
     wanted = F.filter(
         F.transform(
-            _described(text, free),
+            _described(text, F.col("free")),
             lambda span: F.struct((-model.score(span["x"])).alias("minus"), span["rank"], span["start"], span["stop"], span["kind"], span["hit"]),
         ),
-        lambda span: F.round(-span["minus"], 6) >= F.coalesce(*(F.when(span["kind"] == kind, F.lit(least)) for kind, least in open_kinds.items())),
+        lambda span: F.round(-span["minus"], 6) >= least(span["kind"]),
     )
+
     def keep(kept: Column, span: Column) -> Column:
         plain = F.struct(span["rank"], span["start"], span["stop"], span["kind"], span["hit"])
         return F.when(F.exists(kept, lambda other: _overlap(span, other)), kept).otherwise(F.array_append(kept, plain)).cast(spans.TAGGED)
 
     added = F.aggregate(F.array_sort(wanted), F.array().cast(spans.TAGGED), keep)
-    return base.withColumn("added", added).drop(name)
+    return based.withColumn("free", free).select(*back, "base", added.alias("added"))
 
 
 def _overlap(one: Column, other: Column) -> Column:

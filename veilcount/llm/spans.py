@@ -12,7 +12,9 @@ TAGGED = "array<struct<rank:int,start:bigint,stop:bigint,kind:string,hit:string>
 
 def prepared(text: Column) -> Column:
     """The text with the two marks of `find` replaced, place by place, by a third sign; null becomes empty."""
-    return F.translate(F.coalesce(text.cast("string"), F.lit("")), _BEFORE + _AFTER, _OTHER * 2)
+    whole = F.coalesce(text.cast("string"), F.lit(""))
+    marked = F.contains(whole, F.lit(_BEFORE)) | F.contains(whole, F.lit(_AFTER))
+    return F.when(marked, F.translate(whole, _BEFORE + _AFTER, _OTHER * 2)).otherwise(whole)
 
 
 def find(text: Column, pattern: str) -> Column:
