@@ -76,6 +76,20 @@ def test_base_spans(documents, operator, plain):
         assert set(filter(None, listed(expected).split(","))) <= set(row.spans.split(","))
 
 
+def test_ip_parts_of_zeros(spark):
+    """A part of zeros alone is a part; more than 255 is none, whatever zeros stand before it."""
+    texts = [
+        "10.0.0.1 127.0.0.1 192.168.0.1", "0.0.0.0 and 000.1.1.1", "0.0.0.256 00.00.00.0255 1.2.3.0000", "0.300.0.0 0256.0.0.0 0.0.0",
+        "255.249.199.99 260.1.1.1 100.020.003.0", "0" * 3000 + "." + "0" * 3000 + ".0.0" + "7" * 3000,
+    ]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {row.doc_id: (row.n_ip, row.base_sha256) for row in pii.report(rows).collect()}
+    for at, text in enumerate(texts):
+        expected = personal(text)
+        assert found[at] == (sum(span[0] == "ip" for span in expected), hashlib.sha256(listed(expected).encode()).hexdigest()), text
+    assert [count for _, (count, _) in sorted(found.items())] == [3, 2, 2, 0, 2, 0]
+
+
 def test_weak_parts_only_together(documents):
     spans = {row.doc_id: row.spans for row in credentials.report(documents.where("doc_id >= 1000000")).collect()}
     assert spans[10**6 + 10] == "account:0:19,opaque:30:54,endpoint:60:83"

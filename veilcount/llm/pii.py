@@ -62,7 +62,8 @@ HINTS = (
     r"(?i:card|visa|master|amex|credit|karte|carte|tarjeta|iban|account|konto|compte)",
     r"(?i:phone|tel\b|call|fax|mobile|cell|telefon|t\u00e9l\u00e9phone|llam)",
 )
-_OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+#: Zeros, then up to 255 without leading zeros; each part is read in one way only.
+_OCTET = "(?=[0-9])0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]?)?"
 
 
 def _digits(hit: Column) -> Column:
