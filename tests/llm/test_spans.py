@@ -90,6 +90,20 @@ def test_ip_parts_of_zeros(spark):
     assert [count for _, (count, _) in sorted(found.items())] == [3, 2, 2, 0, 2, 0]
 
 
+def test_gates_lose_no_candidate(spark):
+    """Every at with every dot, with and without blanks, and the other kinds: the gated generators propose what ungated ones do."""
+    ats, dots = ("@", "(at)", "[at]", " at ", " (at) ", " [at] ", "  at  "), (".", "(dot)", "[dot]", " dot ", " . ", " (dot) ", "  dot  ")
+    texts = [f"write to john{at}example{dot}com now" for at in ats for dot in dots] + ["meet at noon. then at last (dot) or", "at example.com", *EDGES]
+    texts += ["0122334", "call (01)22334 or 555-123-4567", "a:b:c:d::e fe80:1:2:3", "1.2.3.4", "+1 2345678", "j@host", "4111111111111111"]
+    rows = pii.gated(spark.createDataFrame([(text or "",) for text in texts], "text string"), "text")
+    every = F.struct(*(F.lit(True).alias(name) for name in pii.GATES))
+    found = rows.select("text", pii._proposed(F.col("text"), F.col("gates")).alias("gated"), pii._proposed(F.col("text"), every).alias("ungated")).collect()
+    for row in found:
+        assert row.gated == row.ungated, row.text
+    spelt = {row.text for row in found if any(span.kind == "email" for span in row.gated)}
+    assert {"write to john at example.com now", "write to john at example(dot)com now", "write to john at example[dot]com now"} <= spelt
+
+
 def test_weak_parts_only_together(documents):
     spans = {row.doc_id: row.spans for row in credentials.report(documents.where("doc_id >= 1000000")).collect()}
     assert spans[10**6 + 10] == "account:0:19,opaque:30:54,endpoint:60:83"

@@ -41,13 +41,14 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+#: What follows the at of a spelt-out mail address.
+_HOST = r"[A-Za-z0-9-]{1,63}\x20?(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z]{2,24}"
 #: Further generators, by the kind they propose, with their gates.
 PROPOSALS = (
     (
         "email",
         "spelt",
-        r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?"
-        r"[A-Za-z0-9-]{1,63}\x20?(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Za-z]{2,24}",
+        rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?{_HOST}",
     ),
     ("email", "at", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}"),
     ("ip", "colons", r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}"),
@@ -104,7 +105,7 @@ GATES = {
     "spelt": lambda text: F.contains(text, F.lit("@"))
     | F.contains(text, F.lit("(at)"))
     | F.contains(text, F.lit("[at]"))
-    | (F.contains(text, F.lit(" at ")) & F.contains(text, F.lit(" dot "))),
+    | text.rlike(rf"\x20at\x20\x20?{_HOST}"),
     "digits": lambda text: text.rlike(r"[0-9][\x20()./0-9-]{5}[\x20()./0-9-]*+"),
     "colons": lambda text: text.rlike(r"[0-9A-Fa-f]:[0-9A-Fa-f]{1,4}:"),
     "plus": lambda text: F.contains(text, F.lit("+")),
