@@ -130,3 +130,19 @@ def test_toxicity_edge_rows(spark):
 
 def test_digest_of_no_items():
     assert decontaminate.reference_counts(None, ITEMS)[2] == hashlib.sha256(b"").hexdigest()
+
+
+def test_stems_of_small_and_full_samples():
+    """A word of every toxic row stands out in 20 rows against 20; one of 1.5 % of the rows does in a full sample."""
+    texts = lambda count, said: [f"{'moronic' if at < said else 'lovely'} day {at}".encode() for at in range(count)]
+    assert toxicity._standing_out(texts(20, 20), texts(20, 0)) == ["moronic"]
+    assert toxicity._standing_out(texts(40, 8), texts(2500, 0)) == ["moronic"]
+    assert toxicity._standing_out(texts(20, 6), texts(20, 5)) == []
+    rows = toxicity.ROWS_PER_CLASS
+    assert toxicity._standing_out(texts(rows, rows * 15 // 1000), texts(rows, 0)) == ["moronic"]
+
+
+def test_stems_are_counted_by_rows():
+    texts = [f"abcdefgh abcd{at % 3} abcdefghijklmnop, x{at} abcdefgh".encode() for at in range(9)] + [b"abc abcdz"]
+    expected = {stem: 9 for stem in ("abcde", "abcdef", "abcdefg", "abcdefgh", "abcdefghi", "abcdefghij", "abcdefghijk", "abcdefghijkl")}
+    assert toxicity._frequent(texts) == {"abcd": 10, **expected}

@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +27,16 @@ from pyspark.sql import types as T
 from veilcount.llm.texts import blank_words, small_batches, utf8
 
 WINDOW_WORDS = 12
-ROWS_PER_CLASS = 2500
+ROWS_PER_CLASS = 3000
 LONGEST_SAMPLE = 20_000
 TRAINED_BYTES = 12_288
 LEVEL = 9
-#: Shortest and longest stem, rows of one class it must occur in, likelihood ratio and share ratio it must exceed.
-STEM, LEAST_ROWS, LEAST_RATIO, LEAST_SHARE = (4, 12), 5, 60.0, 3.0
+#: Shortest and longest stem, rows of one class it must occur in, share ratio it must exceed.
+STEM, LEAST_ROWS, LEAST_SHARE = (4, 12), 5, 3.0
+#: Likelihood ratio it must exceed where both classes have FULL_ROWS rows; see `least_ratio` for fewer.
+LEAST_RATIO, FULL_ROWS = 60.0, 300
+#: Stems that may stand out by chance alone in a small sample.
+FALSE_STEMS = 0.01
 MOST_STEMS = 2000
 FEATURES = 6
 _EDGES = b".,!?;:|*%$#&\"'()[]"
@@ -79,23 +84,40 @@ def _features(text: bytes | None, compressors) -> list[float]:
     ]
 
 
-def _stems(words: set[bytes]) -> set[str]:
-    found = set()
-    for word in words:
-        plain = word.strip(_EDGES).decode(errors="ignore")
-        found.update(plain[:size] for size in range(STEM[0], min(len(plain), STEM[1]) + 1))
+def _plain_words(text: bytes) -> set[str]:
+    return {word.strip(_EDGES).decode(errors="ignore") for word in set(blank_words(text))}
+
+
+def _frequent(texts: list[bytes]) -> Counter:
+    """Rows of each stem that enough rows hold. One size at a time: a stem is in no more rows than its front part."""
+    found: Counter = Counter()
+    for size in range(STEM[0], STEM[1] + 1):
+        seen: Counter = Counter()
+        for text in texts:
+            long = (plain for plain in _plain_words(text) if len(plain) >= size)
+            seen.update({plain[:size] for plain in long if size == STEM[0] or plain[: size - 1] in found})
+        found.update({stem: count for stem, count in seen.items() if count >= LEAST_ROWS})
     return found
 
 
-def _standing_out(toxic: list[bytes], ordinary: list[bytes]) -> list[str]:
+def least_ratio(rows: int, stems: int, full: float = LEAST_RATIO) -> float:
+    """The likelihood ratio that one of so many frequent stems must exceed, by the rows of the smaller class.
+
+    It is `full` from FULL_ROWS rows on and falls in proportion to the rows below that, but not so far that more than
+    FALSE_STEMS of the stems exceed it by chance: it is chi-squared with one degree of freedom, whose chance beyond x is
+    below exp(-x / 2).
+    """
+    return min(full, max(full * rows / FULL_ROWS, 2 * math.log(max(1, stems) / FALSE_STEMS)))
+
+
+def _standing_out(toxic: list[bytes], ordinary: list[bytes], full_ratio: float = LEAST_RATIO) -> list[str]:
     """Stems whose share of toxic rows is higher beyond chance, weakest first."""
-    in_toxic: Counter = Counter()
-    for text in toxic:
-        in_toxic.update(_stems(set(blank_words(text))))
-    in_toxic = Counter({stem: count for stem, count in in_toxic.items() if count >= LEAST_ROWS})
+    in_toxic = _frequent(toxic)
+    least = least_ratio(min(len(toxic), len(ordinary)), len(in_toxic), full_ratio)
     in_ordinary: Counter = Counter()
     for text in ordinary:
-        in_ordinary.update(stem for stem in _stems(set(blank_words(text))) if stem in in_toxic)
+        words = _plain_words(text)
+        in_ordinary.update({p[:size] for p in words for size in range(STEM[0], min(len(p), STEM[1]) + 1) if p[:size] in in_toxic})
     rows = len(toxic), len(ordinary)
     ratio = {}
     for stem, count in in_toxic.items():
@@ -108,7 +130,7 @@ def _standing_out(toxic: list[bytes], ordinary: list[bytes]) -> list[str]:
                 total += seen * math.log(seen / of / shared)
             if of - seen:
                 total += (of - seen) * math.log((of - seen) / of / (1 - shared))
-        if 2 * total > LEAST_RATIO:
+        if 2 * total > least:
             ratio[stem] = 2 * total
     # A stem that hardly ever occurs without a longer one of the list adds nothing to it.
     longer: dict[str, int] = {}
@@ -139,15 +161,16 @@ def _design(rows: np.ndarray, model: Model) -> np.ndarray:
     return np.clip((rows - model.center) / model.scale, -3, 3)
 
 
-def fit(toxic: list[str], ordinary: list[str]) -> Model:
+def fit(toxic: list[str], ordinary: list[str], full_ratio: float = LEAST_RATIO) -> Model:
     """A model from toxic and ordinary texts; without texts of both classes it scores every text 0."""
     samples = [[text.encode() for text in dict.fromkeys(texts) if text] for texts in (toxic, ordinary)]
-    windows = [window for text in samples[1] for window in _windows(blank_words(text))]
-    if not all(samples) or len(windows) < 100:
+    windows = lambda: (window for text in samples[1] for window in _windows(blank_words(text)))
+    count = sum(1 for _ in windows())
+    if not all(samples) or count < 100:
         return Model(b" " * 8, b" " * 8, [0.0] * FEATURES + [-30.0], [0.0] * FEATURES, [1.0] * FEATURES)
-    trained = zstandard.train_dictionary(TRAINED_BYTES, windows[:: max(1, len(windows) // 40_000)]).as_bytes()
-    front = (" " + " ".join(_standing_out(*samples)) + " ").encode()
-    filler = b" ".join(windows[: len(front) // 4 + 1])[: len(front)].ljust(len(front))
+    trained = zstandard.train_dictionary(TRAINED_BYTES, list(islice(windows(), 0, None, max(1, count // 40_000)))).as_bytes()
+    front = (" " + " ".join(_standing_out(*samples, full_ratio)) + " ").encode()
+    filler = b" ".join(islice(windows(), len(front) // 4 + 1))[: len(front)].ljust(len(front))
     model = Model(front + trained, filler + trained, [], [], [])
     compressors = model.compressors()
     rows = np.array([_features(text, compressors) for texts in samples for text in texts])
