@@ -1,6 +1,7 @@
 """Personal data and secrets against plain regexes, on data and on edge cases."""
 
 import hashlib
+import math
 import re
 
 import pytest
@@ -95,7 +96,8 @@ def test_gates_lose_no_candidate(spark):
     ats, dots = ("@", "(at)", "[at]", " at ", " (at) ", " [at] ", "  at  "), (".", "(dot)", "[dot]", " dot ", " . ", " (dot) ", "  dot  ")
     texts = [f"write to john{at}example{dot}com now" for at in ats for dot in dots] + ["meet at noon. then at last (dot) or", "at example.com", *EDGES]
     texts += ["0122334", "call (01)22334 or 555-123-4567", "a:b:c:d::e fe80:1:2:3", "1.2.3.4", "+1 2345678", "j@host", "4111111111111111"]
-    rows = pii.gated(spark.createDataFrame([(text or "",) for text in texts], "text string"), "text")
+    plain = spark.createDataFrame([(text,) for text in texts], "text string").select(pii.spans.prepared(F.col("text")).alias("text"))
+    rows = pii.gated(plain, "text")
     every = F.struct(*(F.lit(True).alias(name) for name in pii.GATES))
     found = rows.select("text", pii._proposed(F.col("text"), F.col("gates")).alias("gated"), pii._proposed(F.col("text"), every).alias("ungated")).collect()
     for row in found:
@@ -104,6 +106,27 @@ def test_gates_lose_no_candidate(spark):
     assert {"write to john at example.com now", "write to john at example(dot)com now", "write to john at example[dot]com now"} <= spelt
 
 
+def test_rare_kinds_are_calibrated_on_all_documents(spark, monkeypatch):
+    """A kind of one candidate in a hundred has its threshold, though the trees learn from few rows."""
+    monkeypatch.setattr(pii, "SAMPLE_ROWS", 600)
+    texts = [" and ".join(f"no {at * 7919 + part * 104729 + 4 * 10**12}" for part in range(5)) for at in range(3000)]
+    rows = [(at, text + (f" write to jo{at}@example.com" if at % 20 == 0 else "")) for at, text in enumerate(texts)]
+    model = pii.fit_on(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {"email", "card"} <= set(model.thresholds)
+
+
+def test_steps_of_scores_calibrate():
+    assert pii._calibrated([(0.1, 0.0, 900), (0.6, 18.0, 20), (0.8, 5.0, 5), (0.9, 96.0, 96)]) == 0.6
+    assert pii._calibrated([(0.2, 10.0, 100), (0.9, 5.0, 5)]) == math.inf
+
+
+def test_short_addresses_are_candidates(spark):
+    """Few decimal digits leave out cards and phones, no addresses."""
+    rows = pii.gated(spark.createDataFrame([("1.2.3.4 fe:ab:cd:ef:ab 12 345 +1 22",)], "text string"), "text")
+    found = rows.select(pii._proposed(F.col("text"), F.col("gates")).alias("found")).first().found
+    assert [(span.kind, span.hit) for span in found] == [("ip", "1.2.3.4"), ("ip", "fe:ab:cd:ef:ab")]
+
+
 def test_weak_parts_only_together(documents):
     spans = {row.doc_id: row.spans for row in credentials.report(documents.where("doc_id >= 1000000")).collect()}
     assert spans[10**6 + 10] == "account:0:19,opaque:30:54,endpoint:60:83"

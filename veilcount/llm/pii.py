@@ -4,12 +4,13 @@ High-recall generators propose spans, which may overlap: the base kinds, any row
 addresses, addresses without a dot, account numbers. Spans that a base rule accepts are always redacted. The others are
 judged by boosted trees over their format and context. The trees learn from the candidates themselves: those a base rule
 accepts are positive, the other candidates negative, and neither the rule's outcome nor the checksum is a feature.
-Thresholds for each kind are calibrated on candidates that the trees did not see: the lowest score from which on at least
-`PRECISION` of the candidates are positive; where there is none, nothing of that kind is added.
+Thresholds for each kind are calibrated on the candidates of all documents that the trees did not see, a third of them by
+hash: the lowest rounded score from which on at least `PRECISION` of the candidates are positive; where there is none,
+nothing of that kind is added.
 
-Trees are fitted on a bounded sample by Spark's own learner: of about `SAMPLE_DOCUMENTS` documents, dealt by a hash of
-their doc_id, the `SAMPLE_ROWS` candidates with the smallest hash. They become one column expression, so that scoring is
-part of the scan: no shuffle and one pass over all whole texts.
+Fitting reads all whole texts once and writes the features of all candidates. Trees are fitted by Spark's own learner on a
+bounded sample of them, about `SAMPLE_ROWS` of each kind, drawn by hash. They become one column expression, so that scoring
+is part of a second scan, without a shuffle.
 """
 
 from __future__ import annotations
@@ -25,12 +26,16 @@ from pyspark.sql import functions as F
 from veilcount.llm import spans
 from veilcount.session import new_work_folder
 
-SAMPLE_DOCUMENTS = 20_000
+#: Candidates of each kind that the trees are fitted on, about.
 SAMPLE_ROWS = 20_000
 TREES, DEPTH = 10, 4
 PRECISION = 0.95
 #: Fewest candidates of each class, and of each kind for its threshold, to learn anything from.
 LEAST = 30
+#: Decimal places of a score, which bound the rows of its histogram.
+PLACES = 4
+#: Fewest digits of a candidate card or phone number.
+LEAST_DIGITS = 7
 #: Code points of context before and after a candidate.
 CONTEXT = 32
 
@@ -138,12 +143,15 @@ def base_spans(text: Column, gates: Column) -> Column:
 
 
 def _proposed(text: Column, gates: Column) -> Column:
-    """Candidates of all generators; what several of them propose stays once for each kind."""
+    """Candidates of all generators; what several of them propose stays once for each kind.
+
+    Cards and phones of fewer than `LEAST_DIGITS` digits are left out; no base rule accepts one below nine.
+    """
     base = [spans.tagged(found, kind, KINDS.index(kind)) for kind, found in _matches(text, gates)]
     more = [
         spans.tagged(_when(gates[gate], spans.find(text, pattern)), kind, KINDS.index(kind)) for kind, gate, pattern in PROPOSALS
     ]
-    several_digits = lambda span: (span["kind"] == "email") | (F.char_length(_digits(span["hit"])) >= 7)
+    several_digits = lambda span: ~span["kind"].isin("card", "phone") | (F.char_length(_digits(span["hit"])) >= LEAST_DIGITS)
     return F.filter(F.array_distinct(F.concat(*base, *more)), several_digits)
 
 
@@ -217,9 +225,7 @@ def _tree(node):
 def fit_on(documents: DataFrame) -> Model:
     """Fits trees and thresholds on candidates of `documents`; without enough of both classes nothing is added."""
     spark = documents.sparkSession
-    share = min(1.0, SAMPLE_DOCUMENTS / max(1, documents.count()))
-    dealt = F.crc32(F.concat(F.lit("sample|"), F.col("doc_id").cast("string"))) < int(share * 2**32)
-    text = documents.where(dealt).select("doc_id", spans.prepared(F.col("text")).alias("text"))
+    text = documents.select("doc_id", spans.prepared(F.col("text")).alias("text"))
     proposed = gated(text, "text").select("doc_id", "text", _proposed(F.col("text"), F.col("gates")).alias("found"))
     wide = proposed.select("doc_id", _described(F.col("text"), F.col("found")).alias("found"))
     rows = wide.select("doc_id", F.explode("found").alias("span"))
@@ -228,25 +234,33 @@ def fit_on(documents: DataFrame) -> Model:
         F.col("span.kind").alias("kind"),
         F.when(accepted, 1.0).otherwise(0.0).alias("label"),
         F.col("span.x").alias("x"),
-        F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), F.col("span.start").cast("string"), "span.kind")).alias("dealt"),
+        F.xxhash64(F.col("doc_id").cast("string"), "span.start", "span.kind").alias("dealt"),
     )
-    sample = labelled.orderBy("dealt", "kind", "label", "x").limit(SAMPLE_ROWS)
-    width = 18 + len(HINTS)
-    flat = sample.select("kind", "label", "x", (F.conv(F.substring("dealt", 31, 2), 16, 10).cast("int") % 3 == 0).alias("calibrating"), *(F.col("x")[at].alias(f"x{at}") for at in range(width)))
     folder = new_work_folder(spark, "candidates")
-    flat.write.parquet(folder)
-    flat = spark.read.parquet(folder)
-    learning = flat.where(~F.col("calibrating"))
+    labelled.write.parquet(f"{folder}/all")
+    candidates = spark.read.parquet(f"{folder}/all")
+    calibrating = F.pmod("dealt", F.lit(3)) == 0
+    counts = {row.kind: row["count"] for row in candidates.where(~calibrating).groupBy("kind").count().collect()}
+    if not counts:
+        return Model()
+    share = F.coalesce(*(F.when(F.col("kind") == kind, min(1.0, SAMPLE_ROWS / count)) for kind, count in counts.items()))
+    drawn = F.crc32(F.concat(F.lit("sample|"), F.col("dealt").cast("string"))) < share * 2**32
+    width = 18 + len(HINTS)
+    flat = candidates.where(~calibrating & drawn).select("kind", "label", "dealt", *(F.col("x")[at].alias(f"x{at}") for at in range(width)))
+    features = [f"x{at}" for at in range(width)]
+    flat.repartition(8, "dealt").sortWithinPartitions("dealt", "kind", "label", *features).write.parquet(f"{folder}/sample")
+    learning = spark.read.parquet(f"{folder}/sample").coalesce(1)  # bounded; one task adds up in one order
     classes = {row.label: row["count"] for row in learning.groupBy("label").count().collect()}
     if min(classes.get(0.0, 0), classes.get(1.0, 0)) < LEAST:
         return Model()
-    assembled = VectorAssembler(inputCols=[f"x{at}" for at in range(width)], outputCol="features").transform(learning)
+    assembled = VectorAssembler(inputCols=features, outputCol="features").transform(learning)
     fitted = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7).fit(assembled.select("label", "features"))
     model = Model([_tree(tree._java_obj.rootNode()) for tree in fitted.trees], list(fitted.treeWeights))
-    scored = flat.where("calibrating").select("kind", "label", F.round(model.score(F.col("x")), 6).alias("score"))
+    scored = candidates.where(calibrating).select("kind", "label", _rounded(model.score(F.col("x"))).alias("score"))
+    steps = scored.groupBy("kind", "score").agg(F.sum("label").alias("positive"), F.count("*").alias("total")).collect()  # at most 10**PLACES + 1 a kind
     for kind in KINDS:
-        found = sorted((row.score, row.label) for row in scored.where(F.col("kind") == kind).collect())  # part of the sample
-        if len(found) >= LEAST:
+        found = sorted((row.score, row.positive, row.total) for row in steps if row.kind == kind)
+        if sum(total for *_, total in found) >= LEAST:
             model.thresholds[kind] = _calibrated(found)
     return model
 
@@ -257,13 +271,16 @@ def _whole(kind: str, hit: Column) -> Column:
     return hit.rlike(f"^(?:{pattern})$")
 
 
-def _calibrated(found: list[tuple[float, float]]) -> float:
-    """The lowest score from which on enough of the candidates are positive."""
-    best, positive = math.inf, 0.0
-    for count, (score, label) in enumerate(reversed(found), 1):
-        positive += label
-        nxt = found[-count - 1][0] if count < len(found) else None
-        if score != nxt and count >= LEAST // 3 and positive / count >= PRECISION:
+def _rounded(score: Column) -> Column:
+    return F.round(score, PLACES)
+
+
+def _calibrated(found: list[tuple[float, float, int]]) -> float:
+    """The lowest score from which on enough of the candidates are positive, by score, positive and all candidates."""
+    best, positive, count = math.inf, 0.0, 0
+    for score, more, total in reversed(found):
+        positive, count = positive + more, count + total
+        if count >= LEAST // 3 and positive / count >= PRECISION:
             best = score
     return best
 
@@ -288,7 +305,7 @@ def find_personal_data(documents: DataFrame, model: Model) -> DataFrame:
             _described(text, F.col("free")),
             lambda span: F.struct((-model.score(span["x"])).alias("minus"), span["rank"], span["start"], span["stop"], span["kind"], span["hit"]),
         ),
-        lambda span: F.round(-span["minus"], 6) >= least(span["kind"]),
+        lambda span: _rounded(-span["minus"]) >= least(span["kind"]),
     )
 
     def keep(kept: Column, span: Column) -> Column:
