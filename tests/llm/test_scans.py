@@ -146,3 +146,18 @@ def test_stems_are_counted_by_rows():
     texts = [f"abcdefgh abcd{at % 3} abcdefghijklmnop, x{at} abcdefgh".encode() for at in range(9)] + [b"abc abcdz"]
     expected = {stem: 9 for stem in ("abcde", "abcdef", "abcdefg", "abcdefgh", "abcdefghi", "abcdefghij", "abcdefghijk", "abcdefghijkl")}
     assert toxicity._frequent(texts) == {"abcd": 10, **expected}
+
+
+def test_license_bodies_without_names():
+    clauses = {
+        "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that",
+        "zlib": "2. Altered source versions must be plainly marked as such, and must not be misrepresented",
+        "apache-2": "each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright",
+        "gpl-2": "You may copy and distribute verbatim copies of the Program's source code as you receive it, in any medium",
+        "mpl-2": 'Covered Software is provided under this License on an "as is" basis, without',
+        "cc0": "Affirmer hereby overtly, fully, permanently, irrevocably and unconditionally waives, abandons",
+    }
+    scanner = licenses.Scanner()
+    for label, text in clauses.items():
+        found = scanner.detections(licenses.plain_words(text.encode()))
+        assert label in {rule.label for _, _, rule in found}, text

@@ -84,11 +84,30 @@ PHRASINGS = (
     ("{} licen[cs]e", "", 0.8),
     ("{}", "", 0.5),
 )
-#: Phrases that name no license, with their labels, keywords and strengths.
+#: Clauses and phrases that name no license, with their labels, keywords and strengths.
 HAND_WRITTEN = (
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit", "granted", 1.0),
     ("redistribution and use in source and binary forms", "bsd", "redistribution", 0.9),
     ("this is free and unencumbered software released into the public domain", "unlicense", "unencumbered", 1.0),
+    ("you may not use this file except in compliance with the license", "apache-2", "compliance", 1.0),
+    ("each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable", "apache-2", "irrevocable", 1.0),
+    ("copy and distribute verbatim copies of the program s source code as you receive it", "gpl-2", "verbatim", 0.9),
+    ("copy and distribute verbatim copies of the library s complete source code as you receive it", "lgpl-2", "verbatim", 0.9),
+    ("convey verbatim copies of the program s source code as you receive it", "gpl-3", "verbatim", 0.9),
+    ("prominently offer all users interacting with it remotely through a computer network", "agpl-3", "remotely", 1.0),
+    ("covered software is provided under this license on an as is basis", "mpl-2", "covered", 1.0),
+    ("each contributor hereby grants you a world wide royalty free non exclusive license", "mpl-2", "contributor", 0.9),
+    ("permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted provided", "isc", "fee", 1.0),
+    ("permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted the software", "0bsd", "fee", 1.0),
+    ("altered source versions must be plainly marked as such", "zlib", "altered", 1.0),
+    ("nor the names of (?:its|the|their) contributors may be used to endorse or promote products", "bsd-3", "endorse", 1.0),
+    ("all advertising materials mentioning features or use of this software must display", "bsd-4", "advertising", 1.0),
+    ("free of charge to any person or organization obtaining a copy of the software and accompanying documentation", "bsl-1", "organization", 1.0),
+    ("copyright holder maintains some artistic control over the development of that package", "artistic", "artistic", 1.0),
+    ("affirmer hereby overtly fully permanently irrevocably and unconditionally waives", "cc0", "affirmer", 1.0),
+    ("not primarily intended for or directed towards commercial advantage or monetary compensation", "cc-by-nc", "monetary", 0.8),
+    ("nor any of its individual components in original or modified versions may be sold by itself", "ofl", "sold", 1.0),
+    ("psf hereby grants licensee a nonexclusive royalty free world wide license", "psf", "licensee", 1.0),
     ("public domain", "public-domain", "domain", 0.4),
     ("all rights reserved", "all-rights-reserved", "reserved", 0.6),
     ("copyright (?:c )?(?:19|20)\\d\\d", "copyright", "copyright", 0.4),
