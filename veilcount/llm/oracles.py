@@ -57,9 +57,75 @@ reach AS (SELECT id AS a, id AS b FROM docs UNION SELECT reach.a, links.b FROM r
 least AS (SELECT a AS id, min(doc_id) AS component_id FROM reach JOIN docs ON b = id GROUP BY a)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM docs LEFT JOIN sizes USING (id) LEFT JOIN least USING (id)"""
 
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+# Fixed value: the reversed polynomial of the usual 32-bit checksum.
+_CRC = """xor(list_reduce(list_transform(range(len(CAST(doc_id AS VARCHAR))), lambda i: ord(CAST(doc_id AS VARCHAR)[i + 1])),
+  lambda c, byte: list_reduce(range(8), lambda d, bit: xor(d >> 1, 3988292384 * (d & 1)), xor(c, byte)), 4294967295), 4294967295)"""
+
+MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf("n_chars")} AS leaf, CASE WHEN {_CRC} % 7 = 0 THEN {_leaf("n_chars + 1")} END AS changed FROM documents),
+placed AS (
+  SELECT *, coalesce('=' || lang, '') AS tree, row_number() OVER trees - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves WINDOW trees AS (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf)),
+nodes AS (
+  SELECT tree, 0 AS level, pos, leaf AS node, n FROM placed
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (max(n) + 1) // 2 FROM nodes WHERE n > 1
+  GROUP BY tree, level, pos // 2),
+tops AS (
+  SELECT tree, node AS subroot, level AS height, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+crown AS (
+  SELECT 0 AS level, pos, subroot AS node, n FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 2, sha256(string_agg(node, '' ORDER BY pos)), (max(n) + 1) // 2 FROM crown WHERE n > 1
+  GROUP BY level, pos // 2),
+whole AS (SELECT node AS root, level AS height FROM crown WHERE n = 1),
+steps AS (
+  SELECT p.tree, p.pos, s.level, CASE WHEN x.node IS NULL THEN '' WHEN x.pos % 2 = 0 THEN 'b' ELSE 'a' END || coalesce(x.node, '') AS step
+  FROM placed p JOIN tops t USING (tree), LATERAL (SELECT unnest(range(t.height)) AS level) s
+  LEFT JOIN nodes x ON x.tree = p.tree AND x.level = s.level AND x.pos = xor(p.pos >> s.level, 1)),
+above AS (
+  SELECT t.tree, list(CASE WHEN x.node IS NULL THEN '' WHEN x.pos % 2 = 0 THEN 'b' ELSE 'a' END || coalesce(x.node, '') ORDER BY l.level) AS way
+  FROM tops t JOIN (SELECT unnest(range(height)) AS level FROM whole) l ON true
+  LEFT JOIN crown x ON x.level = l.level AND x.pos = xor(t.pos >> l.level, 1) GROUP BY t.tree),
+ways AS (SELECT tree, pos, list(step ORDER BY level) AS way FROM steps GROUP BY tree, pos),
+folded AS (
+  SELECT p.*, subroot, root, list_concat(coalesce(w.way, []), coalesce(a.way, [])) AS way
+  FROM placed p JOIN tops t USING (tree) CROSS JOIN whole LEFT JOIN ways w ON w.tree = p.tree AND w.pos = p.pos LEFT JOIN above a ON a.tree = p.tree),
+results AS (
+  SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(way, lambda s: s[2:]), '')) AS proof_sha256,
+         list_reduce(way, lambda node, s: sha256(CASE WHEN s[1] = 'b' THEN s[2:] || node ELSE node || s[2:] END), coalesce(changed, leaf)) AS folded_root
+  FROM folded)
+SELECT *, folded_root = root AS verified FROM results"""
+
+_BASE32 = """array_to_string(list_transform(range(32), lambda i:
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((CAST('0x' || hex[i // 4 * 5 + 1:i // 4 * 5 + 5] AS BIGINT) >> (15 - 5 * (i % 4))) & 31) + 1]), '')"""
+
+ARCHIVES = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+digests AS (
+  SELECT page_id, strlen(payload) AS payload_bytes, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS first FROM payloads),
+kinds AS (SELECT *, page_id IS DISTINCT FROM first AS again FROM digests)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN again THEN first END AS refers_to
+FROM kinds"""
+
 ORACLES = {
     "op5_temperature_mix": mixing.ORACLE,
     "op6_ngram_join": JACCARD,
     "op7_url_cascade": URLS,
     "op9_decontaminate": DECONTAMINATION,
+    "op12_merkle_manifest": MERKLE,
+    "op13_warc_reader": ARCHIVES,
 }

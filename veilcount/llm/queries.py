@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veilcount.llm import credentials, decontaminate, licenses, mixing, neighbours, ngram_join, oracles, pii, shards, toxicity, url_filter
+from veilcount.llm import alignment, credentials, decontaminate, licenses, manifest, mixing, neighbours, ngram_join, oracles, pii, shards, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +51,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.report(_table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.report(_table(spark, sf_dir, "documents"))
+
+
+def op13_warc_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(_table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -64,6 +76,9 @@ QUERIES = {
         op8_credentials,
         op9_decontaminate,
         op10_toxicity,
+        op11_token_alignment,
+        op12_merkle_manifest,
+        op13_warc_reader,
     )
 }
 ORACLES = oracles.ORACLES
