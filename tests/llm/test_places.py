@@ -198,6 +198,19 @@ def test_nearest_recall_and_large_buckets(spark, monkeypatch):
         assert sum(len(found[query] & set(hits)) for query, hits in expected.items()) >= 0.9 * 5 * len(expected)
 
 
+def test_stars_keep_components(spark):
+    """A meeting with eight pivots: about one link a member is left, and the same sets are together."""
+    pick = np.random.default_rng(4)
+    names = np.unique(pick.integers(-(1 << 62), 1 << 62, 400))
+    pivots = names[np.argsort(names ^ ngram_join._salt(1))[:8]]
+    pairs = {(min(m, p), max(m, p)) for m in names for p in pivots if m != p and pick.random() < 0.9}
+    pairs |= {tuple(sorted(pair)) for pair in pick.choice(1000, (300, 2)).tolist() if pair[0] != pair[1]}
+    links = spark.createDataFrame([(int(a), int(b)) for a, b in pairs], "a long, b long")
+    thin = ngram_join._stars(links, 1)
+    whole, left = ({(r.node, r.component) for r in components.components(frame).collect()} for frame in (links, thin))
+    assert whole == left and thin.count() < 400 + 8 * 7 + 300
+
+
 def test_pipeline_equals_stage_by_stage(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")

@@ -183,6 +183,11 @@ def _prefixes(levels: np.ndarray, words: int, percent: int):
 _MET = "pair boolean, shingle long, a long, b long, size int, place int"
 
 
+def _salt(turn: int) -> np.int64:
+    """Names are hashes, so their order after an exclusive or with this is another one in each round."""
+    return (np.full(1, turn + 1, np.uint64) * _ODD2).view(np.int64)[0]
+
+
 def _passes(size_a, place_a, size_b, place_b, percent: int):
     """Length and positional filter: if this is the first shared shingle, enough must be left from here on."""
     left = np.minimum(size_a - place_a, size_b - place_b)
@@ -198,9 +203,7 @@ def _pairs_of(names, sizes, places, groups, turn: int, percent: int):
     if done:
         i, j = np.triu_indices(count, 1)
     else:
-        salt = np.full(1, turn + 1, np.uint64) * _ODD2
-        mixed = (names.view(np.uint64) ^ salt) * _ODD
-        pivots = np.argsort(mixed ^ (mixed >> np.uint64(29)))[:PIVOTS]
+        pivots = np.argsort(names ^ _salt(turn))[:PIVOTS]
         i, j = (found.ravel() for found in np.meshgrid(np.arange(count), pivots))
     good = (groups[i] != groups[j]) & _passes(sizes[i], places[i], sizes[j], places[j], percent)
     return i[good], j[good], done
@@ -348,6 +351,22 @@ def _verified(pairs: DataFrame, sets: DataFrame, words: int, percent: int) -> Da
     return both.mapInArrow(_verify(words, percent), "a long, b long")
 
 
+def _stars(links: DataFrame, turn: int) -> DataFrame:
+    """Links with the same components, about one for each set: a set keeps the link to the first of its partners that stand
+    before it in the order of pivots, and that one is linked once with each of the others.
+
+    The sets of a meeting are linked with its pivots, which stand before them, so what is left are the sets' links with one
+    pivot and the links among pivots.
+    """
+    order = lambda name: F.col(name).bitwiseXOR(F.lit(int(_salt(turn))))
+    swap = order("a") < order("b")
+    towards = links.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("of"), F.when(swap, F.col("a")).otherwise(F.col("b")).alias("to"))
+    first = towards.groupBy("of").agg(F.min_by("to", order("to")).alias("star"))
+    among = towards.join(first, "of").where("to != star").select(F.least("star", "to").alias("a"), F.greatest("star", "to").alias("b"))
+    kept = first.select(F.least("of", "star").alias("a"), F.greatest("of", "star").alias("b"))
+    return kept.union(among).distinct()
+
+
 # -- the operator ----------------------------------------------------------------------------------------------------
 
 
@@ -384,6 +403,7 @@ def similar_groups(documents: DataFrame, words: int = WORDS, percent: int = PERC
         return rows, smallest.select("set_id", F.col("doc_id").alias("component_id"))
     sets = written(known.mapInArrow(_candidate_sets(bits, words), _SETS).dropDuplicates(["set_id"]), "sets")
     links = written(_verified(pairs, sets, words, percent), "links0")
+    links = written(_stars(links, 0), "stars0")
     joined, seen = components(links), pairs
     for turn in range(1, ROUNDS + 2):
         labelled = waiting.join(joined, waiting.set_id == joined.node, "left").select(
@@ -401,7 +421,7 @@ def similar_groups(documents: DataFrame, words: int = WORDS, percent: int = PERC
         pairs = written(found.distinct().join(seen, ["a", "b"], "left_anti"), f"pairs{turn}")
         more = written(_verified(pairs, sets, words, percent), f"links{turn}")
         if not more.isEmpty():
-            links = links.union(more)
+            links = links.union(written(_stars(more, turn), f"stars{turn}"))
             joined = components(links)
         seen = seen.union(pairs)
         if turn <= ROUNDS and waiting.isEmpty():
