@@ -1,10 +1,13 @@
 """Licenses, decontamination and toxicity against plain Python, on data and on edge cases."""
 
 import hashlib
+import math
 import re
 import zlib
 
+import numpy as np
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from veilcount.llm import decontaminate, licenses, toxicity
@@ -135,17 +138,57 @@ def test_digest_of_no_items():
 def test_stems_of_small_and_full_samples():
     """A word of every toxic row stands out in 20 rows against 20; one of 1.5 % of the rows does in a full sample."""
     texts = lambda count, said: [f"{'moronic' if at < said else 'lovely'} day {at}".encode() for at in range(count)]
-    assert toxicity._standing_out(texts(20, 20), texts(20, 0)) == ["moronic"]
-    assert toxicity._standing_out(texts(40, 8), texts(2500, 0)) == ["moronic"]
-    assert toxicity._standing_out(texts(20, 6), texts(20, 5)) == []
+    out = lambda toxic, plain: toxicity._standing_out((len(toxic), len(plain)), toxicity._frequent(toxicity.count_stems(toxic, plain)))
+    assert out(texts(20, 20), texts(20, 0)) == ["moronic"]
+    assert out(texts(40, 8), texts(2500, 0)) == ["moronic"]
+    assert out(texts(20, 6), texts(20, 5)) == []
     rows = toxicity.ROWS_PER_CLASS
-    assert toxicity._standing_out(texts(rows, rows * 15 // 1000), texts(rows, 0)) == ["moronic"]
+    assert out(texts(rows, rows * 15 // 1000), texts(rows, 0)) == ["moronic"]
 
 
 def test_stems_are_counted_by_rows():
     texts = [f"abcdefgh abcd{at % 3} abcdefghijklmnop, x{at} abcdefgh".encode() for at in range(9)] + [b"abc abcdz"]
     expected = {stem: 9 for stem in ("abcde", "abcdef", "abcdefg", "abcdefgh", "abcdefghi", "abcdefghij", "abcdefghijk", "abcdefghijkl")}
-    assert toxicity._frequent(texts) == {"abcd": 10, **expected}
+    counted = toxicity.count_stems(texts, texts[:2])
+    assert toxicity._frequent(counted) == {"abcd": (10, 2), **{stem: (rows, 2) for stem, rows in expected.items()}}
+
+
+def test_the_fit_in_tasks_equals_the_plain_one(spark):
+    """Repeated labels count once; a row labelled both ways teaches both; null labels, texts and doc_ids teach nothing."""
+    toxic = [f"you utter idiot number {at} what a moron and a scum bag né" for at in range(60)]
+    plain = [f"a quiet walk number {at} along the river on a warm day in may {at % 7}" for at in range(400)]
+    rows = [*enumerate(toxic + plain), (None, "idiot"), (700, None), (701, ""), (5, toxic[5])]
+    labels = [(at, int(at < 60)) for at in range(460)] * 2 + [(70, 1), (None, 1), (700, 1), (701, 1), (80, None), (9999, 1)]
+    documents = spark.createDataFrame([(*row, 1) for row in rows], "doc_id long, text string, toxic int").repartition(3)
+    model = toxicity.fit_on(documents, spark.createDataFrame([(*row, 0) for row in labels], "doc_id long, toxic int, quality int"))
+    texts, learned = dict(enumerate(toxic + plain)), lambda at: zlib.crc32(str(at).encode()) % 5 != 0
+    order = sorted(texts, key=lambda at: hashlib.md5(str(at).encode()).hexdigest())
+    sides = [[texts[at] for at in order if learned(at) and (at, side) in labels] for side in (1, 0)]
+    expected = toxicity.fit(*sides)
+    assert (model.toxic, model.ordinary) == (expected.toxic, expected.ordinary) and b"moron" in model.toxic
+    assert np.allclose(model.weights, expected.weights) and np.allclose(model.center, expected.center)
+    frame = spark.createDataFrame([(at, text) for at, text in enumerate((toxic[0], plain[0], "", None))], "doc_id long, text string")
+    scores = {row.doc_id: row.score for row in toxicity.score_documents(frame, model).collect()}
+    for at, text in enumerate((toxic[0], plain[0], "", None)):
+        assert abs(scores[at] - plain_score(text, model)) < 1e-9
+
+
+def plain_score(text, model):
+    """A text's score from its windows' compressed lengths, written out."""
+    words = (text or "").lower().encode().split()
+    windows = [b" ".join(words[at : at + 12]) for at in range(0, len(words), 12)] or [b""]
+    lengths = []
+    for content in (model.ordinary, model.toxic):
+        known = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        lengths.append([len(zstandard.ZstdCompressor(level=9, dict_data=known, write_content_size=False).compress(w)) for w in windows])
+    gains = [one - other for one, other in zip(*lengths)]
+    above = [max(gain - 1, 0) for gain in gains]
+    share = sum(gain >= 3 for gain in gains) / len(gains)
+    figures = [sum(gains) / len(gains), sum(above) / len(above), max(gains), share, math.log1p(sum(above)), math.log(len(gains))]
+    value = model.weights[-1]
+    for figure, center, scale, weight in zip(figures, model.center, model.scale, model.weights):
+        value += weight * min(3, max(-3, (figure - center) / scale))
+    return 1 / (1 + math.exp(-value))
 
 
 def test_license_bodies_without_names():

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilcount.llm.texts import small_batches
+from veilcount.llm.texts import byte_batches
 from veilcount.session import new_work_folder
 
 #: Where the vocabulary files lie, and their names.
@@ -260,20 +260,6 @@ _BLOCKS = (
 _FIGURES = ("n_a", "n_b", "n_groups", "n_overlaps", "n_links")
 
 
-def _slices(batches):
-    """Slices of batches of few rows and, but for single long texts, few bytes."""
-    for batch in small_batches(batches, 4096):
-        widths = pa.compute.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
-        start, held = 0, 0
-        for at, width in enumerate(widths.tolist()):
-            held += width
-            if held >= BLOCK_BYTES:
-                yield batch.slice(start, at + 1 - start)
-                start, held = at + 1, 0
-        if start < batch.num_rows:
-            yield batch.slice(start)
-
-
 def _one_row(values, kind: str) -> pa.Array:
     return pa.array([values if isinstance(values, list) else np.asarray(values)], pa.list_(getattr(pa, kind)()))
 
@@ -293,7 +279,7 @@ def align_documents(documents: DataFrame, folder: str = FOLDER, hashed: bool = F
     def blocks(batches):
         tokenizers = Tokenizers(*files.value)
         number = TaskContext.get().partitionId() << 33
-        for part in _slices(batches):
+        for part in byte_batches(batches, "text", BLOCK_BYTES):
             made = align_block([tokenizers.encode(text) for text in part.column(1).to_pylist()], tokenizers)
             pairs, places, holders = np.unique(made.pairs, return_inverse=True, return_counts=True)
             groups = [hashlib.sha256(g).hexdigest() if g and hashed else g.decode() for g in made.groups]

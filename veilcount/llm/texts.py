@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes outside `[^\x00-\x2F\x3A-\x60\x7B-\x7F]` after lower-casing A-Z become a blank; all others stay.
 _PLAIN = bytes(
@@ -32,3 +33,17 @@ def small_batches(batches, rows: int = 512):
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
             yield batch.slice(start, rows)
+
+
+def byte_batches(batches, name: str, most: int, rows: int = 4096):
+    """Slices of few rows and, but for single long texts, few bytes of the column `name`."""
+    for batch in small_batches(batches, rows):
+        widths = pc.binary_length(batch.column(batch.schema.get_field_index(name))).fill_null(0)
+        start, held = 0, 0
+        for at, width in enumerate(widths.to_pylist()):
+            held += width
+            if held >= most:
+                yield batch.slice(start, at + 1 - start)
+                start, held = at + 1, 0
+        if start < batch.num_rows:
+            yield batch.slice(start)

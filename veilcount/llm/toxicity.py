@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veilcount.llm.texts import blank_words, small_batches, utf8
+from veilcount.llm.texts import blank_words, byte_batches, small_batches, utf8
+from veilcount.session import new_work_folder
 
 WINDOW_WORDS = 12
 ROWS_PER_CLASS = 3000
@@ -88,16 +89,20 @@ def _plain_words(text: bytes) -> set[str]:
     return {word.strip(_EDGES).decode(errors="ignore") for word in set(blank_words(text))}
 
 
-def _frequent(texts: list[bytes]) -> Counter:
-    """Rows of each stem that enough rows hold. One size at a time: a stem is in no more rows than its front part."""
-    found: Counter = Counter()
-    for size in range(STEM[0], STEM[1] + 1):
-        seen: Counter = Counter()
-        for text in texts:
-            long = (plain for plain in _plain_words(text) if len(plain) >= size)
-            seen.update({plain[:size] for plain in long if size == STEM[0] or plain[: size - 1] in found})
-        found.update({stem: count for stem, count in seen.items() if count >= LEAST_ROWS})
-    return found
+def _stems(text: bytes) -> set[str]:
+    """The front parts of a text's words that are no shorter and no longer than a stem."""
+    return {word[:size] for word in _plain_words(text) for size in range(STEM[0], min(len(word), STEM[1]) + 1)}
+
+
+def _frequent(counts: dict[str, tuple[int, int]]) -> dict[str, tuple[int, int]]:
+    """Of the stems with their toxic and ordinary rows those that enough toxic rows hold."""
+    return {stem: rows for stem, rows in counts.items() if rows[0] >= LEAST_ROWS}
+
+
+def count_stems(toxic: list[bytes], ordinary: list[bytes]) -> dict[str, tuple[int, int]]:
+    """Rows of each stem in toxic and in ordinary texts."""
+    found = [Counter(stem for text in texts for stem in _stems(text)) for texts in (toxic, ordinary)]
+    return {stem: (found[0][stem], found[1][stem]) for stem in found[0].keys() | found[1].keys()}
 
 
 def least_ratio(rows: int, stems: int, full: float = LEAST_RATIO) -> float:
@@ -110,19 +115,12 @@ def least_ratio(rows: int, stems: int, full: float = LEAST_RATIO) -> float:
     return min(full, max(full * rows / FULL_ROWS, 2 * math.log(max(1, stems) / FALSE_STEMS)))
 
 
-def _standing_out(toxic: list[bytes], ordinary: list[bytes], full_ratio: float = LEAST_RATIO) -> list[str]:
-    """Stems whose share of toxic rows is higher beyond chance, weakest first."""
-    in_toxic = _frequent(toxic)
-    least = least_ratio(min(len(toxic), len(ordinary)), len(in_toxic), full_ratio)
-    in_ordinary: Counter = Counter()
-    for text in ordinary:
-        words = _plain_words(text)
-        in_ordinary.update({p[:size] for p in words for size in range(STEM[0], min(len(p), STEM[1]) + 1) if p[:size] in in_toxic})
-    rows = len(toxic), len(ordinary)
+def _standing_out(rows: tuple[int, int], frequent: dict[str, tuple[int, int]], full_ratio: float = LEAST_RATIO) -> list[str]:
+    """Frequent stems whose share of toxic rows is higher beyond chance, weakest first. rows: toxic and ordinary texts."""
+    least = least_ratio(min(rows), len(frequent), full_ratio)
     ratio = {}
-    for stem, count in in_toxic.items():
-        counts = count, in_ordinary[stem]
-        if count / rows[0] <= LEAST_SHARE * counts[1] / rows[1]:
+    for stem, counts in frequent.items():
+        if counts[0] / rows[0] <= LEAST_SHARE * counts[1] / rows[1]:
             continue
         shared, total = sum(counts) / sum(rows), 0.0
         for seen, of in zip(counts, rows):
@@ -136,8 +134,8 @@ def _standing_out(toxic: list[bytes], ordinary: list[bytes], full_ratio: float =
     longer: dict[str, int] = {}
     for stem in ratio:
         for size in range(STEM[0], len(stem)):
-            longer[stem[:size]] = max(longer.get(stem[:size], 0), in_toxic[stem])
-    kept = [stem for stem in ratio if longer.get(stem, 0) < 0.9 * in_toxic[stem]]
+            longer[stem[:size]] = max(longer.get(stem[:size], 0), frequent[stem][0])
+    kept = [stem for stem in ratio if longer.get(stem, 0) < 0.9 * frequent[stem][0]]
     return sorted(kept, key=lambda stem: (ratio[stem], stem))[-MOST_STEMS:]
 
 
@@ -164,12 +162,17 @@ def _design(rows: np.ndarray, model: Model) -> np.ndarray:
 def fit(toxic: list[str], ordinary: list[str], full_ratio: float = LEAST_RATIO) -> Model:
     """A model from toxic and ordinary texts; without texts of both classes it scores every text 0."""
     samples = [[text.encode() for text in dict.fromkeys(texts) if text] for texts in (toxic, ordinary)]
+    return _fitted(samples, _frequent(count_stems(*samples)), full_ratio)
+
+
+def _fitted(samples: list[list[bytes]], frequent: dict[str, tuple[int, int]], full_ratio: float = LEAST_RATIO) -> Model:
+    """A model from the distinct texts of both classes and the stems that enough toxic ones hold."""
     windows = lambda: (window for text in samples[1] for window in _windows(blank_words(text)))
     count = sum(1 for _ in windows())
     if not all(samples) or count < 100:
         return Model(b" " * 8, b" " * 8, [0.0] * FEATURES + [-30.0], [0.0] * FEATURES, [1.0] * FEATURES)
     trained = zstandard.train_dictionary(TRAINED_BYTES, list(islice(windows(), 0, None, max(1, count // 40_000)))).as_bytes()
-    front = (" " + " ".join(_standing_out(*samples, full_ratio)) + " ").encode()
+    front = (" " + " ".join(_standing_out(tuple(map(len, samples)), frequent, full_ratio)) + " ").encode()
     filler = b" ".join(islice(windows(), len(front) // 4 + 1))[: len(front)].ljust(len(front))
     model = Model(front + trained, filler + trained, [], [], [])
     compressors = model.compressors()
@@ -182,22 +185,63 @@ def fit(toxic: list[str], ordinary: list[str], full_ratio: float = LEAST_RATIO)
     return model
 
 
+_MODEL = "toxic binary, ordinary binary, weights array<double>, center array<double>, scale array<double>"
+_MODEL_ARROW = pa.schema(
+    [("toxic", pa.binary()), ("ordinary", pa.binary()), *((name, pa.list_(pa.float64())) for name in ("weights", "center", "scale"))]
+)
+
+
 def held_out() -> F.Column:
     """Whether labels of a row may not be learned from: crc32 of the doc_id as text, mod 5, is 0; false without doc_id."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
 
 
 def fit_on(documents: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS) -> Model:
-    """Fits on labelled rows that are not held out. Rows of `labels` with a null doc_id or label are left out."""
+    """Fits on labelled rows that are not held out. Rows of `labels` with a null doc_id or label are left out, repeated ones
+    count once; a doc_id labelled both ways is in both classes.
+
+    The sample is written. Its stems are counted in Spark; one task learns from the sample, whose size is bounded, and the
+    model alone comes back to the driver.
+    """
     usable = labels.select("doc_id", "toxic").where(~held_out() & F.col("doc_id").isNotNull())
+    spark = documents.sparkSession
+    work = new_work_folder(spark, "toxicity")
     order = F.md5(F.col("doc_id").cast("string"))
     texts = documents.select("doc_id", "text").where(F.char_length("text").between(1, LONGEST_SAMPLE))
-    found = []
     for toxic in (1, 0):
         chosen = usable.where(F.col("toxic") == toxic).select("doc_id").distinct().orderBy(order).limit(rows_per_class)
         sample = texts.join(F.broadcast(chosen), "doc_id").orderBy(order, "text").limit(rows_per_class)
-        found.append([row.text for row in sample.collect()])
-    return fit(*found)
+        sample.select(F.lit(toxic).alias("toxic"), order.alias("place"), "text").write.mode("append").parquet(f"{work}/sample")
+    sample = spark.read.schema("toxic int, place string, text string").parquet(f"{work}/sample")
+
+    def stems(batches):
+        for batch in byte_batches(batches, "text", 1 << 18):
+            found = [[], []]
+            for toxic, text in zip(batch.column(0).to_pylist(), utf8(batch, "text")):
+                found[1 - toxic].append(text)
+            counted = count_stems(*found)
+            columns = [list(counted), *([rows[side] for rows in counted.values()] for side in (0, 1))]
+            yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(columns, (pa.string(), pa.int64(), pa.int64()))], ["stem", "toxic", "ordinary"])
+
+    # Dealt anew, because a sample of few files would be counted by few tasks.
+    spread = sample.select("toxic", "text").distinct().repartition(16)
+    counted = spread.mapInArrow(stems, "stem string, toxic long, ordinary long").groupBy("stem")
+    counted = counted.agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).where(F.col("toxic") >= LEAST_ROWS)
+
+    def learn(texts: pa.Table, stems: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(texts[name].to_pylist() for name in ("place", "text", "toxic"))))
+        samples = [[text.encode() for text in dict.fromkeys(text for _, text, of in rows if of == toxic)] for toxic in (1, 0)]
+        frequent = dict(zip(stems["stem"].to_pylist(), zip(stems["toxic"].to_pylist(), stems["ordinary"].to_pylist())))
+        model = _fitted(samples, frequent)
+        return pa.Table.from_pylist([model.__dict__], schema=_MODEL_ARROW)
+
+    one = F.lit(0).alias("all")
+    learned = sample.withColumn("all", one).groupBy("all").cogroup(counted.withColumn("all", one).groupBy("all"))
+    found = learned.applyInArrow(learn, _MODEL).collect()  # one row, or none without a sample
+    if not found:
+        return fit([], [])
+    row = found[0].asDict()
+    return Model(bytes(row["toxic"]), bytes(row["ordinary"]), row["weights"], row["center"], row["scale"])
 
 
 def _scores(model: Model):
