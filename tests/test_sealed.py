@@ -5,10 +5,11 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from rows import tag
+from rows import RECOVERED, tag
 from veilcount.functions import shares as sh
 from veilcount.functions.tags import prefix_tag
 from veilcount.operators import sealed
+from veilcount.session import new_work_folder
 
 P = sh.PRIME
 
@@ -108,3 +109,63 @@ def test_wrong_key_opens_nothing(spark):
     assert (good.opened, good.has_next, good.next_opened, good.measurement) == (True, True, True, "a|1")
     bad = sealed.open_layer(rows.withColumn("key", F.unhex(F.lit("00" * 32)))).first()
     assert (bad.opened, bad.has_next, bad.next_opened, bad.measurement) == (False, False, False, None)
+
+
+def sealed_class(spark, count, first=0):
+    """Messages of one class with threshold 20, and their ids: first the 26 that salt 0 samples, by x, then the others."""
+    rows = [(1, f"m{at}", ["a|1"], 20) for at in range(first, first + count)]
+    clear = spark.createDataFrame(rows, "epoch SMALLINT, msg_id STRING, layers ARRAY<STRING>, threshold INT")
+    made = sealed.seal(clear, "s", 1)
+    order = made.orderBy(F.xxhash64("x", F.lit(0)), "x").select("x", "msg_id").collect()
+    return made, [r.msg_id for r in sorted(order[:26]) + order[26:]]
+
+
+def altered(frame, ids, column="y"):
+    wrong = F.transform("y", lambda limb: F.pmod(limb + F.lit(1), F.lit(P))) if column == "y" else F.reverse(F.hex("ct")).cast("binary")
+    return frame.withColumn(column, F.when(F.col("msg_id").isin(ids), wrong).otherwise(F.col(column)))
+
+
+def processed(spark, messages, pending=None, salt=0):
+    """Messages opened, left waiting and lost."""
+    none = spark.createDataFrame([], RECOVERED)
+    pending = spark.createDataFrame([], sealed.PENDING) if pending is None else pending
+    done = sealed.process_batch(messages, none, pending, new_work_folder(spark, "test"), messages.count(), salt=salt)
+    opened = sum(r.change for r in done.changes.collect())
+    return opened, done.pending, done.quarantine.count()
+
+
+@pytest.mark.parametrize("places", [(), (0,), (25,), (0, 13), (5, 20), (0, 1, 2, 24, 25)])
+def test_bad_shares_lose_no_class(spark, places):
+    """Of 26 sampled shares six can be spared: two blocks of three may be bad, wherever they are."""
+    messages, order = sealed_class(spark, 60)
+    opened, waiting, lost = processed(spark, altered(messages, [order[at] for at in places]))
+    assert (opened, waiting.count(), lost) == (60, 0, 0)
+
+
+def test_a_class_of_bad_shares_waits_for_good_ones(spark):
+    messages, order = sealed_class(spark, 60)
+    only_bad = altered(messages, order[:60:2])  # half of the sample
+    opened, waiting, lost = processed(spark, only_bad)
+    assert (opened, waiting.count(), lost) == (0, 60, 0)
+    # As few shares as the threshold, one of them bad: nothing can be spared.
+    few, order = sealed_class(spark, 20)
+    opened, left, lost = processed(spark, altered(few, order[:1]))
+    assert (opened, left.count(), lost) == (0, 20, 0)
+    # They are opened with the messages of a later batch, whose sample has but few bad shares.
+    more, _ = sealed_class(spark, 200, first=1000)
+    opened, left, lost = processed(spark, more, left, salt=1)
+    assert (opened, left.count(), lost) == (220, 0, 0)
+
+
+def test_sound_shares_with_broken_messages_fail_as_a_class(spark):
+    messages, order = sealed_class(spark, 60)
+    opened, waiting, lost = processed(spark, altered(messages, order, "ct"))
+    assert (opened, waiting.count(), lost) == (0, 0, 60)
+    opened, waiting, lost = processed(spark, altered(messages, order[:59], "ct"))
+    assert (opened, waiting.count(), lost) == (60, 0, 0)
+
+
+def test_the_sample_is_limited_before_its_shuffle(spark):
+    messages, _ = sealed_class(spark, 60)
+    plan = sealed.share_sample(messages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.rindex("WindowGroupLimit") and "Partial" in plan[plan.rindex("WindowGroupLimit"):]

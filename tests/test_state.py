@@ -101,3 +101,52 @@ def test_fixed_children_survive_reports_and_compaction(spark):
     store.compact(fixed_children=True)
     row = store.recovered(fixed_children=True).first()
     assert (row["count"], row.has_children) == (2, False)
+
+
+def stored(store, table="recovered"):
+    return {(r.batch, r.epoch, bytes(r.tag)) for r in store.stored(table).select("batch", "epoch", "tag").collect()}
+
+
+def test_vacuum_deletes_purged_epochs_only(spark):
+    store = tables(spark)
+    assert store.vacuum() == 0 and store.stored("recovered").count() == 0
+    put(store, 0, as_changes(recovered(spark, ROWS)), next_offsets={0: 3})
+    store.purge([8])
+    put(store, 2, as_changes(recovered(spark, [(5, 8, "browser", "lynx", None, 4, True)])))
+    before = counts(store.recovered())
+    assert stored(store) == {(0, 8, tag(5)), (0, 8, tag(6)), (0, 9, tag(5)), (2, 8, tag(5))}
+    assert store.vacuum(grace_seconds=3600) == 0 and len(stored(store)) == 4  # readers that started earlier can finish
+    assert store.vacuum() == 1 and store.vacuum() == 0
+    assert stored(store) == {(0, 9, tag(5)), (2, 8, tag(5))}
+    assert counts(store.recovered()) == before and store.progress().next_offsets == {0: 3}
+
+
+def test_vacuum_keeps_the_base_and_uncommitted_batches(spark):
+    store = tables(spark)
+    put(store, 0, as_changes(recovered(spark, ROWS)))
+    put(store, 1, as_changes(recovered(spark, [(5, 9, "browser", "lynx", None, 1, True)])))
+    base = store.compact()
+    reader = store.recovered()  # named by the base before anything is deleted
+    store.write("recovered", base + 1, as_changes(recovered(spark, [(6, 9, "browser", "w3m", None, 2, False)])))
+    before = counts(store.recovered())
+    assert store.vacuum() == 4  # two tables, two batches
+    assert {batch for batch, *_ in stored(store)} == {base, base + 1}
+    assert counts(reader) == counts(store.recovered()) == before
+    store.write_nothing("pending", base + 1)
+    store.commit(base + 1)
+    assert counts(store.recovered())[9, tag(6)] == 2
+
+
+def test_compaction_and_vacuum_delete_opened_messages(spark):
+    store = tables(spark)
+    rows = [(8, tag(5), ["a|1"], 1, 20, 3), (8, tag(7), ["a|2"], 1, 20, 2), (9, tag(5), ["a|1"], 1, 20, 1)]
+    names = {"epoch": "SMALLINT", "tag": "BINARY", "layers": "ARRAY<STRING>", "depth": "INT", "threshold": "INT", "n": "BIGINT"}
+    waiting = spark.createDataFrame(rows, ", ".join(map(" ".join, names.items()))).to(store.read("pending").drop("batch").schema)
+    store.write("pending", 0, waiting)
+    store.write("recovered", 0, as_changes(recovered(spark, [])))
+    store.commit(0)
+    put(store, 1, as_changes(recovered(spark, [(5, 8, "a", "1", None, 3, False)])))
+    assert stored(store, "pending") == {(0, 8, tag(5)), (0, 8, tag(7)), (0, 9, tag(5))}
+    base = store.compact()
+    store.vacuum()
+    assert stored(store, "pending") == {(base, 8, tag(7)), (base, 9, tag(5))}

@@ -132,6 +132,32 @@ def purge_epoch(spark, sf):
     )
 
 
+def deleted_files(spark, sf):
+    """Rows that files still hold after a purge of epochs 0 and 1, a vacuum, a second batch, a compaction and a vacuum.
+
+    stage 0 is the state after the first vacuum, stage 1 that after the second. Every file counts, whether it is read or not.
+    """
+    job = _run(spark, sf, (0,))
+    job.tables.purge([0, 1])
+    job.tables.vacuum()
+    folder = new_work_folder(spark, "stored")
+
+    def keep(stage):
+        tags = job.tables.stored("recovered").groupBy("epoch").agg(F.count_distinct("tag").alias("tags"))
+        held = job.tables.stored("pending").groupBy("epoch").agg(F.sum("n").alias("pending"))
+        columns = [F.coalesce(name, F.lit(0)).cast("bigint").alias(name) for name in ("tags", "pending")]
+        rows = tags.join(held, "epoch", "full").select(F.lit(stage).alias("stage"), "epoch", *columns)
+        rows.write.mode("append").parquet(folder)
+
+    keep(0)
+    part = _batch(ds.lineitem_messages(spark, sf), 1, 2)
+    job.run_batch(part, part.count())
+    job.tables.compact()
+    job.tables.vacuum()
+    keep(1)
+    return spark.read.parquet(folder)
+
+
 def _totals(measurements, names):
     cell = lambda n: F.concat(F.lit(f"{n}|"), F.get_json_object("json", f"$.{n}"))
     rows = measurements.select(
@@ -242,6 +268,7 @@ QUERIES = {
     "upsert_recovered": upsert_recovered,
     "store_pending": store_pending,
     "purge_epoch": purge_epoch,
+    "deleted_files": deleted_files,
     "replay_idempotent": replay_idempotent,
     "incremental_equals_batch": incremental_equals_batch,
     "measurement_sink": measurement_sink,
@@ -298,6 +325,12 @@ n AS (SELECT epoch, count(*) AS tags FROM s_n GROUP BY epoch),
 p AS (SELECT epoch, sum(n) AS pending FROM s GROUP BY epoch)
 SELECT coalesce(n.epoch, p.epoch) AS epoch, coalesce(tags, 0) AS tags, CAST(coalesce(pending, 0) AS BIGINT) AS pending
 FROM n FULL JOIN p ON n.epoch = p.epoch""",
+    "deleted_files": f"""WITH {sql.LINEITEM_MSGS},
+a AS (SELECT * FROM line_msgs WHERE batch = 0 AND epoch > 1),{_stuck('a', 's')},
+b AS (SELECT * FROM line_msgs WHERE batch > 0 OR epoch > 1),{_stuck('b', 't')},
+n AS (SELECT 0 AS stage, epoch, count(*) AS tags FROM s_n GROUP BY epoch UNION ALL SELECT 1, epoch, count(*) FROM t_n GROUP BY epoch),
+p AS (SELECT 0 AS stage, epoch, sum(n) AS pending FROM s GROUP BY epoch UNION ALL SELECT 1, epoch, sum(n) FROM t GROUP BY epoch)
+SELECT stage, epoch, coalesce(tags, 0) AS tags, CAST(coalesce(pending, 0) AS BIGINT) AS pending FROM n FULL JOIN p USING (stage, epoch)""",
     "replay_idempotent": f"WITH {sql.LINEITEM_MSGS},{sql.revealed('line_msgs')} {_TOTALS}",
     "incremental_equals_batch": f"WITH {sql.LINEITEM_MSGS},{sql.revealed('line_msgs')} {_TOTALS}",
     "measurement_sink": f"""WITH {sql.EVENT_MSGS},

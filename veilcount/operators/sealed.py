@@ -87,29 +87,76 @@ def seal(messages: DataFrame, secret: str, max_depth: int) -> DataFrame:
 # -- keys --------------------------------------------------------------------------------------------------------------
 
 
-def share_sample(shares: DataFrame) -> DataFrame:
-    """At most k + k/3 shares with different x per class.
+def share_sample(shares: DataFrame, salt: int = 0, highest: int | None = None) -> DataFrame:
+    """The shares of k + k/3 different x per class, or of all if there are fewer, with ``ct`` if ``shares`` has it.
 
-    Equal shares collapse first. The rank limit is applied to each partition before the shuffle, so a class of any
-    size sends only a few rows per task.
+    ``highest`` is the highest threshold, looked up if it is not given. Its limit is a number, which Spark applies to each
+    partition before the shuffle, so a class of any size sends only few shares per task (up to a threshold of 750, from
+    where on Spark ranks after the shuffle). Copies of a share have one rank and collapse afterwards. ``salt`` draws
+    another sample.
     """
-    one_each = shares.select(*_CLASS, "x", "y").distinct()
-    order = Window.partitionBy(*_CLASS).orderBy(F.xxhash64("x"), "x")
-    ranked = one_each.withColumn("rank", F.row_number().over(order))
-    return ranked.filter(F.col("rank") <= F.col("threshold") + F.floor(F.col("threshold") / 3)).drop("rank")
+    if highest is None:
+        highest = shares.agg(F.max("threshold")).first()[0] or 0
+    order = Window.partitionBy(*_CLASS).orderBy(F.xxhash64("x", F.lit(salt)), "x")
+    columns = ["x", "y", *(["ct"] if "ct" in shares.columns else [])]
+    ranked = shares.select(*_CLASS, *columns).withColumn("rank", F.dense_rank().over(order))
+    own_limit = F.col("rank") <= F.col("threshold") + F.floor(F.col("threshold") / 3)
+    return ranked.filter((F.col("rank") <= highest + highest // 3) & own_limit).drop("rank").distinct()
+
+
+def _different_shares(sample: DataFrame, *more: Column) -> DataFrame:
+    """One row per class with the array ``shares`` of x and y, by x and without repeated x."""
+    listed = sample.groupBy(*_CLASS).agg(F.sort_array(F.collect_set(F.struct("x", "y"))).alias("shares"), *more)
+    different = F.filter("shares", lambda s, at: (at == 0) | (F.get(F.col("shares"), at - 1)["x"] != s["x"]))
+    return listed.withColumn("shares", different)
+
+
+def _key_of(shares: Column) -> Column:
+    """The key that so many shares as the threshold give; NULL with fewer, or for a threshold below 2."""
+    key = sh.key_of_limbs(sh.secret_at_zero(shares))
+    return F.when((F.size(shares) == F.col("threshold")) & (F.col("threshold") >= 2), key)
 
 
 def recover_keys(sample: DataFrame) -> DataFrame:
-    """(class, key) from sampled shares; the key is NULL when fewer than k different shares are left."""
-    listed = sample.groupBy(*_CLASS).agg(F.sort_array(F.collect_list(F.struct("x", "y"))).alias("shares"))
-    different = F.filter(
-        "shares", lambda s, at: (at == 0) | (F.get(F.col("shares"), at - 1)["x"] != s["x"])
-    )
-    usable = F.slice(different, F.lit(1), F.col("threshold"))
-    key = sh.key_of_limbs(sh.secret_at_zero(F.col("usable")))
-    return listed.withColumn("usable", usable).select(
-        *_CLASS, F.when((F.size("usable") == F.col("threshold")) & (F.col("threshold") >= 2), key).alias("key")
+    """(class, key) from the first sampled shares; the key is NULL when fewer than k different shares are left."""
+    usable = _different_shares(sample).withColumn("usable", F.slice("shares", F.lit(1), F.col("threshold")))
+    return usable.select(*_CLASS, _key_of(F.col("usable")).alias("key"))
+
+
+def tested_keys(sample: DataFrame, folder: str) -> DataFrame:
+    """(class, key) from a sample with ``ct``: a key that opens a sampled message, NULL if the shares give none.
+
+    The first k shares are tried first. Where their key opens nothing, the sample is cut into blocks of half as many shares
+    as there are to spare, and every pair of blocks is left out in turn. So bad shares in any two blocks, any two of them
+    at least, do no harm. Of several keys the one that opens most is taken. If nothing opens but all subsets give one key, the
+    shares are sound and the messages are not; the key is kept and opening decides. ``folder`` is a work folder.
+    """
+    spark = sample.sparkSession
+    cts = F.collect_set("ct").alias("cts")
+    first = _different_shares(sample, cts).withColumn("usable", F.slice("shares", F.lit(1), F.col("threshold")))
+    opens = F.size(F.filter("cts", lambda ct: F.try_aes_decrypt(ct, F.col("key"), F.lit("GCM")).isNotNull()))
+    first = first.withColumn("key", _key_of(F.col("usable"))).withColumn("opens", F.when(F.col("key").isNotNull(), opens))
+    first.drop("usable").write.mode("overwrite").parquet(f"{folder}/first")
+    first = spark.read.parquet(f"{folder}/first")
+    bad = first.filter("opens = 0 AND size(shares) > threshold")
+    if bad.isEmpty():
+        return first.select(*_CLASS, F.when(F.col("opens") > 0, F.col("key")).alias("key"))
+    block = F.greatest(F.lit(1), F.floor((F.size("shares") - F.col("threshold")) / 2)).cast("int")
+    blocks = F.sequence(F.lit(0), F.floor((F.size("shares") - 1) / F.col("block")).cast("int"))
+    cut = bad.drop("key", "opens").withColumn("block", block).withColumn("one", F.explode(blocks))
+    cut = cut.withColumn("other", F.explode(blocks)).filter("one <= other")
+    left = F.filter("shares", lambda s, at: ~F.floor(at / F.col("block")).isin(F.col("one"), F.col("other")))
+    # A class has some 45 pairs, each some milliseconds of arithmetic: dealt anew over all tasks.
+    cut = cut.repartition(spark.sparkContext.defaultParallelism, *_CLASS, "one", "other")
+    cut = cut.withColumn("usable", F.slice(left, F.lit(1), F.col("threshold"))).withColumn("key", _key_of(F.col("usable")))
+    tried = cut.filter(F.col("key").isNotNull()).withColumn("opens", opens)
+    first_key = F.struct("opens", "key")
+    best = tried.groupBy(*_CLASS).agg(
+        F.max(first_key).alias("best"), F.count_distinct("key").alias("keys"), F.count(F.lit(1)).alias("subsets")
     )
+    sound = (F.col("best.opens") > 0) | ((F.col("keys") == 1) & (F.col("subsets") > 1))
+    best = best.select(*_CLASS, F.when(sound, F.col("best.key")).alias("better"))
+    return first.join(best, _CLASS, "left").select(*_CLASS, F.when(F.col("opens") > 0, F.col("key")).otherwise(F.col("better")).alias("key"))
 
 
 def tag_keys(class_keys: DataFrame) -> DataFrame:
@@ -233,11 +280,13 @@ def process_batch(
     total: int,
     max_failed: int = MAX_FAILED,
     max_failed_top: int = MAX_FAILED_TOP,
+    salt: int = 0,
 ) -> SealedBatch:
     """Open a batch of sealed messages round by round, until a round opens nothing.
 
     ``recovered`` are the current state rows, ``pending`` all pending rows ever appended, ``total`` the number of new
-    messages, ``folder`` a work folder that all executors share.
+    messages, ``folder`` a work folder that all executors share. Of the state only the batch's epochs are read. A class
+    whose shares give no key goes on waiting; with another ``salt`` a later batch tries other shares.
     """
     spark = messages.sparkSession
     heavy = heavy_rows(total)
@@ -250,6 +299,8 @@ def process_batch(
     no_parent = F.lit(None).cast("binary").alias("parent_tag")
     # Each round reads its messages several times, mostly a few columns of them.
     new = written(messages.select(*fields), "parsed").select(*fields, no_parent)
+    epochs = [row.epoch for row in new.select("epoch").distinct().collect()]  # at most 256
+    recovered, pending = (rows.filter(F.col("epoch").isin(epochs)) for rows in (recovered, pending))
     lineage = spark.createDataFrame([], state.RECOVERED_CHANGES).select(*_KEYS, "path", "chain")
     changes, waits, quarantine = [], [], []
     errors = 0
@@ -274,9 +325,9 @@ def process_batch(
         )
         both = new.unionByName(waiting)
 
-        # The rank limit of the sample is applied before its shuffle, so a class of any size sends a few rows per task.
-        shares = spread_join(both.select(*_CLASS, "msg_id", "x", "y"), eligible, _CLASS, heavy, "msg_id")
-        fresh = tag_keys(recover_keys(share_sample(shares)))
+        shares = spread_join(both.select(*_CLASS, "msg_id", "x", "y", "ct"), eligible, _CLASS, heavy, "msg_id")
+        highest = eligible.agg(F.max("threshold")).first()[0] or 0
+        fresh = tag_keys(tested_keys(share_sample(shares, salt, highest), f"{folder}/{where}/shares"))
         sizes = counts.groupBy(*_KEYS).agg(F.sum("n").alias("n"))
         keys = written(known.unionByName(fresh).join(sizes, _KEYS), f"{where}/keys")
         unopened = state.still_pending(without_heavy(new.select(*fields), keys, _KEYS, heavy), keys)

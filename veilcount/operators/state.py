@@ -8,6 +8,7 @@ row, written last; running an uncommitted batch again overwrites its folders.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -175,13 +176,78 @@ class StateTables:
         self.write(table, batch, self.spark.createDataFrame([], self.schemas[table]))
 
     def purge(self, epochs: list[int], batch: int | None = None) -> int:
-        """Hide all rows of the epochs in both tables; their files are no longer read."""
+        """Hide all rows of the epochs in both tables; their files are no longer read, and ``vacuum`` deletes them."""
         batch = self.progress().last + 1 if batch is None else batch
         for table in self.schemas:
             self.write_nothing(table, batch)
         self.commit(batch, purged=epochs)
         return batch
 
+    def stored(self, table: str) -> DataFrame:
+        """Every row of a table that any file below its folder still holds, visible or not."""
+        schema = f"{self.schemas[table]}, batch BIGINT"
+        try:
+            return self.spark.read.schema(schema).option("basePath", f"{self.folder}/{table}").parquet(f"{self.folder}/{table}/batch=*")
+        except AnalysisException as error:
+            if "PATH_NOT_FOUND" in str(error):
+                return self.spark.createDataFrame([], schema)
+            raise
+
+    def unneeded(self, grace_seconds: float = 0) -> list[str]:
+        """Folders that no reader of the committed state needs: batches before the last base batch, and the folders of
+        purged epochs in batches up to their purge.
+
+        A folder counts once the commit that made it unneeded is older than ``grace_seconds``, so that readers which started
+        before that commit can finish. Batches that are not committed are left to be run again. The folders are listed
+        from the file system; after a compaction there are as many as batches since the one before, times epochs.
+        """
+        progress = self.progress()
+        if not progress.batches:
+            return []
+        base, found = progress.batches[0], []
+        for table in self.schemas:
+            for number, path in self._numbered(f"{self.folder}/{table}", "batch"):
+                if number < base:
+                    if self._settled(base, grace_seconds):
+                        found.append(path)
+                    continue
+                for epoch, inner in self._numbered(path, "epoch"):
+                    purge = progress.purged_at.get(epoch, -1)
+                    if number <= purge and self._settled(purge, grace_seconds):
+                        found.append(inner)
+        return found
+
+    def vacuum(self, grace_seconds: float = 0) -> int:
+        """Delete the files of the unneeded folders, through the Hadoop file system of the state. Returns their number.
+
+        Nothing that is deleted is named by a commit row, so a vacuum that dies is simply run again. Messages that have been
+        opened go with the batches before a base batch, which holds what still waits.
+        """
+        folders = self.unneeded(grace_seconds)
+        for folder in folders:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+            self._file_system().delete(path, True)
+        return len(folders)
+
+    def _file_system(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _numbered(self, folder: str, name: str) -> list[tuple[int, str]]:
+        """Numbers and paths of the folders ``name=number`` in a folder."""
+        system, path = self._file_system(), self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if not system.exists(path):
+            return []
+        parts = ((status.getPath().getName().partition("="), status.getPath().toString()) for status in system.listStatus(path))
+        return sorted((int(number), found) for (key, _, number), found in parts if key == name and number.lstrip("-").isdigit())
+
+    def _settled(self, batch: int, grace_seconds: float) -> bool:
+        """Whether a batch was committed at least so many seconds ago."""
+        if grace_seconds <= 0:
+            return True
+        commit = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/commits/run={batch}")
+        return self._file_system().getFileStatus(commit).getModificationTime() / 1000 + grace_seconds <= time.time()
+
     def side_table(self, name: str) -> DataFrame | None:
         """Rows of ``quarantine`` or ``bad_records``, of all committed batches that wrote any; None if there are none."""
         try:

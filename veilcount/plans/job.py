@@ -39,6 +39,8 @@ class Settings:
     max_failed: int = state.MAX_FAILED
     max_failed_top: int = state.MAX_FAILED_TOP
     compact_every: int = state.COMPACT_EVERY
+    #: Seconds after which files that no commit needs are deleted; None keeps them for a ``vacuum`` of the caller's.
+    delete_after: float | None = 86_400
 
 
 @dataclass(frozen=True)
@@ -112,7 +114,7 @@ class Aggregation:
         limits = self.settings.max_failed, self.settings.max_failed_top
         if self.settings.sealed:
             recovered = state.current_recovered(known_changes, self.settings.fixed_children)
-            done = sealed.process_batch(messages, recovered, pending, work, count, *limits)
+            done = sealed.process_batch(messages, recovered, pending, work, count, *limits, salt=batch)
         else:
             tags = known_changes.select("epoch", "tag").distinct()
             done = incremental.process_batch(messages, tags, pending, work, count, *limits)
@@ -166,8 +168,11 @@ class Aggregation:
         return done
 
     def run_all(self, records: DataFrame | rec.Topic | rec.Landed) -> tuple[list[Outcome], list[int]]:
-        """A whole run: its batches, then the partial reports of the epochs that have expired."""
-        return self.run(records), self.expire()
+        """A whole run: its batches, then the partial reports of the epochs that have expired, then the deletion of files."""
+        done = self.run(records), self.expire()
+        if self.settings.delete_after is not None:
+            self.tables.vacuum(self.settings.delete_after)
+        return done
 
     def expire(self) -> list[int]:
         """Report what is left of expired epochs as partial measurements and purge them."""
