@@ -135,17 +135,23 @@ def _measure(words: int):
 def _merged(frame: DataFrame, column: str, merge) -> np.ndarray | None:
     """The packed arrays of a column, merged in a tree of tasks; one array of fixed size reaches the driver."""
 
+    def unpacked(packed: bytes) -> np.ndarray:
+        return np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint32).copy()
+
+    def packed(values: np.ndarray) -> bytes:
+        return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
     def one(rows):
         total = None
         for row in rows:
-            found = np.frombuffer(zstandard.ZstdDecompressor().decompress(row[0]), np.uint32)
-            total = found.copy() if total is None else merge(total, found)
-        return [] if total is None else [total]
+            total = unpacked(row[0]) if total is None else merge(total, unpacked(row[0]))
+        return [] if total is None else [packed(total)]
 
-    def two(left, right):
-        return right if left is None else left if right is None else merge(left, right)
+    def two(left, right):  # the driver receives several of these at once
+        return right if left is None else left if right is None else packed(merge(unpacked(left), unpacked(right)))
 
-    return frame.where(F.col(column).isNotNull()).select(column).rdd.mapPartitions(one).treeAggregate(None, two, two, depth=3)
+    found = frame.where(F.col(column).isNotNull()).select(column).rdd.mapPartitions(one).treeAggregate(None, two, two, depth=3)
+    return None if found is None else unpacked(found)
 
 
 # -- second pass: the rare-first prefixes --------------------------------------------------------------------------
