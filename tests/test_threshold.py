@@ -58,3 +58,14 @@ def test_class_must_be_new_to_be_recovered(spark):
     pending = spark.createDataFrame([(0, "a", 20, 15), (0, "b", 20, 40), (0, "d", 20, 30)], schema)
     got = {(r.tag, r.threshold) for r in th.eligible_classes(new, pending, ["epoch", "tag"]).collect()}
     assert got == {("a", 20), ("c", 20), ("c", 50)}
+
+
+def test_grouping_sets_count_the_same_classes(spark):
+    """Chains of one to four layers, empty ones, malformed layers, layers that repeat, and no messages at all."""
+    chains = [["a|1"], ["a|1", "b|2"], ["a|1", "b|2", "c|3", "d|4"], ["a|1", "a|1"], ["a|2", "bad", "c|3"], ["bad"], [], ["a|1", "b|"]]
+    frame = messages(spark, [(at % 3, layers, 2 + at % 2, 1 + at) for at in range(24) for layers in (chains[at % 8],)])
+    listed = lambda rows: sorted((r.epoch, tuple(r.prefix), r.threshold, r.n, r.goes_on) for r in rows.collect())
+    assert listed(th.class_counts_by_sets(frame)) == listed(th.class_counts(frame)) != []
+    by_sets = th.reveal(frame, th.class_counts_by_sets(frame, 4))
+    assert {(r.epoch, tuple(r.prefix)): (r.total, r.is_partial) for r in by_sets.collect()} == revealed(frame) != {}
+    assert th.class_counts_by_sets(frame.filter("false")).collect() == []

@@ -32,6 +32,13 @@ def k_threshold_orders(spark, sf):
     return _revealed(ds.order_messages(spark, sf))
 
 
+def k_threshold_sets(spark, sf):
+    """The threshold aggregation of events, with its classes counted by grouping sets."""
+    messages = ds.event_messages(spark, sf)
+    revealed = th.reveal(messages, th.class_counts_by_sets(messages))
+    return revealed.select("epoch", F.size("prefix").alias("depth"), _chain(), "total", "is_partial")
+
+
 def _revealed_sql(messages: str, source: str) -> str:
     return f"""WITH {messages},{sql.revealed(source)}
 SELECT epoch, CAST(len(prefix) AS INTEGER) AS depth, {sql.joined('prefix')} AS chain, total, is_partial FROM revealed"""
@@ -126,6 +133,7 @@ QUERIES = {
     "k_threshold": k_threshold,
     "k_threshold_events": k_threshold_events,
     "k_threshold_orders": k_threshold_orders,
+    "k_threshold_sets": k_threshold_sets,
     "group_counts": group_counts,
     "eligible_tags": eligible_tags,
     "prefix_explode": prefix_explode,
@@ -142,6 +150,7 @@ ORACLES = {
     "k_threshold": _revealed_sql(sql.LINEITEM_MSGS, "line_msgs"),
     "k_threshold_events": _revealed_sql(sql.EVENT_MSGS, "event_msgs"),
     "k_threshold_orders": _revealed_sql(sql.ORDER_MSGS, "order_msgs"),
+    "k_threshold_sets": _revealed_sql(sql.EVENT_MSGS, "event_msgs"),
     "group_counts": f"""WITH {sql.LINEITEM_MSGS}
 SELECT epoch, layers[1] AS chain, threshold, count(*) AS n FROM line_msgs GROUP BY ALL""",
     "eligible_tags": f"""WITH {sql.LINEITEM_MSGS},

@@ -61,6 +61,29 @@ def class_counts(messages: DataFrame) -> DataFrame:
     )
 
 
+def class_counts_by_sets(messages: DataFrame, deepest: int | None = None) -> DataFrame:
+    """As ``class_counts``, by grouping sets over one column per layer: a rollup whose every level keeps its own rows.
+
+    ``deepest`` is the number of layers of the longest message, looked up if it is not given. What lies below a malformed
+    layer, or below a message's last one, is no level of that message.
+    """
+    rows = collapse(messages).withColumn("good", well_formed(F.col("layers")))
+    if deepest is None:
+        deepest = rows.agg(F.max("good")).first()[0] or 0
+    names = [f"layer{at}" for at in range(max(1, deepest))]
+    cells = [F.when(F.col("good") > at, F.get("layers", F.lit(at))).alias(name) for at, name in enumerate(names)]
+    wide = rows.select("epoch", "threshold", "n", F.size("layers").alias("length"), *cells)
+    sets = [["epoch", "threshold", *names[: depth + 1]] for depth in range(len(names))]
+    depth = sum((1 - F.grouping(name) for name in names), F.lit(0)).cast("int")
+    found = wide.groupingSets(sets, "epoch", "threshold", *names).agg(
+        F.sum("n").alias("n"), F.max("length").alias("length"), depth.alias("depth")
+    )
+    present = F.filter(F.array(*names), lambda cell: cell.isNotNull())
+    return found.withColumn("prefix", present).filter(F.size("prefix") == F.col("depth")).select(
+        "epoch", "prefix", "threshold", "n", (F.col("length") > F.col("depth")).alias("goes_on")
+    )
+
+
 def prefix_nodes(classes: DataFrame) -> DataFrame:
     """One row per (epoch, prefix): all its messages, whether it is recovered, whether it has children."""
     return classes.groupBy("epoch", "prefix").agg(
@@ -94,14 +117,15 @@ def residuals(nodes: DataFrame) -> DataFrame:
     )
 
 
-def reveal(messages: DataFrame) -> DataFrame:
-    """What all messages reveal: (epoch, prefix, total, is_partial).
+def reveal(messages: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """What all messages reveal: (epoch, prefix, total, is_partial). ``classes`` replaces their ``class_counts``.
 
     A prefix without children is a full measurement. Messages stuck at a prefix with children are a partial one,
     to be reported when the epoch expires.
     """
+    nodes = prefix_nodes(class_counts(messages) if classes is None else classes).filter("recovered").drop("recovered")
     return (
-        residuals(recovered_nodes(messages))
+        residuals(nodes)
         .filter(F.col("total") > 0)
         .select("epoch", "prefix", "total", F.col("has_children").alias("is_partial"))
     )
