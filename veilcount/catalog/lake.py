@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 
 from veilcount.catalog import sql
 from veilcount.catalog.state import event_job
-from veilcount.operators import monitoring
+from veilcount.operators import monitoring, threshold as th
 from veilcount.plans import datasets as ds
 from veilcount.session import new_work_folder
 from veilcount.sinks import lake
+from veilcount.streaming.counts import landed_counts, start_counts
+from veilcount.streaming.flushing import start_flushing_sink
 from veilcount.streaming.lake_sink import start_lake_sink
 
 # The tables hold one record every few minutes, so the flush rules are scaled to that.
@@ -109,7 +111,63 @@ def stream_lake(spark, sf):
     )
 
 
+def topic_once(spark, sf):
+    """All measurements of a whole run as keyed records, landed twice as after a failed write, read once and summed."""
+    measurements = event_job(spark, ds.records(spark, sf)).measurements()
+    folder = new_work_folder(spark, "topic")
+    for _ in range(2):
+        lake.topic_records(measurements, "events").write.mode("append").parquet(folder)
+    schema = "type STRING, hour STRING, uid STRING, k STRING, wos STRING, total BIGINT"
+    rows = lake.kept_once(spark.read.parquet(folder)).select(F.from_json(F.col("value").cast("string"), schema).alias("m"))
+    return lake.rollup(rows.select("m.*"), ["type", "hour", "uid", "k", "wos"]).drop("reports").filter("total > 0")
+
+
+def _land_and_run(rows, folder, cuts, run):
+    """Land the rows in parts, one for each cut and the rest, with a run after each part."""
+    rest = F.lit(True)
+    for cut in cuts:
+        rows.filter(rest & cut).write.mode("append").parquet(folder)
+        rest = rest & ~cut
+        run()
+    rows.filter(rest).write.mode("append").parquet(folder)
+    run()
+
+
+def stream_flushes(spark, sf):
+    """Stored flushes of the events as a stream that arrives in three parts and is started anew for each."""
+    source, folder, progress, stored = (new_work_folder(spark, n) for n in ("source", "flushing", "progress", "stored"))
+    rows = ds.lake_records(spark, sf)
+
+    def run():
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        store = lambda closed, number: closed.write.mode("overwrite").parquet(f"{stored}/batch={number}")
+        start_flushing_sink(stream, folder, progress, store, IDLE, SIZE, available_now=True).awaitTermination()
+
+    _land_and_run(rows, source, [F.col("ts") < F.lit(day).cast("timestamp") for day in ("2024-01-09", "2024-01-21")], run)
+    found = spark.read.schema("channel STRING, record_id BIGINT, session BIGINT, flush BIGINT").parquet(stored)
+    return found.select("channel", "record_id", "session", F.col("flush").alias("batch"))
+
+
+def stream_threshold(spark, sf):
+    """The threshold aggregation of the events as a stateful stream, which arrives in three parts by number."""
+    source, folder, progress = (new_work_folder(spark, n) for n in ("source", "classes", "progress"))
+    rows = ds.event_messages(spark, sf).withColumn(
+        "epoch_end", F.lit(str(ds.EVENT_ORIGIN)).cast("timestamp") + F.make_dt_interval((F.col("epoch") + 1) * 7)
+    )
+
+    def run():
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        start_counts(stream, folder, progress, "365 days", available_now=True).awaitTermination()
+
+    _land_and_run(rows, source, [F.col("event_id") % 3 == 0, F.col("event_id") % 3 == 1], run)
+    revealed = th.reveal(None, landed_counts(spark, folder))
+    return revealed.select("epoch", F.size("prefix").alias("depth"), F.array_join("prefix", ",").alias("chain"), "total", "is_partial")
+
+
 QUERIES = {
+    "topic_once": topic_once,
+    "stream_flushes": stream_flushes,
+    "stream_threshold": stream_threshold,
     "lake_jsonl": lake_jsonl,
     "lake_rollup": lake_rollup,
     "lake_ymd": lake_ymd,
@@ -127,6 +185,17 @@ g AS (SELECT event_type AS channel, event_id AS record_id, ts,
 s AS (SELECT *, CAST(sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY channel ORDER BY ts, record_id) AS BIGINT) AS session FROM g),
 b AS (SELECT *, (row_number() OVER (PARTITION BY channel, session ORDER BY ts, record_id) - 1) // {SIZE} AS batch FROM s)"""
 
+_REPORTED_ROWS = f"""WITH {sql.EVENT_MSGS},
+typed AS (
+  SELECT epoch, layers, CASE event_id % 13 WHEN 0 THEN 50 WHEN 1 THEN 0 WHEN 2 THEN 50 WHEN 3 THEN 50 WHEN 4 THEN 306 ELSE 20 END AS threshold
+  FROM event_msgs),{sql.revealed('typed')}"""
+_REPORTED = """split_part(prefix[1], '|', 2) AS type,
+       CASE WHEN len(prefix) > 1 THEN split_part(prefix[2], '|', 2) END AS hour,
+       CASE WHEN len(prefix) > 2 THEN split_part(prefix[3], '|', 2) END AS uid,
+       CASE WHEN len(prefix) > 3 THEN split_part(prefix[4], '|', 2) END AS k,
+       strftime(DATE '2024-01-01' + CAST(epoch AS INTEGER) * 7, '%Y-%m-%d') AS wos, total
+FROM revealed WHERE NOT is_partial OR 4 - epoch >= 3"""
+
 ORACLES = {
     "lake_jsonl": f"""WITH {sql.LINEITEM_MSGS}
 SELECT '{DATE}' AS date, 'epoch' || CAST(epoch AS VARCHAR) AS channel, {_CELLS}, count(*) AS total FROM line_msgs GROUP BY ALL""",
@@ -148,16 +217,16 @@ q AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY session DESC, b
              AND NOT (TIMESTAMP '2024-01-30 23:59:00' - last > INTERVAL {IDLE} SECOND) AS is_open FROM z)
 SELECT channel, CAST(sum(CASE WHEN is_open THEN 0 ELSE n END) AS BIGINT) AS saved,
        CAST(sum(CASE WHEN is_open THEN n ELSE 0 END) AS BIGINT) AS waiting FROM q GROUP BY channel""",
-    "records_to_lake": f"""WITH {sql.EVENT_MSGS},
-typed AS (
-  SELECT epoch, layers, CASE event_id % 13 WHEN 0 THEN 50 WHEN 1 THEN 0 WHEN 2 THEN 50 WHEN 3 THEN 50 WHEN 4 THEN 306 ELSE 20 END AS threshold
-  FROM event_msgs),{sql.revealed('typed')}
-SELECT '{DATE}' AS date, 'events' AS channel, split_part(prefix[1], '|', 2) AS type,
-       CASE WHEN len(prefix) > 1 THEN split_part(prefix[2], '|', 2) END AS hour,
-       CASE WHEN len(prefix) > 2 THEN split_part(prefix[3], '|', 2) END AS uid,
-       CASE WHEN len(prefix) > 3 THEN split_part(prefix[4], '|', 2) END AS k,
-       strftime(DATE '2024-01-01' + CAST(epoch AS INTEGER) * 7, '%Y-%m-%d') AS wos, total
-FROM revealed WHERE NOT is_partial OR 4 - epoch >= 3""",
+    "records_to_lake": f"""{_REPORTED_ROWS}
+SELECT '{DATE}' AS date, 'events' AS channel, {_REPORTED}""",
+    "topic_once": f"{_REPORTED_ROWS} SELECT {_REPORTED}",
+    "stream_flushes": f"""WITH {_BATCHES},
+z AS (SELECT channel, session, batch, count(*) AS n, max(ts) AS last FROM b GROUP BY ALL),
+q AS (SELECT *, row_number() OVER (PARTITION BY channel ORDER BY session DESC, batch DESC) = 1 AND n < {SIZE}
+             AND NOT ((SELECT max(ts) FROM events) - last > INTERVAL {IDLE} SECOND) AS is_open FROM z)
+SELECT channel, record_id, session, batch FROM b WHERE (channel, session, batch) NOT IN (SELECT (channel, session, batch) FROM q WHERE is_open)""",
+    "stream_threshold": f"""WITH {sql.EVENT_MSGS},{sql.revealed('event_msgs')}
+SELECT epoch, CAST(len(prefix) AS INTEGER) AS depth, {sql.joined('prefix')} AS chain, total, is_partial FROM revealed""",
     "stream_lake": f"""SELECT '{DATE}' AS date, event_type AS channel, event_id, user_id,
        CASE WHEN {_DATED} THEN '{DATE}' END AS ymd FROM events""",
 }

@@ -70,6 +70,18 @@ def metric_chain(spark, sf):
     )
 
 
+def chain_pointers(spark, sf):
+    """The chains of ``metric_chain`` from tags and parents alone."""
+    rows = stored_rows(spark, ds.event_messages(spark, sf)).select("epoch", "tag", "parent_tag", "name", "value")
+    chains = report.chains_from_parents(rows, new_work_folder(spark, "chains"))
+    return chains.select(
+        "epoch",
+        F.hex("tag").alias("tag"),
+        F.array_join("chain.name", ">").alias("names"),
+        F.array_join("chain.value", ">").alias("values"),
+    )
+
+
 def measurement_json(spark, sf):
     """Chains in which a name comes twice and two names clash with the reserved ones."""
     pair = lambda name, value: F.struct(F.lit(name).alias("name"), value.cast("string").alias("value"))
@@ -108,6 +120,7 @@ QUERIES = {
     "residual_counts": residual_counts,
     "nonzero": nonzero,
     "metric_chain": metric_chain,
+    "chain_pointers": chain_pointers,
     "measurement_json": measurement_json,
     "expire_epochs": expire_epochs,
 }
@@ -142,3 +155,4 @@ SELECT epoch, split_part(prefix[1], '|', 2) AS type, CASE WHEN len(prefix) > 1 T
        strftime(DATE '2024-01-01' + CAST(epoch AS INTEGER) * 7, '%Y-%m-%d') AS wos, total
 FROM revealed WHERE 4 - epoch >= 3""",
 }
+ORACLES["chain_pointers"] = ORACLES["metric_chain"]

@@ -221,6 +221,16 @@ def measurement_sink(spark, sf):
     return _totals(job.measurements(), _EVENT_NAMES).drop("is_partial")
 
 
+def job_totals(spark, sf):
+    """What a whole run reported, from the sums that its writes observed and its commit rows hold."""
+    commits = event_job(spark, ds.records(spark, sf)).tables.commits()
+    of_expiry = F.size("purged") > 0
+    return commits.agg(
+        F.sum(F.when(~of_expiry, F.col("reported")).otherwise(0)).alias("full_total"),
+        F.sum(F.when(of_expiry, F.col("reported")).otherwise(0)).alias("partial_total"),
+    )
+
+
 def malformed_layers(spark, sf):
     """Records with defective layers through a whole run: what is revealed by epoch and chain, what is lost by epoch."""
     records = ds.with_defects(ds.records(spark, sf))
@@ -272,6 +282,7 @@ QUERIES = {
     "replay_idempotent": replay_idempotent,
     "incremental_equals_batch": incremental_equals_batch,
     "measurement_sink": measurement_sink,
+    "job_totals": job_totals,
     "malformed_layers": malformed_layers,
     "malformed_at_once": malformed_at_once,
     "mixed_classes": mixed_classes,
@@ -338,6 +349,12 @@ typed AS (
   SELECT epoch, layers, CASE event_id % 13 WHEN 0 THEN 50 WHEN 1 THEN 0 WHEN 2 THEN 50 WHEN 3 THEN 50 WHEN 4 THEN 306 ELSE 20 END AS threshold
   FROM event_msgs),{sql.revealed('typed')}
 SELECT epoch, {sql.joined('prefix')} AS chain, total FROM revealed WHERE NOT is_partial OR 4 - epoch >= 3""",
+    "job_totals": f"""WITH {sql.EVENT_MSGS},
+typed AS (
+  SELECT epoch, layers, CASE event_id % 13 WHEN 0 THEN 50 WHEN 1 THEN 0 WHEN 2 THEN 50 WHEN 3 THEN 50 WHEN 4 THEN 306 ELSE 20 END AS threshold
+  FROM event_msgs),{sql.revealed('typed')}
+SELECT CAST(coalesce(sum(total) FILTER (NOT is_partial), 0) AS BIGINT) AS full_total,
+       CAST(coalesce(sum(total) FILTER (is_partial AND 4 - epoch >= 3), 0) AS BIGINT) AS partial_total FROM revealed""",
     "many_batches": f"""WITH {sql.EVENT_MSGS},{sql.revealed('event_msgs')}
 SELECT epoch, {sql.joined('prefix')} AS chain, total FROM revealed WHERE NOT is_partial OR 4 - epoch >= 3""",
     "mixed_classes": f"""WITH {sql.EVENT_MSGS},

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from veilcount.functions.epochs import EpochClock, is_expired, rolled_clock, survey_date
 from veilcount.functions.measurements import measurement_json
 
+#: Layers of the longest chain that is followed by parent pointers.
+DEEPEST = 1_024
+
 
 def nonzero(recovered: DataFrame, epochs: list[int] | None = None) -> DataFrame:
     """Rows with messages left, for the given epochs."""
@@ -67,6 +70,39 @@ def reported_changes(emitted: DataFrame) -> DataFrame:
     )
 
 
+def chains_from_parents(recovered: DataFrame, folder: str, deepest: int = DEEPEST) -> DataFrame:
+    """(epoch, tag, chain) of rows that store no path: epoch, tag, parent_tag, name and value, one row per epoch and tag.
+
+    Pointers are doubled: in each round a row's chain takes in the chain of the row above it and points to that row's own
+    parent, so a chain of d layers takes about log2(d) joins. Rows whose chain does not reach a root are left out, as a
+    walk from the root never meets them. A cycle, or a chain of more than ``deepest`` layers, raises ValueError.
+    ``folder`` is a shared work folder; each round is a written table there.
+    """
+    spark = recovered.sparkSession
+    cell = F.array(F.struct("name", "value"))
+    rows = recovered.select("epoch", "tag", F.col("parent_tag").alias("up"), cell.alias("chain"))
+    layers = 1  # of every row that has not reached a root
+    while True:
+        rows.write.mode("overwrite").parquet(f"{folder}/chains-{layers}")
+        rows = spark.read.schema(rows.schema).parquet(f"{folder}/chains-{layers}")
+        rooted, climbing = rows.filter(F.col("up").isNull()), rows.filter(F.col("up").isNotNull())
+        if climbing.isEmpty():
+            return _within(rows, deepest).select("epoch", "tag", "chain")
+        if layers >= deepest:
+            raise ValueError(f"a cycle, or a chain of more than {deepest} layers")
+        above = rows.select("epoch", F.col("tag").alias("up"), F.col("up").alias("next"), F.col("chain").alias("before"))
+        climbed = climbing.join(above, ["epoch", "up"]).select(
+            "epoch", "tag", F.col("next").alias("up"), F.concat("before", "chain").alias("chain")
+        )
+        rows = rooted.unionByName(climbed)
+        layers *= 2
+
+
+def _within(rows: DataFrame, deepest: int) -> DataFrame:
+    problem = F.lit(f"a chain of more than {deepest} layers")
+    return rows.withColumn("chain", F.when(F.size("chain") > deepest, F.raise_error(problem)).otherwise(F.col("chain")))
+
+
 def residual_counts(recovered: DataFrame, emitted: DataFrame) -> DataFrame:
     """Counts that are left after a report."""
     return recovered.join(reported_changes(emitted), ["epoch", "tag"], "left").select(

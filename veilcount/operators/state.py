@@ -175,14 +175,18 @@ class StateTables:
     def write_nothing(self, table: str, batch: int) -> None:
         self.write(table, batch, self.spark.createDataFrame([], self.schemas[table]))
 
-    def purge(self, epochs: list[int], batch: int | None = None) -> int:
+    def purge(self, epochs: list[int], batch: int | None = None, reported: int = 0) -> int:
         """Hide all rows of the epochs in both tables; their files are no longer read, and ``vacuum`` deletes them."""
         batch = self.progress().last + 1 if batch is None else batch
         for table in self.schemas:
             self.write_nothing(table, batch)
-        self.commit(batch, purged=epochs)
+        self.commit(batch, purged=epochs, reported=reported)
         return batch
 
+    def commits(self) -> DataFrame:
+        """The commit rows of all batches, with what each reported and lost."""
+        return self.spark.read.schema(COMMITS).parquet(f"{self.folder}/commits")
+
     def stored(self, table: str) -> DataFrame:
         """Every row of a table that any file below its folder still holds, visible or not."""
         schema = f"{self.schemas[table]}, batch BIGINT"

@@ -9,7 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from veilcount.functions.epochs import EpochClock
@@ -148,8 +148,9 @@ class Aggregation:
     def write_measurements(self, batch: int, emitted: DataFrame, partial: bool) -> int:
         """Write the report of a batch; its readers see it once the batch is committed. Returns the sum of totals."""
         rows = report.measurements(emitted, self.settings.clock, self.now).withColumn("is_partial", F.lit(partial))
-        rows.write.mode("overwrite").parquet(f"{self.output}/batch={batch}")
-        return emitted.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
+        seen = Observation()
+        rows.observe(seen, F.sum("total").alias("total")).write.mode("overwrite").parquet(f"{self.output}/batch={batch}")
+        return seen.get.get("total") or 0  # summed while the rows are written
 
     # -- whole run -----------------------------------------------------------------------------------------------------
 
@@ -189,8 +190,8 @@ class Aggregation:
         work = new_work_folder(self.spark, f"batch-{batch}")
         left = self._written(report.nonzero(recovered, expired), f"{work}/left")
         emitted = self._written(report.partial_report(left), f"{work}/emitted")
-        self.write_measurements(batch, emitted, partial=True)
-        self.tables.purge(expired, batch)
+        reported = self.write_measurements(batch, emitted, partial=True)
+        self.tables.purge(expired, batch, reported)
         return sorted(expired)
 
     def measurements(self) -> DataFrame:

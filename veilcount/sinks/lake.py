@@ -43,9 +43,28 @@ def topic_writer_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic}
 
 
-def write_topic(measurements: DataFrame, servers: str, topic: str) -> None:
-    """Measurements as records of a topic, one JSON text each. Delivery is at least once, as Spark's writer has it."""
-    rows = measurements.select(F.col("json").cast("binary").alias("value"))
+def topic_records(measurements: DataFrame, run: str) -> DataFrame:
+    """(key, value) of measurements as records of a topic, one JSON text each.
+
+    A key names the run, the batch, the text and the place among equal rows of the batch. A batch that is written again
+    has the same keys, in whatever order its rows come, so readers can tell repeats from equal measurements.
+    """
+    same = ["batch", "epoch", "is_partial", "json"]
+    rows = measurements.groupBy(*same).agg(F.count(F.lit(1)).alias("n"))
+    placed = rows.withColumn("place", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")))
+    named = [F.lit(run), "batch", "epoch", "is_partial", F.sha2(F.col("json"), 256), "place"]
+    key = F.concat_ws("/", *[(F.col(c) if isinstance(c, str) else c).cast("string") for c in named])
+    return placed.select(key.cast("binary").alias("key"), F.col("json").cast("binary").alias("value"))
+
+
+def kept_once(records: DataFrame) -> DataFrame:
+    """One record of each key; records without a key all stay."""
+    return records.filter(F.col("key").isNotNull()).dropDuplicates(["key"]).unionByName(records.filter(F.col("key").isNull()))
+
+
+def write_topic(measurements: DataFrame, servers: str, topic: str, run: str) -> None:
+    """Measurements to a topic. Delivery is at least once, as Spark's writer has it; ``kept_once`` drops the repeats."""
+    rows = topic_records(measurements, run)
     rows.write.format("kafka").options(**topic_writer_options(servers, topic)).save()
 
 
