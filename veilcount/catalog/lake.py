@@ -13,6 +13,7 @@ from veilcount.sinks import lake
 from veilcount.streaming.counts import landed_counts, start_counts
 from veilcount.streaming.flushing import start_flushing_sink
 from veilcount.streaming.lake_sink import start_lake_sink
+from veilcount.streaming.progress import ProgressLog
 
 # The tables hold one record every few minutes, so the flush rules are scaled to that.
 IDLE, SIZE = 300, 20
@@ -148,6 +149,28 @@ def stream_flushes(spark, sf):
     return found.select("channel", "record_id", "session", F.col("flush").alias("batch"))
 
 
+def stream_progress(spark, sf):
+    """Records that a run of the flush rule has received, stored and still holds, from the progress that it landed."""
+    folder, checkpoint, stored = (new_work_folder(spark, n) for n in ("flushing", "progress", "stored"))
+    log = ProgressLog(spark, new_work_folder(spark, "listened"))
+    rows, source = ds.lake_records(spark, sf), new_work_folder(spark, "source")
+    spark.streams.addListener(log)
+    try:
+        def run():
+            stream = spark.readStream.schema(rows.schema).parquet(source)
+            store = lambda closed, number: closed.write.mode("overwrite").parquet(f"{stored}/batch={number}")
+            query = start_flushing_sink(stream, folder, checkpoint, store, IDLE, SIZE, available_now=True)
+            query.awaitTermination()
+            log.wait(query)
+
+        _land_and_run(rows, source, [F.col("ts") < F.lit("2024-01-15").cast("timestamp")], run)
+    finally:
+        spark.streams.removeListener(log)
+    kept = spark.read.schema("channel STRING, record_id BIGINT").parquet(stored)
+    saved = kept.agg(F.count(F.lit(1)).alias("saved")).withColumn("name", F.lit("flushing"))
+    return monitoring.stream_progress(log.rows().withColumn("name", F.lit("flushing")), saved).drop("name")
+
+
 def stream_threshold(spark, sf):
     """The threshold aggregation of the events as a stateful stream, which arrives in three parts by number."""
     source, folder, progress = (new_work_folder(spark, n) for n in ("source", "classes", "progress"))
@@ -167,6 +190,7 @@ def stream_threshold(spark, sf):
 QUERIES = {
     "topic_once": topic_once,
     "stream_flushes": stream_flushes,
+    "stream_progress": stream_progress,
     "stream_threshold": stream_threshold,
     "lake_jsonl": lake_jsonl,
     "lake_rollup": lake_rollup,
@@ -230,3 +254,5 @@ SELECT epoch, CAST(len(prefix) AS INTEGER) AS depth, {sql.joined('prefix')} AS c
     "stream_lake": f"""SELECT '{DATE}' AS date, event_type AS channel, event_id, user_id,
        CASE WHEN {_DATED} THEN '{DATE}' END AS ymd FROM events""",
 }
+ORACLES["stream_progress"] = f"""SELECT (SELECT count(*) FROM events) AS received, count(*) AS saved,
+       (SELECT count(*) FROM events) - count(*) AS waiting FROM ({ORACLES['stream_flushes']}) f"""

@@ -14,6 +14,7 @@ from veilcount.operators import incremental, skew, state, threshold as th
 from veilcount.plans import datasets as ds
 from veilcount.plans.job import Aggregation, Settings
 from veilcount.session import new_work_folder
+from veilcount.streaming.batches import start_run
 
 # A clock that lies after all lineitem epochs, so that each of them is expired.
 LATER = EpochClock(200, datetime(2020, 1, 1), ds.LINEITEM_EPOCH, 3)
@@ -49,6 +50,32 @@ def lookup_recovered(spark, sf):
     return found.select("epoch", chain_text(), "count")
 
 
+def lookup_by_ranges(spark, sf):
+    """The same look-up in written state, of whose files only the pages around the asked tags are read."""
+    tables = state.StateTables(spark, new_work_folder(spark, "state"), incremental.PENDING)
+    nodes = th.prefix_nodes(th.class_counts(_batch(ds.lineitem_messages(spark, sf), 0, 1)))
+    tables.write("recovered", 0, incremental.as_changes(nodes))
+    tables.write_nothing("pending", 0)
+    tables.commit(0)
+    tags = _tagged(_collapsed(spark, sf).filter("batch = 2"), 2)
+    near = tables.read("recovered").filter(state.in_ranges(state.tag_ranges(tags)))
+    return state.current_recovered(state.lookup_recovered(tags, near)).select("epoch", chain_text(), "count")
+
+
+def stream_batches(spark, sf):
+    """A whole run of the records as a stream that arrives in three parts and is started anew for each."""
+    rows, source, checkpoint = ds.records(spark, sf), new_work_folder(spark, "topic"), new_work_folder(spark, "progress")
+    clock, now = _EVENT_CLOCK
+    job = _aggregation(spark, clock, now)
+    third = -(-rows.count() // 12)  # a third of the offsets of each of the four partitions
+    for number in range(3):
+        part = rows.filter(F.least(F.floor(F.col("offset") / third), F.lit(2)) == number)
+        part.write.mode("append").parquet(source)
+        start_run(job, spark.readStream.schema(rows.schema).parquet(source), checkpoint).awaitTermination()
+    job.expire()
+    return _totals(job.measurements(), _EVENT_NAMES).drop("is_partial")
+
+
 def lookup_pending(spark, sf):
     """Pending messages of batches 0 and 1 for those tags of batch 2 that are not recovered."""
     messages = _tagged(_collapsed(spark, sf))
@@ -271,6 +298,8 @@ def many_batches(spark, sf):
 
 QUERIES = {
     "lookup_recovered": lookup_recovered,
+    "lookup_by_ranges": lookup_by_ranges,
+    "stream_batches": stream_batches,
     "lookup_pending": lookup_pending,
     "join_keys": join_keys,
     "children": children,
@@ -376,3 +405,6 @@ SELECT epoch, '', CAST(sum(n) AS BIGINT), TRUE FROM (
   SELECT epoch, sum(n) AS n FROM (SELECT epoch, layers[1:bad] AS p, threshold, count(*) AS n FROM marked WHERE bad > 0 GROUP BY ALL)
   GROUP BY epoch, p HAVING bool_or(n >= threshold AND threshold >= 2)) GROUP BY epoch""",
 }
+
+ORACLES["lookup_by_ranges"] = ORACLES["lookup_recovered"]
+ORACLES["stream_batches"] = ORACLES["measurement_sink"]

@@ -104,9 +104,12 @@ def process_batch(
     # The input is read and parsed once. Its few epochs keep the look-ups to their folders of the state.
     new = written(collapse(messages).withColumn("depth", F.lit(1)).withColumn("is_new", F.lit(True)), "new")
     epochs = sorted(row.epoch for row in new.select("epoch").distinct().collect())
-    recovered, pending = (frame.filter(F.col("epoch").isin(epochs)) for frame in (recovered, pending))
+    # Nothing below a tag that is not recovered is, so the tags of the new rows are all that can be found in the state.
+    touched = written(_touched(new).distinct(), "touched")
+    near = F.col("epoch").isin(epochs) & state.in_ranges(state.tag_ranges(touched))
+    recovered, pending = (frame.filter(near) for frame in (recovered, pending))
     # Equal messages that began to wait in different batches go on as one row.
-    waiting = state.lookup_pending(_touched(new), recovered, pending).groupBy("epoch", "layers", "threshold", "depth").agg(
+    waiting = state.lookup_pending(touched, recovered, pending).groupBy("epoch", "layers", "threshold", "depth").agg(
         F.sum("n").alias("n"), F.lit(False).alias("is_new")
     )
     live = new.unionByName(waiting)

@@ -93,6 +93,28 @@ def consumer_lag(offsets: DataFrame) -> DataFrame:
     return offsets.groupBy("channel").agg(F.sum(lag).alias("lag"))
 
 
+def stream_progress(progress: DataFrame, stored: DataFrame) -> DataFrame:
+    """Records received by each stream from its landed progress, those it has stored (name, saved), and those that wait."""
+    received = progress.groupBy("name").agg(F.sum("records").alias("received"))
+    saved = F.coalesce("saved", F.lit(0).cast("bigint"))
+    return received.join(stored, "name", "left").select("name", "received", saved.alias("saved"), (F.col("received") - saved).alias("waiting"))
+
+
+def stream_lag(progress: DataFrame) -> DataFrame:
+    """Records at the source that the last micro-batch of each stream had not reached, per name and topic.
+
+    Offsets are the JSON texts of a topic source; partitions that the stream has not begun count from offset 0.
+    """
+    newest = progress.groupBy("name", "source").agg(F.max_by(F.struct("end_offset", "latest_offset"), "batch").alias("p"))
+    parts = "map<string,map<string,bigint>>"
+    read = newest.select(
+        "name", F.from_json("p.end_offset", parts).alias("ends"), F.explode(F.from_json("p.latest_offset", parts)).alias("topic", "latest")
+    )
+    rows = read.select("name", "topic", F.explode("latest").alias("partition", "high"), F.try_element_at("ends", "topic").alias("ends"))
+    behind = F.col("high") - F.coalesce(F.try_element_at("ends", "partition"), F.lit(0))
+    return rows.groupBy("name", "topic").agg(F.sum(F.greatest(behind, F.lit(0))).alias("lag"))
+
+
 def channels_due(lag: DataFrame, channels: DataFrame, now: Column) -> DataFrame:
     """Channels with enough lag whose lock-out after the last success, if any, is over.
 

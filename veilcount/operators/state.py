@@ -12,15 +12,19 @@ import time
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilcount.functions.conditions import any_of
+
 # What a row of the state may hold.
 MAX_NAME, MAX_VALUE, MAX_THRESHOLD = 64, 128, 32_767
 # How many messages of one class may fail to open as a whole before the run stops.
 MAX_FAILED, MAX_FAILED_TOP = 75, 500
 # Committed batches between two base batches.
 COMPACT_EVERY = 32
+# Rows of a page of the state's files, of which a look-up reads whole ones.
+PAGE_ROWS = 1_000
 
 RECOVERED_CHANGES = (
     "epoch SMALLINT, tag BINARY, parent_tag BINARY, name STRING, value STRING, path ARRAY<BINARY>, "
@@ -55,6 +59,28 @@ def lookup_recovered(tags: DataFrame, recovered: DataFrame) -> DataFrame:
     return recovered.join(tags.select("epoch", "tag").distinct(), ["epoch", "tag"], "left_semi")
 
 
+def tag_ranges(tags: DataFrame) -> list[tuple[bytes, bytes | None]]:
+    """For each first byte the range from the smallest to the largest of the given tags, at most 256 ranges.
+
+    Bounds are the first seven bytes; the upper one is exclusive, None is no bound. Few tags make ranges that hold little
+    besides them, many tags make ranges that hold everything.
+    """
+    head = F.conv(F.hex(F.rpad(F.substring("tag", 1, 7), 7, b"\0")), 16, 10).cast("bigint")
+    heads = tags.select(head.alias("head")).groupBy(F.shiftright("head", 48).alias("first"))
+    found = heads.agg(F.min("head").alias("low"), F.max("head").alias("high")).orderBy("first").collect()
+
+    def bound(number: int) -> bytes:
+        return number.to_bytes(7, "big").rstrip(b"\0")
+
+    return [(bound(row.low), bound(row.high + 1) if row.high + 1 < 1 << 56 else None) for row in found if row.low is not None]
+
+
+def in_ranges(ranges: list[tuple[bytes, bytes | None]]) -> Column:
+    """Whether a tag lies in one of the ranges, as plain comparisons that reach the scan."""
+    tag = F.col("tag")
+    return any_of([(tag >= F.lit(low)) if high is None else (tag >= F.lit(low)) & (tag < F.lit(high)) for low, high in ranges])
+
+
 def live_pending(pending: DataFrame, recovered: DataFrame) -> DataFrame:
     """Pending messages whose tag has not been recovered since."""
     return pending.join(recovered.select("epoch", "tag"), ["epoch", "tag"], "left_anti")
@@ -139,8 +165,10 @@ class StateTables:
 
     def write(self, table: str, batch: int, rows: DataFrame) -> None:
         # Rebalancing by epoch gives few files per epoch, and splits an epoch that holds most rows.
-        sized = rows.hint("rebalance", "epoch")
-        sized.write.mode("overwrite").partitionBy("epoch").parquet(f"{self.folder}/{table}/batch={batch}")
+        # Sorted by tag, the statistics of its pages let a look-up by ranges of tags skip the others.
+        sized = rows.hint("rebalance", "epoch").sortWithinPartitions("epoch", "tag")
+        written = sized.write.mode("overwrite").partitionBy("epoch").option("parquet.page.row.count.limit", PAGE_ROWS)
+        written.parquet(f"{self.folder}/{table}/batch={batch}")
 
     def read(self, table: str, progress: Progress | None = None) -> DataFrame:
         """Rows of all committed batches, without the epochs that were purged after they were written."""

@@ -124,7 +124,7 @@ class Aggregation:
         changes = self._written(state.checked_changes(done.changes), f"{work}/changes")
 
         touched = changes.select("epoch", "tag")
-        before = known_changes.join(touched.distinct(), ["epoch", "tag"], "left_semi")
+        before = known_changes.filter(state.in_ranges(state.tag_ranges(touched))).join(touched.distinct(), ["epoch", "tag"], "left_semi")
         now_recovered = state.current_recovered(
             before.unionByName(changes.withColumn("batch", F.lit(batch).cast("bigint"))), self.settings.fixed_children
         )
@@ -163,11 +163,14 @@ class Aggregation:
             if part.waiting == 0 or part.waiting < self.settings.min_messages:
                 break
             # A gap can leave a batch smaller than its range; what is counted is what is read.
-            count = part.records.count()
-            bad = self.keep_bad_records(part.records) if self.settings.on_bad_record == "quarantine" else 0
-            done.append(self.run_batch(self.messages_of(part.records), count - bad, part.next_offsets))
+            done.append(self.run_records(part.records, part.records.count(), part.next_offsets))
         return done
 
+    def run_records(self, records: DataFrame, count: int, next_offsets: dict[int, int]) -> Outcome:
+        """Process a batch of so many records and commit it."""
+        bad = self.keep_bad_records(records) if self.settings.on_bad_record == "quarantine" else 0
+        return self.run_batch(self.messages_of(records), count - bad, next_offsets)
+
     def run_all(self, records: DataFrame | rec.Topic | rec.Landed) -> tuple[list[Outcome], list[int]]:
         """A whole run: its batches, then the partial reports of the epochs that have expired, then the deletion of files."""
         done = self.run(records), self.expire()

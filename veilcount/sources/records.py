@@ -12,8 +12,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from veilcount.functions.conditions import any_of
 from veilcount.functions.once import once
 from veilcount.functions.text import headers_named, little_endian_u32
+from veilcount.session import new_work_folder
 from veilcount.sources.intake import CLEAR_ENVELOPE, parse_envelope
 
 # The defaults of an aggregation run.
@@ -25,7 +27,6 @@ FRAME_SECONDS = 5
 MIN_RATE = 100
 
 
-
 def topic_options(servers: str, topic: str, starts: dict[int, int] | None, ends: dict[int, int] | None) -> dict[str, str]:
     """Options of Spark's Kafka reader for a range of offsets; None reads from the earliest or to the latest record.
 
@@ -47,6 +48,48 @@ def topic_options(servers: str, topic: str, starts: dict[int, int] | None, ends:
     }
 
 
+def stream_options(servers: str, topic: str, limit: int | None = MAX_MESSAGES) -> dict[str, str]:
+    """Options of Spark's Kafka stream, which reads on from its checkpoint, or from the earliest record without one.
+
+    The source deals the limit to the partitions by what waits in each, and fixes the end of a batch from metadata.
+    """
+    options = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic,
+        "startingOffsets": "earliest",
+        "kafka.isolation.level": "read_committed",
+        "includeHeaders": "true",
+    }
+    return options if limit is None else {**options, "maxOffsetsPerTrigger": str(limit)}
+
+
+def end_offset(stream: DataFrame) -> str | None:
+    """Where the source of a stream ends now, as its own JSON text; None if it holds nothing.
+
+    An available-now query asks the source for its end, and takes nothing from the batch, so no record is read.
+    """
+    checkpoint = new_work_folder(stream.sparkSession, "end")
+    query = stream.writeStream.foreachBatch(lambda rows, number: None).option("checkpointLocation", checkpoint)
+    asked = query.trigger(availableNow=True).start()
+    asked.awaitTermination()
+    found = asked.lastProgress
+    return found["sources"][0]["endOffset"] if found else None
+
+
+def topic_ends(offset: str | dict | None, topic: str) -> dict[int, int]:
+    """End offsets by partition from a topic's offset JSON."""
+    ends = json.loads(offset) if isinstance(offset, str) else offset or {}
+    return {int(partition): end for partition, end in (ends.get(topic) or {}).items()}
+
+
+def waiting_known(ends: dict[int, int], committed: dict[int, int]) -> list[tuple[int, int, int, int]]:
+    """Rows of ``extent`` for the partitions with a committed offset, from offsets alone.
+
+    A compacted or transactional topic has gaps, so the number of messages is an upper bound.
+    """
+    return [(p, end - committed[p], committed[p], end) for p, end in sorted(ends.items()) if end > committed.get(p, end)]
+
+
 @dataclass(frozen=True)
 class Topic:
     """A topic as the source of a run; progress is kept by the job, not by a consumer group."""
@@ -60,10 +103,21 @@ class Topic:
         return self.spark.read.format("kafka").options(**options).load()
 
     def waiting(self, committed: dict[int, int]) -> DataFrame:
-        """Extent of what is not read yet. The reader wants all partitions named, so new ones are found first."""
-        named = {row.partition for row in self._read(None, None).select("partition").distinct().collect()}
-        starts = {partition: committed.get(partition, EARLIEST) for partition in named | set(committed)}
-        return extent(after(self._read(starts or None, None), committed))
+        """Extent of what is not read yet. Ends come from the broker's metadata, new partitions included.
+
+        Only partitions without a committed offset are read, to find their first record; the range of the others is empty.
+        """
+        ends = topic_ends(end_offset(self.stream(None)), self.name)
+        known = self.spark.createDataFrame(waiting_known(ends, committed), EXTENT)
+        if ends.keys() <= committed.keys():
+            return known
+        starts = {partition: end if partition in committed else EARLIEST for partition, end in ends.items()}
+        return known.unionByName(extent(self._read(starts, ends)))
+
+    def stream(self, limit: int | None = MAX_MESSAGES) -> DataFrame:
+        """The topic as a stream of micro-batches of at most so many records."""
+        loaded = self.spark.readStream.format("kafka").options(**stream_options(self.servers, self.name, limit)).load()
+        return loaded.select("value", "headers", "partition", "offset", "timestamp")
 
     def between(self, starts: dict[int, int], ends: dict[int, int]) -> DataFrame:
         return self._read(starts, ends).select("value", "headers", "partition", "offset", "timestamp")
@@ -85,6 +139,8 @@ class Landed:
 # Fixed value: the offset that Spark's Kafka reader takes for the earliest record.
 EARLIEST = -2
 
+EXTENT = "partition INT, messages BIGINT, first BIGINT, next_offset BIGINT"
+
 
 def in_ranges(ranges: dict[int, tuple[int, int]]) -> Column:
     """Offsets from first to before last, by partition, as plain comparisons that reach the scan."""
@@ -96,14 +152,7 @@ def in_ranges(ranges: dict[int, tuple[int, int]]) -> Column:
         for (first, last), partitions in alike.items()
         if first < last
     ]
-    return _any(tests)
-
-
-def _any(tests: list[Column]) -> Column:
-    """A balanced disjunction, so that many partitions make no deep expression."""
-    if len(tests) < 2:
-        return tests[0] if tests else F.lit(False)
-    return _any(tests[: len(tests) // 2]) | _any(tests[len(tests) // 2 :])
+    return any_of(tests)
 
 
 def after(records: DataFrame, committed: dict[int, int]) -> DataFrame:
@@ -114,7 +163,7 @@ def after(records: DataFrame, committed: dict[int, int]) -> DataFrame:
     for partition, offset in sorted(committed.items()):
         known.setdefault(offset, []).append(partition)
     tests = [F.col("partition").isin(partitions) & (F.col("offset") >= offset) for offset, partitions in known.items()]
-    return records.filter(_any([~F.col("partition").isin(list(committed)), *tests]))
+    return records.filter(any_of([~F.col("partition").isin(list(committed)), *tests]))
 
 
 def extent(records: DataFrame) -> DataFrame:

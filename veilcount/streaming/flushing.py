@@ -47,7 +47,8 @@ def flush_micro_batch(
         frame.write.mode("overwrite").parquet(f"{folder}/{name}/batch={number}")
         return spark.read.schema(frame.schema).parquet(f"{folder}/{name}/batch={number}")
 
-    new = rows.filter(F.col("channel").isNotNull() & F.col("ts").isNotNull())
+    # Landed first: the sort below would read the source once more to find its ranges.
+    new = written(rows.filter(F.col("channel").isNotNull() & F.col("ts").isNotNull()), "new")
     if number == 0:
         marks, waiting = spark.createDataFrame([], MARKS), new
     else:
