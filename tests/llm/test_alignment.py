@@ -3,6 +3,7 @@
 import hashlib
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -112,6 +113,24 @@ def test_alignment_equals_plain_loops(spark, libraries, monkeypatch):
     assert expected[texts.index("one ▁ two")][0] == 0 and sum(e[0] for e in expected) > 2000
 
 
+def test_blocks_are_aligned_in_parts(monkeypatch):
+    folder = Path(alignment.FOLDER)
+    tokenizers = alignment.Tokenizers((folder / alignment.BYTE_BPE).read_bytes(), (folder / alignment.PIECES).read_bytes())
+    texts = [*edge_texts(), None, ""]
+    whole = alignment.align_block([tokenizers.encode(text) for text in texts], tokenizers)
+    sizes, one_part = [], alignment.align_block
+    monkeypatch.setattr(alignment, "PART_CHARS", 300)
+    monkeypatch.setattr(alignment, "align_block", lambda encoded, t: sizes.append(len(encoded)) or one_part(encoded, t))
+    made = alignment._aligned_parts(texts, tokenizers, hashed=False)
+    assert len(sizes) > 10 and sum(sizes) == len(texts)  # no step holds the tokens of the whole block
+    for name in (*alignment._FIGURES, "link_starts", "pairs", "times"):
+        assert (getattr(made, name) == getattr(whole, name)).all(), name
+    assert made.groups == whole.groups
+    hashed = alignment._aligned_parts(texts, tokenizers, hashed=True).groups
+    assert hashed == [hashlib.sha256(g).hexdigest().encode() if g else b"" for g in whole.groups]
+    assert len(alignment._aligned_parts([], tokenizers, hashed=False).pairs) == 0
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert alignment.report(empty).collect() == []

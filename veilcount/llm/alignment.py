@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterable
 from dataclasses import dataclass
 from pathlib import Path
 
@@ -30,9 +31,11 @@ from veilcount.session import new_work_folder
 #: Where the vocabulary files lie, and their names.
 FOLDER, BYTE_BPE, PIECES = "/opt/tokenizers", "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Entries a product makes at once.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Bytes of text after which a block of documents ends. A longer text is a block of its own.
 BLOCK_BYTES = 4 << 20
+#: Characters of text whose tokens are held at once: a block is aligned part by part. A longer text is a part of its own.
+PART_CHARS = 512 << 10
 
 
 @dataclass
@@ -131,6 +134,9 @@ class Tokenizers:
         ]
         self.a_widths = np.array([len(token) for token in self.a_bytes])
         self.b_widths = np.array([len(token) for token in self.b_bytes])
+        #: Every id as text with the mark behind it: A ids with `,` and `|`, then B ids with `,` and `;`.
+        sides = ((len(self.a_bytes), "|"), (len(self.b_bytes), ";"))
+        self.id_texts = [f"{i}{mark}".encode() for n, last in sides for mark in (",", last) for i in range(n)]
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of both; none for a null or empty text, or if the bytes of either side are not those of space and text."""
@@ -233,17 +239,16 @@ def align_block(encoded: list[tuple[np.ndarray, np.ndarray]], tokenizers: Tokeni
         n_groups=_sums(cuts, a_of),
         n_overlaps=_sums(np.diff(overlaps.starts), a_of),
         n_links=_sums(links.values, link_starts),
-        groups=_written_groups((a, a_group, cuts, n_a_ids), (b, b_group, b_cuts, n_b_ids), a_of + b_of),
+        groups=_written_groups(tokenizers.id_texts, (a, a_group, cuts, n_a_ids), (b, b_group, b_cuts, n_b_ids), a_of + b_of),
         link_starts=link_starts,
         pairs=((owner % n_a_ids) << 32) | links.columns,
         times=links.values,
     )
 
 
-def _written_groups(a_side, b_side, document_starts: np.ndarray) -> list[bytes]:
+def _written_groups(table: list[bytes], a_side, b_side, document_starts: np.ndarray) -> list[bytes]:
     """Each document's groups as `a1,a2|b1;a3|b2,b3`, empty without tokens. A side: ids, groups, cuts, number of ids."""
     (a, a_group, a_cuts, n_a_ids), (b, b_group, b_cuts, n_b_ids) = a_side, b_side
-    table = [f"{i}{mark}".encode() for n, last in ((n_a_ids, "|"), (n_b_ids, ";")) for mark in (",", last) for i in range(n)]
     a_before, b_before = (_starts(np.bincount(group)) for group in (a_group, b_group))
     mixed = np.empty(len(a) + len(b), np.int64)  # each group's A tokens, then its B tokens
     mixed[np.arange(len(a)) + b_before[a_group]] = a + n_a_ids * a_cuts
@@ -252,6 +257,38 @@ def _written_groups(a_side, b_side, document_starts: np.ndarray) -> list[bytes]:
     return [b"".join([table[i] for i in mixed[x:y].tolist()])[:-1] for x, y in zip(starts, starts[1:])]
 
 
+def _joined(parts: list[Block]) -> Block:
+    """One block of the documents of its parts, in order."""
+    ends = np.cumsum([0, *(len(part.pairs) for part in parts)])
+    starts = [part.link_starts[:-1] + end for part, end in zip(parts, ends)]
+    arrays = {name: np.concatenate([getattr(part, name) for part in parts]) for name in (*_FIGURES, "pairs", "times")}
+    groups = [text for part in parts for text in part.groups]
+    return Block(groups=groups, link_starts=np.concatenate([*starts, ends[-1:]]), **arrays)
+
+
+def _aligned_parts(texts: Iterable[str | None], tokenizers: Tokenizers, hashed: bool) -> Block:
+    """The block of the texts, aligned in parts of few characters; what is kept of a part is its figures, pairs and groups.
+
+    `hashed` keeps the sha256 of groups in their place.
+    """
+    parts, encoded, held = [], [], 0
+
+    def end_part():
+        part = align_block(encoded, tokenizers)
+        part.groups = [hashlib.sha256(g).hexdigest().encode() if g and hashed else g for g in part.groups]
+        parts.append(part)
+
+    for text in texts:
+        encoded.append(tokenizers.encode(text))
+        held += len(text or "")
+        if held >= PART_CHARS:
+            end_part()
+            encoded, held = [], 0
+    if encoded or not parts:
+        end_part()
+    return _joined(parts)
+
+
 _BLOCKS = (
     "block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_overlaps array<long>, "
     "n_links array<long>, groups array<string>, link_starts array<long>, places array<int>, times array<long>, "
@@ -280,9 +317,9 @@ def align_documents(documents: DataFrame, folder: str = FOLDER, hashed: bool = F
         tokenizers = Tokenizers(*files.value)
         number = TaskContext.get().partitionId() << 33
         for part in byte_batches(batches, "text", BLOCK_BYTES):
-            made = align_block([tokenizers.encode(text) for text in part.column(1).to_pylist()], tokenizers)
+            made = _aligned_parts((text.as_py() for text in part.column(1)), tokenizers, hashed)
             pairs, places, holders = np.unique(made.pairs, return_inverse=True, return_counts=True)
-            groups = [hashlib.sha256(g).hexdigest() if g and hashed else g.decode() for g in made.groups]
+            groups = [g.decode() for g in made.groups]
             columns = [
                 pa.array([number], pa.int64()),
                 pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
