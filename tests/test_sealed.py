@@ -1,13 +1,16 @@
 """Shares, keys and opening on small inputs."""
 
+import base64
 import hashlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from rows import RECOVERED, tag
-from veilcount.functions import shares as sh
+from veilcount.functions import polynomials, shares as sh
 from veilcount.functions.tags import prefix_tag
+from veilcount.functions.text import base64_text
 from veilcount.operators import sealed
 from veilcount.session import new_work_folder
 
@@ -43,6 +46,49 @@ def test_shares_interpolate_to_the_limbs(spark):
     assert bytes(got.k) == hashlib.sha256(",".join(map(str, limbs)).encode()).digest()
 
 
+def test_values_of_many_messages_equal_those_of_one(spark):
+    """Null, repeated and unknown keys included; the higher-order functions say what the values are."""
+    rows = [(f"m{at}", at % 5 if at % 11 else None, (2, 3, 20, 50, None)[at % 7 % 5]) for at in range(300)] + [(None, 1, 20), ("m1", 1, 3)] * 2
+    frame = spark.createDataFrame(rows, "msg_id STRING, layer INT, threshold INT")
+    tag_of = prefix_tag(F.lit(3), F.array(F.concat(F.lit("a|"), F.col("layer").cast("string"))), "s")
+    x = sh.share_point(F.col("msg_id"))
+    made = polynomials.share_values(sh.class_seed(tag_of, F.col("threshold"), "s"), F.col("threshold"), x, sh.key_limbs(tag_of, "s"))
+    told = frame.select(sh.share_values(tag_of, F.col("threshold"), x, "s").alias("one"), made.alias("many")).collect()
+    assert len(told) == 304 and sum(r.one[0] is None for r in told) > 20
+    assert [r.many for r in told] == [r.one for r in told]
+
+
+def test_sealing_makes_a_class_of_values_at_once(spark):
+    clear = spark.createDataFrame([(1, "m", ["a|1", "b|2"], 20)], "epoch SMALLINT, msg_id STRING, layers ARRAY<STRING>, threshold INT")
+    plan = sealed.seal(clear, "s", 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and plan.count("xxhash64(") <= 4  # no hash for each message and degree
+
+
+@pytest.mark.parametrize("chunked", ["true", "false"])
+def test_base64_of_any_length_is_one_line(spark, chunked):
+    spark.conf.set("spark.sql.legacy.chunkBase64String.enabled", chunked)
+    try:
+        rows = spark.range(200).select(F.expr("cast(repeat('a', cast(id as int)) as binary)").alias("b")).select("b", base64_text(F.col("b")).alias("t"))
+        assert all(base64.b64encode(r.b).decode() == r.t for r in rows.collect())
+        assert "regexp" not in rows._jdf.queryExecution().optimizedPlan().toString().lower()
+    finally:
+        spark.conf.unset("spark.sql.legacy.chunkBase64String.enabled")
+
+
+def test_a_batch_keeps_no_copy_of_its_messages(spark):
+    """What is left in the work folder has none of the columns that hold the inner layers, but for what waits."""
+    rows = [(1, f"m{at}", ["a|1", "b|2", "c|3"], 20) for at in range(60)]
+    clear = spark.createDataFrame(rows, "epoch SMALLINT, msg_id STRING, layers ARRAY<STRING>, threshold INT")
+    folder = new_work_folder(spark, "test")
+    sealed.seal(clear, "s", 3).write.parquet(f"{folder}/in")
+    messages = spark.read.parquet(f"{folder}/in")
+    none, pending = spark.createDataFrame([], RECOVERED), spark.createDataFrame([], sealed.PENDING)
+    done = sealed.process_batch(messages, none, pending, f"{folder}/work", 60)
+    assert sum(r.change for r in done.changes.collect()) == 180 and done.pending.count() == done.quarantine.count() == 0
+    left = {path.parent.name for path in Path(folder, "work").rglob("*.parquet")}
+    assert left == {"counts", "eligible", "keys", "outcomes", "changes"}
+
+
 SHARES = "epoch SMALLINT, tag BINARY, threshold INT, x BIGINT, y ARRAY<BIGINT>"
 
 
