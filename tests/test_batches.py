@@ -120,6 +120,14 @@ def test_ranges_hold_their_tags(spark):
     assert state.tag_ranges(frame.filter("tag IS NULL")) == [] and state.tag_ranges(spark.createDataFrame([(None,)], "tag BINARY")) == []
 
 
+def test_many_tags_make_one_range(spark):
+    tags = spark.range(20_000).select(F.unhex(F.substring(F.sha1(F.col("id").cast("string")), 1, 40)).alias("tag"))
+    ranges = state.tag_ranges(tags)
+    assert len(ranges) == 1 and tags.filter(state.in_ranges(ranges)).count() == 20_000
+    apart = spark.createDataFrame([(b"\x05\xff" * 10,), (b"\x06" + b"\x01" * 19,), (b"\x07\x80" * 10,)], "tag BINARY")
+    assert [low[:1] for low, _ in state.tag_ranges(apart)] == [b"\x05", b"\x07"]
+
+
 def test_look_up_by_ranges_equals_the_whole_state(spark):
     known = recovered(spark, [(n, 1, "a", str(n), None, 5, False) for n in range(1, 120)])
     tables = state.StateTables(spark, new_work_folder(spark, "state"), incremental.PENDING)

@@ -249,3 +249,19 @@ def test_bad_records_stop_the_run_or_are_kept_apart(spark):
     kept = job.bad_records()
     assert [(r.offset, bytes(r.value)) for r in kept.collect()] == [(5, b"junk")]
     assert {r.threshold for r in job.messages_of(records).collect()} == {3}
+
+
+def test_equal_records_are_parsed_once(spark):
+    rows = spark.range(60).select(
+        F.lit(1).cast("smallint").alias("epoch"),
+        F.array(F.lit("l0|1")).alias("layers"),
+        F.when(F.col("id") % 3 == 0, 2).otherwise(50).alias("threshold"),
+        F.lit(0).alias("partition"),
+        F.col("id").alias("offset"),
+    )
+    records = as_records(rows)
+    records = records.unionByName(records.limit(1).withColumns({"headers": F.lit(None).cast(records.schema["headers"].dataType), "offset": F.lit(60).cast("bigint")}))
+    job = aggregation(spark, min_messages=1, iterations=1, default_threshold=7)
+    found = job.messages_of(records).collect()
+    assert sorted((r.epoch, r.layers, r.threshold, r.n) for r in found) == [(1, ["l0|1"], 2, 20), (1, ["l0|1"], 7, 1), (1, ["l0|1"], 50, 40)]
+    assert [(o.messages, o.reported) for o in job.run(records)] == [(61, 61)]

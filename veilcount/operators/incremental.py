@@ -89,7 +89,7 @@ def process_batch(
 ) -> ClearBatch:
     """One batch: its recovered changes, pending rows to append, and messages lost to malformed layers.
 
-    ``messages``: epoch, layers, threshold. ``recovered``: the (epoch, tag) recovered so far, each once. ``pending``: all
+    ``messages``: epoch, layers, threshold, and n if a row stands for several. ``recovered``: the (epoch, tag) recovered so far, each once. ``pending``: all
     pending rows ever appended, dead ones included. ``total``: the number of messages. ``folder``: a shared work folder.
 
     When the tag of a malformed layer opens, its new messages are lost, and those that waited there go on waiting. A

@@ -25,6 +25,8 @@ MAX_FAILED, MAX_FAILED_TOP = 75, 500
 COMPACT_EVERY = 32
 # Rows of a page of the state's files, of which a look-up reads whole ones.
 PAGE_ROWS = 1_000
+# The gap between two ranges of tags below which they are read as one: an eighth of the tags with one first byte.
+LEAST_GAP = 1 << 45
 
 RECOVERED_CHANGES = (
     "epoch SMALLINT, tag BINARY, parent_tag BINARY, name STRING, value STRING, path ARRAY<BINARY>, "
@@ -62,8 +64,8 @@ def lookup_recovered(tags: DataFrame, recovered: DataFrame) -> DataFrame:
 def tag_ranges(tags: DataFrame) -> list[tuple[bytes, bytes | None]]:
     """For each first byte the range from the smallest to the largest of the given tags, at most 256 ranges.
 
-    Bounds are the first seven bytes; the upper one is exclusive, None is no bound. Few tags make ranges that hold little
-    besides them, many tags make ranges that hold everything.
+    Ranges with hardly a gap between them are one. Bounds are the first seven bytes; the upper one is exclusive, None is no
+    bound. Few tags make ranges that hold little besides them, many tags make one range that holds everything.
     """
     head = F.conv(F.hex(F.rpad(F.substring("tag", 1, 7), 7, b"\0")), 16, 10).cast("bigint")
     heads = tags.select(head.alias("head")).groupBy(F.shiftright("head", 48).alias("first"))
@@ -72,7 +74,15 @@ def tag_ranges(tags: DataFrame) -> list[tuple[bytes, bytes | None]]:
     def bound(number: int) -> bytes:
         return number.to_bytes(7, "big").rstrip(b"\0")
 
-    return [(bound(row.low), bound(row.high + 1) if row.high + 1 < 1 << 56 else None) for row in found if row.low is not None]
+    joined: list[list[int]] = []
+    for row in found:
+        if row.low is None:
+            continue
+        if joined and row.low - joined[-1][1] < LEAST_GAP:
+            joined[-1][1] = row.high + 1
+        else:
+            joined.append([row.low, row.high + 1])
+    return [(bound(low), bound(end) if end < 1 << 56 else None) for low, end in joined]
 
 
 def in_ranges(ranges: list[tuple[bytes, bytes | None]]) -> Column:

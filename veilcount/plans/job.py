@@ -68,14 +68,14 @@ class Aggregation:
         return rec.to_messages(records, schema, self.settings.on_bad_record, self.settings.default_threshold)
 
     def messages_of(self, records: DataFrame) -> DataFrame:
-        """Messages of a batch of records, in the form the mode needs."""
-        parsed = self.parsed(records)
+        """Messages of a batch of records, in the form the mode needs: clear ones with the number ``n`` of equal records."""
+        parsed = self.parsed(records if self.settings.sealed else rec.alike(records))
         if self.settings.on_bad_record == "quarantine":
             parsed = parsed.filter(F.col("message").isNotNull())
         epoch = F.col("message.epoch").cast("smallint").alias("epoch")
         threshold = F.col("threshold").cast("int").alias("threshold")
         if not self.settings.sealed:
-            return parsed.select(epoch, "message.layers", threshold)
+            return parsed.select(epoch, "message.layers", threshold, "n")
         return parsed.select(
             epoch,
             F.unbase64("message.tag").alias("tag"),

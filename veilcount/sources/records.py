@@ -221,6 +221,15 @@ def with_threshold(records: DataFrame, default: int = DEFAULT_THRESHOLD) -> Data
     return records.withColumn("threshold", F.coalesce(number, F.lit(default).cast("bigint")))
 
 
+def alike(records: DataFrame) -> DataFrame:
+    """Records of equal value and headers as one row with their number ``n`` and the place of one of them.
+
+    What follows is parsed once for each such row, by as many tasks as the shuffle has, however few tasks read the records.
+    """
+    first = [F.first(name).alias(name) for name in ("partition", "offset")]  # both of the same record
+    return records.groupBy("value", "headers").agg(F.count(F.lit(1)).alias("n"), *first)
+
+
 def to_messages(
     records: DataFrame, schema: str = CLEAR_ENVELOPE, mode: str = "failfast", default: int = DEFAULT_THRESHOLD
 ) -> DataFrame:
