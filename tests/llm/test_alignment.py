@@ -131,6 +131,22 @@ def test_blocks_are_aligned_in_parts(monkeypatch):
     assert len(alignment._aligned_parts([], tokenizers, hashed=False).pairs) == 0
 
 
+def test_written_rows_hold_few_entries(spark, monkeypatch):
+    """Spark reads thousands of rows at once, so a row must not grow with the documents of its block, nor with a text."""
+    folders, new_folder = [], alignment.new_work_folder
+    monkeypatch.setattr(alignment, "new_work_folder", lambda *given: folders.append(new_folder(*given)) or folders[-1])
+    pick = random.Random(7)
+    long_text = " ".join("".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(3000))
+    texts = [long_text, "the same text", None, " ".join(edge_texts()[:60]), long_text[:9000]]
+    figures, _ = alignment.align_documents(spark.createDataFrame([(n, t, "x", 1, 2) for n, t in enumerate(texts)], SCHEMA).coalesce(1))
+    found = {row.doc_id: row for row in figures.collect()}
+    rows = spark.read.parquet(f"{folders[0]}/blocks").collect()
+    lists = [value for row in rows for value in row if isinstance(value, list)]
+    assert max(map(len, lists)) <= 1024 and sum(r.doc_id == 0 for r in rows) > 2
+    assert len(found) == len(texts) and found[0].n_links == sum(sum(r.times) for r in rows if r.doc_id == 0)
+    assert sum(found[at].n_links for at in found) == sum(sum(r.times or ()) for r in rows)
+
+
 def test_no_documents(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert alignment.report(empty).collect() == []

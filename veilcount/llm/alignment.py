@@ -21,11 +21,12 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilcount.llm.texts import byte_batches
+from veilcount.llm.texts import byte_batches, small_batches
 from veilcount.session import new_work_folder
 
 #: Where the vocabulary files lie, and their names.
@@ -36,6 +37,8 @@ SLICE = 1 << 18
 BLOCK_BYTES = 4 << 20
 #: Characters of text whose tokens are held at once: a block is aligned part by part. A longer text is a part of its own.
 PART_CHARS = 512 << 10
+#: Entries of the lists of a written row. Spark reads some thousand rows at once, whatever they hold.
+ENTRIES = 1 << 10
 
 
 @dataclass
@@ -289,16 +292,68 @@ def _aligned_parts(texts: Iterable[str | None], tokenizers: Tokenizers, hashed:
     return _joined(parts)
 
 
-_BLOCKS = (
-    "block long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_overlaps array<long>, "
-    "n_links array<long>, groups array<string>, link_starts array<long>, places array<int>, times array<long>, "
-    "pairs array<long>, holders array<long>"
-)
 _FIGURES = ("n_a", "n_b", "n_groups", "n_overlaps", "n_links")
-
-
-def _one_row(values, kind: str) -> pa.Array:
-    return pa.array([values if isinstance(values, list) else np.asarray(values)], pa.list_(getattr(pa, kind)()))
+#: A block's rows: of each document one or more, the first with its figures and groups, with entries of its links; without
+#: `document`, distinct pairs of the block and how many of its documents hold them.
+_SCHEMA = pa.schema(
+    {
+        "block": pa.int64(),
+        "document": pa.int32(),
+        "doc_id": pa.int64(),
+        **dict.fromkeys(_FIGURES, pa.int64()),
+        "groups": pa.string(),
+        "places": pa.list_(pa.int32()),
+        "times": pa.list_(pa.int64()),
+        "pairs": pa.list_(pa.int64()),
+        "holders": pa.list_(pa.int64()),
+    }
+)
+_BLOCKS = "block long, document int, doc_id long, " + "".join(f"{name} long, " for name in _FIGURES)
+_BLOCKS += "groups string, places array<int>, times array<long>, pairs array<long>, holders array<long>"
+
+
+def _pieces(starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranges of entries cut into pieces of at most ENTRIES, at least one each: where pieces start, and whose they are."""
+    numbers = np.maximum(1, -(-np.diff(starts) // ENTRIES))
+    owners = np.repeat(np.arange(len(numbers)), numbers)
+    nth = np.arange(len(owners)) - np.repeat(_starts(numbers)[:-1], numbers)
+    return np.append(starts[owners] + nth * ENTRIES, starts[-1]), owners
+
+
+def _rows(count: int, **columns: pa.Array) -> pa.RecordBatch:
+    """So many rows of a block, null in the columns that are not given."""
+    arrays = [columns[field.name] if field.name in columns else pa.nulls(count, field.type) for field in _SCHEMA]
+    return pa.RecordBatch.from_arrays(arrays, schema=_SCHEMA)
+
+
+def _lists(starts: np.ndarray, values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values, kind))
+
+
+def _block_rows(number: int, doc_ids: pa.Array, made: Block) -> Iterable[pa.RecordBatch]:
+    """The rows of a block in batches of a few megabytes."""
+    pairs, places, holders = np.unique(made.pairs, return_inverse=True, return_counts=True)
+    starts, owners = _pieces(made.link_starts)
+    later = np.concatenate(([False], owners[1:] == owners[:-1]))
+    figures = {name: pa.array(getattr(made, name)[owners], pa.int64(), mask=later) for name in _FIGURES}
+    documents = _rows(
+        len(owners),
+        block=pa.array(np.full(len(owners), number), pa.int64()),
+        document=pa.array(owners, pa.int32()),
+        doc_id=doc_ids.take(pa.array(owners)),
+        groups=pa.array([None if again else made.groups[at].decode() for at, again in zip(owners.tolist(), later.tolist())], pa.string()),
+        places=_lists(starts, places, pa.int32()),
+        times=_lists(starts, made.times, pa.int64()),
+        **figures,
+    )
+    starts, owners = _pieces(np.array((0, len(pairs))))
+    distinct = _rows(
+        len(owners),
+        block=pa.array(np.full(len(owners), number), pa.int64()),
+        pairs=_lists(starts, pairs, pa.int64()),
+        holders=_lists(starts, holders, pa.int64()),
+    )
+    yield from small_batches((documents, distinct))
 
 
 def align_documents(documents: DataFrame, folder: str = FOLDER, hashed: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -318,20 +373,7 @@ def align_documents(documents: DataFrame, folder: str = FOLDER, hashed: bool = F
         number = TaskContext.get().partitionId() << 33
         for part in byte_batches(batches, "text", BLOCK_BYTES):
             made = _aligned_parts((text.as_py() for text in part.column(1)), tokenizers, hashed)
-            pairs, places, holders = np.unique(made.pairs, return_inverse=True, return_counts=True)
-            groups = [g.decode() for g in made.groups]
-            columns = [
-                pa.array([number], pa.int64()),
-                pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
-                *(_one_row(getattr(made, name), "int64") for name in _FIGURES),
-                _one_row(groups, "string"),
-                _one_row(made.link_starts, "int64"),
-                _one_row(places.astype(np.int32), "int32"),
-                _one_row(made.times, "int64"),
-                _one_row(pairs, "int64"),
-                _one_row(holders, "int64"),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, [entry.split()[0] for entry in _BLOCKS.split(", ")])
+            yield from _block_rows(number, part.column(0), made)
             number += 1
 
     work = new_work_folder(spark, "aligned")
@@ -340,7 +382,8 @@ def align_documents(documents: DataFrame, folder: str = FOLDER, hashed: bool = F
     written = spark.read.schema(_BLOCKS).parquet(f"{work}/blocks")
 
     pairs = spark.read.schema(_BLOCKS).parquet(f"{work}/blocks")  # read of its own: the block meets its pairs again below
-    held = pairs.select("block", F.explode(F.arrays_zip("pairs", "holders")).alias("held")).select("block", "held.*")
+    listed = F.explode(F.arrays_zip("pairs", "holders")).alias("held")
+    held = pairs.filter("document IS NULL").select("block", listed).select("block", "held.*")
     counts = held.groupBy(F.col("pairs").alias("pair")).agg(F.sum("holders").alias("documents"))
     counts.write.parquet(f"{work}/counts")
     counts = spark.read.schema("pair long, documents long").parquet(f"{work}/counts")
@@ -350,24 +393,31 @@ def align_documents(documents: DataFrame, folder: str = FOLDER, hashed: bool = F
     links = links.select("pair", "a_id", "documents", (F.col("documents") == F.col("highest")).alias("best"))
 
     def finish(block: pa.Table, found: pa.Table) -> pa.Table:
-        row = {name: column.chunk(0).values if pa.types.is_list(column.type) else column for name, column in zip(block.column_names, block.columns)}
         order = np.argsort(found["pair"].to_numpy())
         documents, best = found["documents"].to_numpy()[order], found["best"].to_numpy()[order]
-        places, times, starts = (row[name].to_numpy() for name in ("places", "times", "link_starts"))
+        places, times = (block[name].combine_chunks() for name in ("places", "times"))
+        starts = _starts(pc.list_value_length(places).to_numpy())
+        places, times, owners = places.flatten().to_numpy(), times.flatten().to_numpy(), block["document"].to_numpy()
+        sums = {}
+        for name, weights in (("n_best", best), ("count_sum", documents)):
+            sums[name] = np.zeros(owners.max() + 1, np.int64)
+            np.add.at(sums[name], owners, _sums(times * weights[places], starts))
+        heads = block.filter(pc.is_valid(block["n_a"]))
+        owners = heads["document"].to_numpy()
         return pa.table(
             {
-                "doc_id": row["doc_id"],
-                **{name: row[name] for name in _FIGURES},
-                "n_best": _sums(times * best[places], starts),
-                "count_sum": _sums(times * documents[places], starts),
-                "groups": row["groups"],
+                "doc_id": heads["doc_id"],
+                **{name: heads[name] for name in _FIGURES},
+                **{name: found[owners] for name, found in sums.items()},
+                "groups": heads["groups"],
             }
         )
 
     # Each block meets the counts of its own distinct pairs: rows by block, bounded by the block.
     wanted = held.select("block", F.col("pairs").alias("pair")).join(links, "pair").select("block", "pair", "documents", "best")
     schema = ", ".join(["doc_id long", *(f"{name} long" for name in _FIGURES), "n_best long", "count_sum long", "groups string"])
-    figures = written.drop("pairs", "holders").groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(finish, schema)
+    documents = written.filter("document IS NOT NULL").drop("pairs", "holders")
+    figures = documents.groupBy("block").cogroup(wanted.groupBy("block")).applyInArrow(finish, schema)
     b_id = F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).alias("b_id")
     return figures, links.select("a_id", b_id, "documents", "best")
 
