@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rows import RECOVERED, tag
+from veilcount.catalog import sealed as queries
 from veilcount.functions import polynomials, shares as sh
 from veilcount.functions.tags import prefix_tag
 from veilcount.functions.text import base64_text
@@ -89,6 +90,38 @@ def test_a_batch_keeps_no_copy_of_its_messages(spark):
     assert left == {"counts", "eligible", "keys", "outcomes", "changes"}
 
 
+def test_outer_tags_that_are_given_are_those_of_sealing(spark):
+    rows = [(1, "m", ["a|1", "b|2"], 20), (1, "m", ["a|1", "b|2"], 20), (None, "n", ["a|1", "b|2"], 20), (1, None, [None, "b|2"], 50), (1, "o", [], 20)]
+    clear = spark.createDataFrame(rows, "epoch SMALLINT, msg_id STRING, layers ARRAY<STRING>, threshold INT")
+    own, given = sealed.seal(clear, "s", 2), sealed.seal(sealed.with_outer_tag(clear, "s"), "s", 2)
+    assert own.columns == given.columns and sorted(map(str, own.collect())) == sorted(map(str, given.collect()))
+
+
+def event_folder(spark, count):
+    """A folder with an events table of one week, two types and so two outer tags."""
+    folder = new_work_folder(spark, "test")
+    number = F.col("id")
+    spark.range(count).select(
+        number.alias("event_id"),
+        F.expr("timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, cast(id as int))").alias("ts"),
+        F.lit(1).cast("bigint").alias("user_id"),
+        F.when(number % 2 == 0, "view").otherwise("click").alias("event_type"),
+        F.lit(1.5).alias("value"),
+        F.lit('{"k": 1}').alias("props"),
+    ).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def test_opening_writes_no_sealed_messages(spark, monkeypatch):
+    folders, new_folder = [], queries.new_work_folder
+    monkeypatch.setattr(queries, "new_work_folder", lambda *given: folders.append(new_folder(*given)) or folders[-1])
+    found = queries.open_layer(spark, event_folder(spark, 240)).collect()
+    assert sorted((r.measurement, r.threshold, r.opened, r.next_opened) for r in found) == [
+        ("type|click", 20, 80, 80), ("type|click", 50, 40, 40), ("type|view", 20, 80, 80), ("type|view", 50, 40, 40)
+    ]
+    assert folders and not any("inner" in spark.read.parquet(folder).columns for folder in folders)
+
+
 SHARES = "epoch SMALLINT, tag BINARY, threshold INT, x BIGINT, y ARRAY<BIGINT>"
 
 
