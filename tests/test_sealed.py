@@ -248,3 +248,47 @@ def test_the_sample_is_limited_before_its_shuffle(spark):
     messages, _ = sealed_class(spark, 60)
     plan = sealed.share_sample(messages)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange") < plan.rindex("WindowGroupLimit") and "Partial" in plan[plan.rindex("WindowGroupLimit"):]
+
+
+def test_a_large_batch_is_opened_in_parts(spark, monkeypatch):
+    """Parts of whole outer tags: the same as at once, with never more than a part's messages written."""
+    rows = [(1, f"m{at}", [f"a|{at % 2}", "b|1"], 20) for at in range(50)] + [(1, f"few{at}", ["a|7"], 20) for at in range(4)]
+    clear = spark.createDataFrame(rows, "epoch SMALLINT, msg_id STRING, layers ARRAY<STRING>, threshold INT")
+    folder = new_work_folder(spark, "test")
+    sealed.seal(clear, "s", 2).write.parquet(f"{folder}/in")
+    messages = spark.read.parquet(f"{folder}/in")
+    lost = F.col("tag") == prefix_tag(F.lit(1), F.array(F.lit("a|1")), "s")  # none of this tag opens
+    messages = messages.withColumn("ct", F.when(lost, F.reverse(F.hex("ct")).cast("binary")).otherwise(F.col("ct")))
+    none, pending = spark.createDataFrame([], RECOVERED), spark.createDataFrame([], sealed.PENDING)
+    found, most, drop = [], [], sealed.drop_folder
+
+    def counted(session, path):
+        if path.endswith(("/parsed", "/opened")):
+            most[-1].append(session.read.parquet(path).count())
+        drop(session, path)
+
+    monkeypatch.setattr(sealed, "drop_folder", counted)
+    for size in (sealed.PART_MESSAGES, 30):
+        monkeypatch.setattr(sealed, "PART_MESSAGES", size)
+        most.append([])
+        done = sealed.process_batch(messages, none, pending, f"{folder}/{size}", len(rows))
+        tables = [[str(r) for r in t.select(sorted(t.columns)).collect()] for t in (done.changes, done.pending, done.quarantine)]
+        found.append((done.errors, done.rounds, *map(sorted, tables)))
+    assert found[0] == found[1] and [len(table) for table in found[0][2:]] == [2, 4, 25]
+    assert max(most[0]) == len(rows) and max(most[1]) <= 30
+
+
+@pytest.mark.parametrize("name", ["altered_shares"])
+def test_a_run_gets_messages_that_are_not_written(spark, monkeypatch, name):
+    class Stopped(Exception):
+        pass
+
+    def stop(job, messages, count):
+        inputs = [Path(path).parts for path in messages.inputFiles()]
+        assert count > 0 and {"ct", "inner"} < set(messages.columns)
+        assert not any("inner" in spark.read.parquet(str(Path(*parts[:-1]))).columns for parts in inputs)
+        raise Stopped
+
+    monkeypatch.setattr(queries.Aggregation, "run_batch", stop)
+    with pytest.raises(Stopped):
+        getattr(queries, name)(spark, event_folder(spark, 240))
