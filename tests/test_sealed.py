@@ -278,7 +278,7 @@ def test_a_large_batch_is_opened_in_parts(spark, monkeypatch):
     assert max(most[0]) == len(rows) and max(most[1]) <= 30
 
 
-@pytest.mark.parametrize("name", ["altered_shares"])
+@pytest.mark.parametrize("name", ["altered_shares", "sealed_equals_clear"])
 def test_a_run_gets_messages_that_are_not_written(spark, monkeypatch, name):
     class Stopped(Exception):
         pass
